@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
-from riverglass.session import reliable
+from riverglass.session import reliable, work_dir
 
 MAX_BLOCKS = 1000
 
@@ -53,6 +53,26 @@ def fit(matrix: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
     return als.fit(reliable(matrix))
 
 
+def save(model: ALSModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load(path: str) -> ALSModel:
+    return ALSModel.load(path)
+
+
+def settled(model: ALSModel, path: str | None = None) -> ALSModel:
+    """The model saved and read back. Runs jobs.
+
+    The factors no longer hang on the training jobs, and they are split by size: Spark scores
+    every pair of user and item partitions in a task of its own, and the training blocks would
+    give a million tasks on a large cluster.
+    """
+    path = path or work_dir(model.userFactors.sparkSession, "factors")
+    save(model, path)
+    return load(path)
+
+
 def ranked(recommendations: DataFrame, who: str, what: str) -> DataFrame:
     """Recommendation lists as rows with their places from 1."""
     spread = recommendations.select(who, F.posexplode("recommendations").alias("at", "r"))

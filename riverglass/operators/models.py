@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 
-from riverglass.operators.als import AlsSettings, fit, rating_matrix
+from riverglass.operators.als import AlsSettings, fit, load as load_factors, rating_matrix, save
 from riverglass.operators.ids import dense_ids
 from riverglass.sinks.registry import Registry
 
@@ -35,13 +35,13 @@ def retrain(ratings: DataFrame, registry: Registry, folder: str,
     questions = dense_ids(ratings, "question_id", f"{path}/questions", "item")
     numbered = ratings.join(students, "student_id").join(questions, "question_id")
     model = fit(rating_matrix(numbered, "user", "item", "rating"), settings)
-    model.write().overwrite().save(f"{path}/model")
+    save(model, f"{path}/model")
     registry.publish(version, path)
     return version
 
 
 def load(spark: SparkSession, version: int, path: str) -> Recommender:
-    return Recommender(version, ALSModel.load(f"{path}/model"),
+    return Recommender(version, load_factors(f"{path}/model"),
                        spark.read.parquet(f"{path}/students/ids"),
                        spark.read.parquet(f"{path}/questions/ids"))
 

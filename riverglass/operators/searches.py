@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riverglass.functions.text import words
-from riverglass.functions.times import period
+from riverglass.functions.times import CYCLIC, period
 from riverglass.operators.toplists import counts, top, top_per_group
 
 Tokenizer = Callable[[Column], Column]
@@ -49,7 +49,10 @@ def user_top_terms(searches: DataFrame, n: int = 3, user: str = "user_id", text:
 
 def search_heat(searches: DataFrame, ts: str = "ts", unit: str = "hour_of_day") -> DataFrame:
     """Searches per time period; reads the time column only."""
-    return counts(searches, period(F.col(ts), unit).alias("period"), name="searches")
+    when = period(F.col(ts), unit)
+    if unit not in CYCLIC:
+        when = when.cast(searches.schema[ts].dataType)  # wall clock stays wall clock
+    return counts(searches, when.alias("period"), name="searches")
 
 
 def hot_keywords_from_pairs(pairs: DataFrame, n: int = 10) -> DataFrame:

@@ -311,7 +311,7 @@ def learning_report_stored(spark, sf_dir):
 # --- recommendations -------------------------------------------------------------------------
 
 def part_model(spark, sf_dir):
-    return als.fit(G.part_matrix(spark, sf_dir), als.AlsSettings(iterations=5))
+    return als.settled(als.fit(G.part_matrix(spark, sf_dir), als.AlsSettings(iterations=5)))
 
 
 @query

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from riverglass.functions.messages import json_text, parse_json
 from riverglass.operators.als import rating_matrix
 from riverglass.sinks.topics import append_to_topic
-from riverglass.sources.batch import table
+from riverglass.sources.batch import spread, table
 from riverglass.sources.streams import file_stream, topic_replay
 
 # Reading the stored wall clock as `timestamp` takes it for UTC, whatever the session zone is.
@@ -47,13 +47,13 @@ def part_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given(spark, sf_dir, "documents").select(F.col("text").alias("query"))
+    return spread(given(spark, sf_dir, "documents").select(F.col("text").alias("query")))
 
 
 def user_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the user side of each conversation wrote."""
     turns = given(spark, sf_dir, "conversations").where(F.col("role") == "user")
-    return turns.select(F.col("conv_id").alias("user_id"), F.col("text").alias("query"))
+    return spread(turns.select(F.col("conv_id").alias("user_id"), F.col("text").alias("query")))
 
 
 def devices(rows: DataFrame) -> DataFrame:

@@ -17,6 +17,17 @@ def table(spark: SparkSession, path: str, schema: str | None = None) -> DataFram
     return reader.parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal out the rows of a scan that has fewer tasks than there are cores.
+
+    For work that costs far more than moving the row, such as splitting text. A scan with enough
+    tasks is left alone, so what is moved is at most one split per core, whatever the table's
+    size. `scan` must be free of shuffles, as its tasks are counted here without running it.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def search_log(spark: SparkSession, path: str, sep: str = "\t", day: str | None = None,
                charset: str = "UTF-8") -> DataFrame:
     """A delimited search-engine click log as typed rows.
