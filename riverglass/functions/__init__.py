@@ -1,8 +1,8 @@
 """Column functions: text, times and messages."""
 
-from riverglass.functions.messages import json_text, parse_json, string_payload
+from riverglass.functions.messages import json_rows, json_text, parse_json, string_payload
 from riverglass.functions.text import segments, words
 from riverglass.functions.times import day_time, period, utc_wall
 
-__all__ = ["day_time", "json_text", "parse_json", "period", "segments", "string_payload",
+__all__ = ["day_time", "json_rows", "json_text", "parse_json", "period", "segments", "string_payload",
            "utc_wall", "words"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 TIME_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -20,6 +22,16 @@ def parse_json(text: Column, schema: T.StructType | str) -> Column:
     return F.from_json(text, schema, {"mode": "PERMISSIVE"})
 
 
+def json_rows(df: DataFrame, text: Column, schema: T.StructType | str,
+              keep: Sequence[Column | str] = ()) -> DataFrame:
+    """The fields of a JSON column as columns, beside the `keep` columns.
+
+    `inline` keeps the optimizer from copying the parser into every later filter and projection,
+    so that each text is parsed once.
+    """
+    return df.select(*keep, F.inline(F.array(parse_json(text, schema))))
+
+
 def json_text(*columns: Column | str) -> Column:
     """A JSON object of the given columns; times keep their microseconds."""
     return F.to_json(F.struct(*columns), TIME_FORMATS)

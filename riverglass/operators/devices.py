@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riverglass.functions.messages import parse_json, string_payload
+from riverglass.functions.messages import json_rows, string_payload
 
 # Numbers are read as text and cast, so that "89" and 89 both count and bad text becomes null.
 DEVICE = "device string, device_type string, signal string, time string"
@@ -12,12 +12,11 @@ DEVICE = "device string, device_type string, signal string, time string"
 
 def device_rows(messages: DataFrame) -> DataFrame:
     """Typed rows from device messages; messages without a device type are left out."""
-    parsed = messages.select(parse_json(string_payload(F.col("value")), DEVICE).alias("m"))
-    return parsed.where(F.col("m.device_type").isNotNull()).select(
-        F.col("m.device").alias("device"),
-        F.col("m.device_type").alias("device_type"),
-        F.col("m.signal").try_cast("double").alias("signal"),
-        F.timestamp_millis(F.col("m.time").try_cast("long")).alias("ts"),
+    parsed = json_rows(messages, string_payload(F.col("value")), DEVICE)
+    return parsed.where(F.col("device_type").isNotNull()).select(
+        "device", "device_type",
+        F.col("signal").try_cast("double").alias("signal"),
+        F.timestamp_millis(F.col("time").try_cast("long")).alias("ts"),
     )
 
 

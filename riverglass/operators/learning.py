@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riverglass.functions.messages import parse_json, string_payload
+from riverglass.functions.messages import json_rows, string_payload
 from riverglass.operators.toplists import top
 
 ANSWER = ("student_id string, question_id string, subject string, grade string, "
@@ -22,12 +22,12 @@ def wrong_answers() -> Column:
 
 def answer_rows(messages: DataFrame) -> DataFrame:
     """Typed rows from answer messages; those without student, question or result are left out."""
-    parsed = messages.select(parse_json(string_payload(F.col("value")), ANSWER).alias("m"))
+    parsed = json_rows(messages, string_payload(F.col("value")), ANSWER)
     typed = parsed.select(
-        "m.student_id", "m.question_id", "m.subject", "m.grade",
-        F.col("m.score").try_cast("double").alias("score"),
-        F.col("m.correct").try_cast("int").alias("correct"),
-        F.try_to_timestamp("m.ts").alias("ts"),
+        "student_id", "question_id", "subject", "grade",
+        F.col("score").try_cast("double").alias("score"),
+        F.col("correct").try_cast("int").alias("correct"),
+        F.try_to_timestamp("ts").alias("ts"),
     )
     return typed.where(F.col("student_id").isNotNull() & F.col("question_id").isNotNull()
                        & F.col("correct").isNotNull())

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riverglass.functions.messages import parse_json, string_payload
+from riverglass.functions.messages import json_rows, string_payload
 
 STATION = ("station_id string, call_out string, call_in string, status string, "
            "call_time string, duration string")
@@ -16,12 +16,12 @@ STATUSES = ("success", "fail", "busy", "barring")
 
 def station_rows(messages: DataFrame) -> DataFrame:
     """Typed rows from station messages; a field that cannot be read is null."""
-    parsed = messages.select(parse_json(string_payload(F.col("value")), STATION).alias("m"))
+    parsed = json_rows(messages, string_payload(F.col("value")), STATION)
     return parsed.select(
-        *(F.trim(f"m.{c}").alias(c) for c in REQUIRED),
-        F.lower(F.trim("m.status")).alias("status"),
-        F.try_to_timestamp("m.call_time").alias("call_time"),
-        F.col("m.duration").try_cast("long").alias("duration"),
+        *(F.trim(c).alias(c) for c in REQUIRED),
+        F.lower(F.trim("status")).alias("status"),
+        F.try_to_timestamp("call_time").alias("call_time"),
+        F.col("duration").try_cast("long").alias("duration"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from riverglass.functions.messages import json_text, parse_json
+from riverglass.functions.messages import json_rows, json_text, parse_json
 from riverglass.operators.als import rating_matrix
 from riverglass.sinks.topics import append_to_topic
 from riverglass.sources.batch import spread, table
@@ -15,11 +15,6 @@ EVENTS = ("event_id bigint, ts timestamp, user_id bigint, event_type string, val
           "props string")
 
 
-def number(kind: str = "int") -> Column:
-    """The number in `props`."""
-    return parse_json(F.col("props"), f"k {kind}")["k"]
-
-
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table(spark, f"{sf_dir}/{name}.parquet")
 
@@ -58,16 +53,16 @@ def user_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def devices(rows: DataFrame) -> DataFrame:
     """Events as device rows: the user is the device, `props.k` its signal."""
-    return rows.select("event_id", F.col("user_id").alias("device"),
-                       F.col("event_type").alias("device_type"),
-                       number("double").alias("signal"))
+    keep = ["event_id", F.col("user_id").alias("device"), F.col("event_type").alias("device_type")]
+    return json_rows(rows, F.col("props"), "k double", keep).select(
+        "event_id", "device", "device_type", F.col("k").alias("signal"))
 
 
 def answers(rows: DataFrame) -> DataFrame:
     """Events as answers: a value above 50 is a wrong answer."""
-    return rows.select(
+    return json_rows(rows, F.col("props"), "k int", ["user_id", "event_type", "value", "ts"]).select(
         F.col("user_id").cast("string").alias("student_id"),
-        F.concat_ws("-", "event_type", number().cast("string")).alias("question_id"),
+        F.concat_ws("-", "event_type", F.col("k").cast("string")).alias("question_id"),
         F.col("event_type").alias("subject"),
         (F.col("user_id") % 6 + 1).cast("string").alias("grade"),
         F.col("value").alias("score"),
@@ -75,6 +70,11 @@ def answers(rows: DataFrame) -> DataFrame:
         "ts")
 
 
+def number() -> Column:
+    """The number in `props`."""
+    return parse_json(F.col("props"), "k int")["k"]
+
+
 def write_topic(rows: DataFrame, path: str, topic: str, key: str, *fields) -> int:
     """Rows as JSON messages of a topic kept as files; returns the number of files.
 
