@@ -1,0 +1,41 @@
+from riverglass.operators import learning as L
+
+SCHEMA = "student_id string, question_id string, subject string, grade string, score double, correct int, ts timestamp"
+
+
+def answers(spark, at):
+    def some(student, question, subject, results):
+        return [(student, question, subject, "g", 1.0, c, at(f"0{i}:00")) for i, c in enumerate(results)]
+
+    return spark.createDataFrame(
+        some("s1", "q1", "math", [0, 0, 1]) + some("s2", "q1", "math", [0])
+        + some("s1", "q2", None, [1, 1, 1]) + some("s1", "q3", "math", [0]), SCHEMA)
+
+
+def test_stats(spark, at, rows):
+    assert rows(L.answer_stats(answers(spark, at))) == [
+        ("q1", 4, 3, 0.75), ("q2", 3, 0, 0.0), ("q3", 1, 1, 1.0)]
+    assert rows(L.answer_stats(answers(spark, at), ["subject"])) == [
+        ("math", 5, 4, 0.8), (None, 3, 0, 0.0)]
+
+
+def test_error_prone_needs_enough_answers(spark, at):
+    got = L.error_prone(answers(spark, at), 10, min_answers=2).collect()
+    assert [r.question_id for r in got] == ["q1", "q2"]
+
+
+def test_report(spark, at, rows):
+    stored = L.progress(answers(spark, at))
+    report = {(r.student_id, r.subject): r for r in L.learning_report(stored).collect()}
+    assert report["s1", "math"].asDict() | {"first_answer": 0, "last_answer": 0} == {
+        "student_id": "s1", "subject": "math", "answers": 4, "wrong": 3, "questions": 2,
+        "first_answer": 0, "last_answer": 0, "wrong_rate": 0.75}
+    assert (report["s1", "math"].first_answer.hour, report["s1", "math"].last_answer.hour) == (0, 2)
+    assert ("s1", None) in report
+    assert rows(L.learning_report(stored)) == rows(L.learning_report_sql(stored))
+
+
+def test_ratings(spark, at, rows):
+    got = rows(L.difficulty_ratings(answers(spark, at)))
+    assert [(s, q, round(r, 4)) for s, q, r in got] == [
+        ("s1", "q1", 0.6667), ("s1", "q2", 0.0), ("s1", "q3", 1.0), ("s2", "q1", 1.0)]
