@@ -172,7 +172,7 @@ def sliding_top3_live(spark, sf_dir):
 # --- devices ---------------------------------------------------------------------------------
 
 def device_table(spark, sf_dir):
-    return G.devices(G.given(spark, sf_dir, "events"))
+    return G.device_signals(G.given(spark, sf_dir, "events"))
 
 
 @query
@@ -187,12 +187,12 @@ def signal_over_30_sql(spark, sf_dir):
 
 @query
 def devices_by_type(spark, sf_dir):
-    return D.devices_by_type(device_table(spark, sf_dir))
+    return D.devices_by_type(G.devices(G.given(spark, sf_dir, "events")))
 
 
 @query
 def distinct_devices_by_type(spark, sf_dir):
-    return D.devices_by_type(device_table(spark, sf_dir), distinct=True)
+    return D.devices_by_type(G.devices(G.given(spark, sf_dir, "events")), distinct=True)
 
 
 @query

@@ -51,18 +51,28 @@ def user_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(turns.select(F.col("conv_id").alias("user_id"), F.col("text").alias("query")))
 
 
+def number() -> Column:
+    """The number in `props`."""
+    return parse_json(F.col("props"), "k int")["k"]
+
+
 def devices(rows: DataFrame) -> DataFrame:
-    """Events as device rows: the user is the device, `props.k` its signal."""
+    """Events as devices: the user is the device, the event type its type."""
+    return rows.select("event_id", F.col("user_id").alias("device"),
+                       F.col("event_type").alias("device_type"))
+
+
+def device_signals(rows: DataFrame) -> DataFrame:
+    """Events as device rows with the number in `props` as the signal."""
     keep = ["event_id", F.col("user_id").alias("device"), F.col("event_type").alias("device_type")]
-    return json_rows(rows, F.col("props"), "k double", keep).select(
-        "event_id", "device", "device_type", F.col("k").alias("signal"))
+    return json_rows(rows, F.col("props"), "k double", keep).withColumnRenamed("k", "signal")
 
 
 def answers(rows: DataFrame) -> DataFrame:
     """Events as answers: a value above 50 is a wrong answer."""
-    return json_rows(rows, F.col("props"), "k int", ["user_id", "event_type", "value", "ts"]).select(
+    return rows.select(
         F.col("user_id").cast("string").alias("student_id"),
-        F.concat_ws("-", "event_type", F.col("k").cast("string")).alias("question_id"),
+        F.concat_ws("-", "event_type", number().cast("string")).alias("question_id"),
         F.col("event_type").alias("subject"),
         (F.col("user_id") % 6 + 1).cast("string").alias("grade"),
         F.col("value").alias("score"),
@@ -70,11 +80,6 @@ def answers(rows: DataFrame) -> DataFrame:
         "ts")
 
 
-def number() -> Column:
-    """The number in `props`."""
-    return parse_json(F.col("props"), "k int")["k"]
-
-
 def write_topic(rows: DataFrame, path: str, topic: str, key: str, *fields) -> int:
     """Rows as JSON messages of a topic kept as files; returns the number of files.
 

@@ -1,0 +1,116 @@
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from riverglass.operators import als, ids
+
+SETTINGS = als.AlsSettings(rank=5, iterations=10, reg=0.02, blocks=4)
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    """200 users by 100 items of rank 3, 40% present, with noise."""
+    rng = np.random.default_rng(42)
+    users, items = rng.standard_normal((200, 3)), rng.standard_normal((100, 3))
+    full = np.clip(3 + 0.6 * users @ items.T + 0.1 * rng.standard_normal((200, 100)), 0.5, 5.5)
+    u, i = np.nonzero(rng.random((200, 100)) < 0.4)
+    frame = pd.DataFrame({"user": u, "item": i, "rating": full[u, i]})
+    return als.rating_matrix(spark.createDataFrame(frame), "user", "item", "rating").cache()
+
+
+@pytest.fixture(scope="module")
+def fitted(planted):
+    train, test = als.split(planted)
+    return als.fit(train, SETTINGS), train, test
+
+
+def test_split_is_a_partition(planted, fitted):
+    _, train, test = fitted
+    assert train.count() + test.count() == planted.count()
+    assert train.join(test, ["user", "item"], "left_semi").count() == 0
+    assert 0.15 < test.count() / planted.count() < 0.25
+
+
+def test_learns_planted_ratings(fitted):
+    model, train, test = fitted
+    row = als.evaluate(model, train, test).first()
+    assert row.test_rows == test.count()
+    assert row.rmse < 0.3 < 0.8 < row.rmse_of_mean
+    assert abs(als.rmse(model, test) - row.rmse) < 1e-6
+
+
+def test_unseen_ids_are_dropped(spark, fitted):
+    model, train, _ = fitted
+    unseen = spark.createDataFrame([(999, 1, 3.0), (1, 999, 3.0)], "user int, item int, rating float")
+    assert als.evaluate(model, train, unseen).first().test_rows == 0
+
+
+def test_same_seed_same_error(fitted):
+    model, train, test = fitted
+    assert abs(als.rmse(als.fit(train, SETTINGS), test) - als.rmse(model, test)) < 1e-6
+
+
+def scores(model):
+    """All products of factors, straight from the definition."""
+    users = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    items = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    return {u: {i: float(x @ y) for i, y in items.items()} for u, x in users.items()}
+
+
+def lists(df, who, what):
+    found = {}
+    for r in df.orderBy("place").collect():
+        found.setdefault(r[who], []).append((r[what], r.place, r.score))
+    return found
+
+
+def check(found, table, n):
+    for key, entries in found.items():
+        best = sorted(table[key].values(), reverse=True)[:n]
+        assert [p for _, p, _ in entries] == list(range(1, n + 1))
+        assert np.allclose([s for _, _, s in entries], best, atol=1e-3)
+        assert all(abs(table[key][w] - s) < 1e-3 for w, _, s in entries)
+
+
+def test_lists_are_the_best_products(spark, fitted, tmp_path):
+    model, _, _ = fitted
+    saved = als.settled(model, str(tmp_path / "model"))
+    table = scores(model)
+    turned = {i: {u: table[u][i] for u in table} for i in next(iter(table.values()))}
+    users, items = lists(als.for_all_users(saved, 5), "user", "item"), lists(als.for_all_items(saved, 5), "item", "user")
+    assert set(users) == set(table) and set(items) == set(turned)
+    check(users, table, 5)
+    check(items, turned, 5)
+
+    some = spark.createDataFrame([(1,), (7,), (7,), (999,)], "user int")
+    picked = lists(als.for_users(saved, some, 5), "user", "item")
+    assert picked == {u: users[u] for u in (1, 7)}
+    picked = lists(als.for_items(saved, some.withColumnRenamed("user", "item"), 5), "item", "user")
+    assert picked == {i: items[i] for i in (1, 7)}
+
+
+def test_repeated_ratings_are_averaged(spark, rows):
+    df = spark.createDataFrame([(1, 2, 1.0), (1, 2, 3.0), (1, 3, None), (None, 2, 1.0)], "u int, i int, r double")
+    assert rows(als.rating_matrix(df, "u", "i", "r")) == [(1, 2, 2.0)]
+
+
+def test_dense_ids(spark, tmp_path, rows):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), F.col("id") % 1000).alias("key"))
+    keys = keys.union(spark.createDataFrame([(None,)], "key string")).repartition(7)
+    numbered = ids.dense_ids(keys, "key", str(tmp_path / "ids"), "number")
+    assert numbered.count() == 1000
+    got = numbered.agg(F.min("number"), F.max("number"), F.count_distinct("number"), F.count_distinct("key"))
+    assert tuple(got.first()) == (0, 999, 1000, 1000)
+    assert dict(numbered.dtypes)["number"] == "int"
+
+
+def test_dense_ids_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "key string")
+    assert ids.dense_ids(empty, "key", str(tmp_path / "ids"), "number").count() == 0
+
+
+def test_too_many_ids_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ids, "MAX_IDS", 5)
+    with pytest.raises(ValueError):
+        ids.dense_ids(spark.range(6).selectExpr("cast(id as string) as key"), "key", str(tmp_path / "ids"), "n")

@@ -1,0 +1,30 @@
+import pytest
+
+from riverglass.operators import features
+
+
+def test_cleaning(spark, rows):
+    df = spark.createDataFrame([(1, 2.0, "b"), (2, None, "b"), (3, 4.0, "a"), (4, 100.0, "c")],
+                               "id int, x double, kind string")
+    cleaned = features.clean(df, ["x"], ["kind"], "kind <> 'c'")
+    assert rows(cleaned.select("id", "x_filled", "kind_index")) == [(1, 2.0, 0.0), (2, 3.0, 0.0), (3, 4.0, 1.0)]
+
+
+def test_unknown_categories_come_last(spark, rows):
+    known = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "x double, kind string")
+    fitted = features.cleaning(["x"], ["kind"]).fit(known)
+    other = spark.createDataFrame([(1.0, "z")], "x double, kind string")
+    assert fitted.transform(other).first().kind_index == 2.0
+
+
+def test_ids_are_no_categories(spark, monkeypatch):
+    monkeypatch.setattr(features, "MAX_CATEGORIES", 10)
+    with pytest.raises(ValueError):
+        features.check_categories(spark.range(100).selectExpr("cast(id as string) as k"), "k")
+
+
+def test_classifier_separates(spark):
+    df = spark.createDataFrame([([float(x), float(-x)], int(x > 0)) for x in range(-20, 21) if x],
+                               "features_in array<float>, label int")
+    model = features.train_classifier(df, "features_in", "label")
+    assert features.classify(model, df, "features_in").where("label <> prediction").count() == 0
