@@ -60,16 +60,36 @@ def mean_signal_by_type(devices: DataFrame) -> DataFrame:
     return devices.groupBy("device_type").agg(F.avg("signal").alias("mean_signal"))
 
 
-def device_stats(devices: DataFrame, above: float = 30.0) -> DataFrame:
-    """Count and mean signal of the strong devices of each type, in one pass."""
-    return strong_signals(devices, above).groupBy("device_type").agg(
+def devices_by_type_sql(devices: DataFrame) -> DataFrame:
+    devices.createOrReplaceTempView("riverglass_devices")
+    return devices.sparkSession.sql(
+        "SELECT device_type, count(1) AS devices FROM riverglass_devices GROUP BY device_type")
+
+
+def mean_signal_by_type_sql(devices: DataFrame) -> DataFrame:
+    devices.createOrReplaceTempView("riverglass_devices")
+    return devices.sparkSession.sql(
+        "SELECT device_type, avg(signal) AS mean_signal FROM riverglass_devices GROUP BY device_type")
+
+
+def device_stats(devices: DataFrame, above: float | None = 30.0) -> DataFrame:
+    """Count and mean signal per type in one pass, of the strong devices or (None) of all."""
+    chosen = devices if above is None else strong_signals(devices, above)
+    return chosen.groupBy("device_type").agg(
         F.count(F.lit(1)).alias("devices"), F.avg("signal").alias("mean_signal"))
 
 
-def device_stats_sql(devices: DataFrame, above: float = 30.0) -> DataFrame:
+def device_stats_sql(devices: DataFrame, above: float | None = 30.0) -> DataFrame:
     devices.createOrReplaceTempView("riverglass_devices")
+    condition = "true" if above is None else f"signal > {float(above)}"
     return devices.sparkSession.sql(f"""
         SELECT device_type, count(1) AS devices, avg(signal) AS mean_signal
         FROM riverglass_devices
-        WHERE signal > {float(above)}
+        WHERE {condition}
         GROUP BY device_type""")
+
+
+def messages_by_device(devices: DataFrame) -> DataFrame:
+    """Messages per type and device; a live job stores them, and the stored rows per type are the
+    exact number of distinct devices."""
+    return devices.groupBy("device_type", "device").agg(F.count(F.lit(1)).alias("messages"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riverglass.operators.als import AlsSettings, fit, load as load_factors, rating_matrix, save
+from riverglass.operators.als import AlsSettings, fit, load as load_factors, save
 from riverglass.operators.ids import dense_ids
 from riverglass.sinks.registry import Registry
 
@@ -21,10 +22,14 @@ class Recommender:
     students: DataFrame
     questions: DataFrame
 
+    def tables(self) -> list[DataFrame]:
+        return [self.students, self.questions, self.model.userFactors, self.model.itemFactors]
+
 
 def retrain(ratings: DataFrame, registry: Registry, folder: str,
             settings: AlsSettings = AlsSettings()) -> int:
-    """Train on (student_id, question_id, rating) rows, save under a new path, then publish it.
+    """Train on (student_id, question_id, rating) rows, one per pair, save under a new path, then
+    publish it.
 
     Runs jobs. Only one trainer may run at a time; readers may go on with the old version.
     """
@@ -33,8 +38,10 @@ def retrain(ratings: DataFrame, registry: Registry, folder: str,
     path = f"{folder}/version={version}"
     students = dense_ids(ratings, "student_id", f"{path}/students", "user")
     questions = dense_ids(ratings, "question_id", f"{path}/questions", "item")
-    numbered = ratings.join(students, "student_id").join(questions, "question_id")
-    model = fit(rating_matrix(numbered, "user", "item", "rating"), settings)
+    matrix = (ratings.where(F.col("rating").isNotNull())
+              .join(students, "student_id").join(questions, "question_id")
+              .select("user", "item", F.col("rating").cast("float").alias("rating")))
+    model = fit(matrix, settings)
     save(model, f"{path}/model")
     registry.publish(version, path)
     return version
@@ -47,7 +54,11 @@ def load(spark: SparkSession, version: int, path: str) -> Recommender:
 
 
 class CurrentModel:
-    """The published model, read again only when a newer version appears."""
+    """The published model, read again only when a newer version appears.
+
+    Ids and factors are kept on the executors, so that a micro-batch does not read them again; a
+    lost executor's share is read from the model's files.
+    """
 
     def __init__(self, registry: Registry):
         self.registry = registry
@@ -56,5 +67,14 @@ class CurrentModel:
     def get(self) -> Recommender | None:
         newest = self.registry.current()
         if newest and (self.loaded is None or self.loaded.version != newest.version):
+            self.release()
             self.loaded = load(self.registry.spark, newest.version, newest.path)
+            for table in self.loaded.tables():
+                table.persist(StorageLevel.MEMORY_AND_DISK)
         return self.loaded
+
+    def release(self) -> None:
+        if self.loaded is not None:
+            for table in self.loaded.tables():
+                table.unpersist()
+            self.loaded = None

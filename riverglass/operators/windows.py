@@ -33,9 +33,13 @@ def sliding_counts_by_panes(df: DataFrame, size: str, slide: str, keys: Sequence
     Rows are counted once per slide-long pane, and the panes, which are few, are then added up
     in each window that holds them. The size must be a multiple of the slide.
     """
-    panes = counts(df, F.window(ts, slide).alias("pane"), *keys)
-    spread = panes.select(
-        F.window(F.col("pane.start"), size, slide).alias("window"), *keys, "n")
+    panes = counts(df, F.window(ts, slide), *keys)
+    return windows_of_panes(edges(panes), size, slide, keys)
+
+
+def windows_of_panes(panes: DataFrame, size: str, slide: str, keys: Sequence[str]) -> DataFrame:
+    """Sliding counts from tumbling counts whose windows are `slide` long."""
+    spread = panes.select(F.window("window_start", size, slide).alias("window"), *keys, "n")
     return spread.groupBy("window", *keys).agg(F.sum("n").alias("n"))
 
 

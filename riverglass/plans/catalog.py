@@ -10,10 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riverglass.functions.text import LOOSE_TOKEN, segments, segments_by_lookup
+from riverglass.functions.text import segments, segments_by_lookup
 from riverglass.functions.times import utc_wall
 from riverglass.operators import als, devices as D, features, learning as L, ratings as R
-from riverglass.operators import searches as S, stations, toplists, windows as W
+from riverglass.operators import searches as S, stations, windows as W
+from riverglass.operators.models import CurrentModel
 from riverglass.plans import device_report, learning_loop, standins as G, topic_etl
 from riverglass.plans.search_report import search_report
 from riverglass.session import work_dir
@@ -169,6 +170,17 @@ def sliding_top3_live(spark, sf_dir):
     return wall_edges(LT.live_top(store, 3, "event_type"))
 
 
+@query
+def sliding_top3_live_panes(spark, sf_dir):
+    """The same from stored pane counts."""
+    out = work_dir(spark, "panes-live")
+    store = KeyedTable(spark, f"{out}/table", LT.live_counts_schema("event_type"),
+                       ["window_start", "window_end", "event_type"])
+    drain(LT.live_panes(G.events_stream(spark, sf_dir), "1 day", "event_type", "10 minutes", store),
+          f"{out}/checkpoint")
+    return wall_edges(LT.live_top_of_panes(store, "2 days", "1 day", 3, "event_type"))
+
+
 # --- devices ---------------------------------------------------------------------------------
 
 def device_table(spark, sf_dir):
@@ -190,6 +202,16 @@ def devices_by_type(spark, sf_dir):
     return D.devices_by_type(G.devices(G.given(spark, sf_dir, "events")))
 
 
+@query
+def devices_by_type_sql(spark, sf_dir):
+    return D.devices_by_type_sql(G.devices(G.given(spark, sf_dir, "events")))
+
+
+@query
+def mean_signal_by_type_sql(spark, sf_dir):
+    return D.mean_signal_by_type_sql(device_table(spark, sf_dir))
+
+
 @query
 def distinct_devices_by_type(spark, sf_dir):
     return D.devices_by_type(G.devices(G.given(spark, sf_dir, "events")), distinct=True)
@@ -210,31 +232,48 @@ def device_stats_sql(spark, sf_dir):
     return D.device_stats_sql(device_table(spark, sf_dir))
 
 
-def device_stats_live(spark, sf_dir, sql):
-    out = work_dir(spark, "devices")
+def device_stream(spark, sf_dir, out):
     count = G.device_topic(spark, sf_dir, f"{out}/iotTopic")
+    return G.replay(spark, f"{out}/iotTopic", "iotTopic", count)
+
+
+def device_stats_live(spark, sf_dir, above, sql):
+    out = work_dir(spark, "devices")
     store = KeyedTable(spark, f"{out}/table", device_report.STATS, ["device_type"])
-    stream = G.replay(spark, f"{out}/iotTopic", "iotTopic", count)
-    drain(device_report.live_stats(stream, store, sql=sql), f"{out}/checkpoint")
+    drain(device_report.live_stats(device_stream(spark, sf_dir, out), store, above, sql),
+          f"{out}/checkpoint")
     return store.current()
 
 
 @query
 def device_stats_stream(spark, sf_dir):
-    return device_stats_live(spark, sf_dir, sql=False)
+    return device_stats_live(spark, sf_dir, 30.0, sql=False)
 
 
 @query
 def device_stats_stream_sql(spark, sf_dir):
-    return device_stats_live(spark, sf_dir, sql=True)
+    return device_stats_live(spark, sf_dir, 30.0, sql=True)
+
+
+@query
+def all_device_stats_stream(spark, sf_dir):
+    return device_stats_live(spark, sf_dir, None, sql=False)
+
+
+@query
+def distinct_devices_stream(spark, sf_dir):
+    """Devices seen are stored live; the stored rows per type are counted."""
+    out = work_dir(spark, "devices-seen")
+    store = KeyedTable(spark, f"{out}/table", device_report.DEVICES_SEEN, ["device_type", "device"])
+    drain(device_report.live_devices(device_stream(spark, sf_dir, out), store), f"{out}/checkpoint")
+    return D.devices_by_type(store.current())
 
 
 @query
 def signal_over_30_stream(spark, sf_dir):
     out = work_dir(spark, "strong")
-    count = G.device_topic(spark, sf_dir, f"{out}/iotTopic")
-    stream = G.replay(spark, f"{out}/iotTopic", "iotTopic", count)
-    drain(device_report.live_strong(stream, f"{out}/rows"), f"{out}/checkpoint")
+    drain(device_report.live_strong(device_stream(spark, sf_dir, out), f"{out}/rows"),
+          f"{out}/checkpoint")
     rows = spark.read.schema("device string, device_type string, signal double, ts timestamp")
     return rows.parquet(f"{out}/rows").select(
         "device", "device_type", "signal", F.unix_millis("ts").alias("millis"))
@@ -387,7 +426,11 @@ def live_recs_store(spark, sf_dir):
                                als.AlsSettings(iterations=5))
     store = KeyedTable(spark, f"{out}/table", RECOMMENDATIONS, ["student_id"])
     stream = answer_stream(spark, sf_dir, out)
-    drain(learning_loop.recommend_live(stream, registry, 2, store), f"{out}/checkpoint")
+    models = CurrentModel(registry)
+    try:
+        drain(learning_loop.recommend_live(stream, models, 2, store), f"{out}/checkpoint")
+    finally:
+        models.release()
     return store
 
 

@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from riverglass.operators.devices import (device_rows, device_rows_sql, device_stats,
-                                          device_stats_sql, strong_signals)
+                                          device_stats_sql, messages_by_device, strong_signals)
 from riverglass.sinks.keyed import KeyedTable
 from riverglass.streaming.run import batches_to, files_to
 
 STATS = "device_type string, devices bigint, mean_signal double"
+DEVICES_SEEN = "device_type string, device string, messages bigint"
 
 
-def live_stats(messages: DataFrame, store: KeyedTable, above: float = 30.0,
+def live_stats(messages: DataFrame, store: KeyedTable, above: float | None = 30.0,
                sql: bool = False) -> DataStreamWriter:
-    """Count and mean signal of the strong devices per type.
+    """Count and mean signal per type, of the strong devices or (None) of all.
 
     Update mode: a batch stores the types it changed, and the store shows the newest row of each.
     """
@@ -24,6 +25,11 @@ def live_stats(messages: DataFrame, store: KeyedTable, above: float = 30.0,
     return batches_to(stats, store.write, "update")
 
 
+def live_devices(messages: DataFrame, store: KeyedTable) -> DataStreamWriter:
+    """The devices seen so far, for exact distinct counts."""
+    return batches_to(messages_by_device(device_rows(messages)), store.write, "update")
+
+
 def live_strong(messages: DataFrame, path: str, above: float = 30.0) -> DataStreamWriter:
     """The strong devices themselves, appended to files."""
     return files_to(strong_signals(device_rows(messages), above), path)

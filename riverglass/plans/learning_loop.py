@@ -46,6 +46,8 @@ def retrain_from(answers: DataFrame, registry: Registry, folder: str,
     return retrain(difficulty_ratings(answers), registry, folder, settings)
 
 
-def recommend_live(answers: DataFrame, registry: Registry, n: int,
+def recommend_live(answers: DataFrame, models: CurrentModel, n: int,
                    store: KeyedTable) -> DataStreamWriter:
-    return live_recommendations(answers, CurrentModel(registry), n, store.write)
+    """Recommendations for the students of each batch. The caller releases `models` when the
+    query has ended."""
+    return live_recommendations(answers, models, n, store.write)

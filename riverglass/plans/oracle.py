@@ -55,6 +55,11 @@ DEVICE_STATS = f"""
 SELECT device_type, count(*) AS devices, avg(signal) AS mean_signal
 FROM {DEVICES} WHERE signal > 30 GROUP BY device_type"""
 
+DEVICES_BY_TYPE = f"SELECT device_type, count(*) AS devices FROM {DEVICES} GROUP BY device_type"
+DISTINCT_DEVICES = f"""
+SELECT device_type, count(DISTINCT device) AS devices FROM {DEVICES} GROUP BY device_type"""
+MEAN_SIGNAL = f"SELECT device_type, avg(signal) AS mean_signal FROM {DEVICES} GROUP BY device_type"
+
 ANSWERS = f"""
 (SELECT CAST(user_id AS VARCHAR) AS student_id,
         event_type || '-' || CAST({K} AS VARCHAR) AS question_id,
@@ -115,16 +120,20 @@ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period, count(*) AS searches
     "tumbling_counts_stream": windows("'1 hour'", "'1 hour'", 1, TAIL.format(size="'1 hour'")),
     "sliding_top3_stream": window_top(windows("'2 days'", "'1 day'", 2, TAIL.format(size="'2 days'"))),
     "sliding_top3_live": window_top(windows("'2 days'", "'1 day'", 2)),
+    "sliding_top3_live_panes": window_top(windows("'2 days'", "'1 day'", 2)),
     "signal_over_30": STRONG,
     "signal_over_30_sql": STRONG,
-    "devices_by_type": f"SELECT device_type, count(*) AS devices FROM {DEVICES} GROUP BY device_type",
-    "distinct_devices_by_type": f"""
-SELECT device_type, count(DISTINCT device) AS devices FROM {DEVICES} GROUP BY device_type""",
-    "mean_signal_by_type": f"""
-SELECT device_type, avg(signal) AS mean_signal FROM {DEVICES} GROUP BY device_type""",
+    "devices_by_type": DEVICES_BY_TYPE,
+    "devices_by_type_sql": DEVICES_BY_TYPE,
+    "distinct_devices_by_type": DISTINCT_DEVICES,
+    "distinct_devices_stream": DISTINCT_DEVICES,
+    "mean_signal_by_type": MEAN_SIGNAL,
+    "mean_signal_by_type_sql": MEAN_SIGNAL,
     "device_stats": DEVICE_STATS,
     "device_stats_sql": DEVICE_STATS,
     "device_stats_stream": DEVICE_STATS,
+    "all_device_stats_stream": f"""
+SELECT device_type, count(*) AS devices, avg(signal) AS mean_signal FROM {DEVICES} GROUP BY device_type""",
     "device_stats_stream_sql": DEVICE_STATS,
     "signal_over_30_stream": f"""
 SELECT CAST(device AS VARCHAR) AS device, device_type, signal, epoch_us(ts) // 1000 AS millis

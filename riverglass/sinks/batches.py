@@ -37,7 +37,7 @@ def show(rows: int = 20) -> BatchSink:
 def files(path: str, fmt: str = "parquet") -> BatchSink:
     """One folder for each batch; a second delivery replaces the first."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        batch.hint("rebalance").write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
     return write
 
 

@@ -28,8 +28,9 @@ class KeyedTable:
         self.bases = Registry(spark, f"{path}/bases")
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        """The `foreachBatch` sink."""
-        (batch.select(*self.columns)
+        """The `foreachBatch` sink. Rebalancing keeps a batch from leaving one small file per
+        state partition."""
+        (batch.select(*self.columns).hint("rebalance")
          .write.mode("overwrite").parquet(f"{self.path}/changes/batch_id={batch_id}"))
 
     def history(self) -> DataFrame:

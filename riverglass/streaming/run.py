@@ -26,7 +26,28 @@ def drain(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
 def batches_to(stream: DataFrame, sink: Callable[[DataFrame, int], None],
                mode: str = "append") -> DataStreamWriter:
     """Any relational step and any sink on each micro-batch."""
-    return stream.writeStream.outputMode(mode).foreachBatch(sink)
+    return stream.writeStream.outputMode(mode).foreachBatch(adaptively(sink))
+
+
+def adaptively(sink: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """`sink` with adaptive execution.
+
+    Spark plans a stateful stream without it, as its state is tied to fixed partitions, and the
+    micro-batch's session inherits that. What the sink does with the finished batch is ordinary
+    batch work, whose joins and writes gain from skew handling and from merging small partitions.
+    """
+    key = "spark.sql.adaptive.enabled"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get(key)
+        conf.set(key, "true")
+        try:
+            sink(batch, batch_id)
+        finally:
+            conf.set(key, before)
+
+    return run
 
 
 def files_to(stream: DataFrame, path: str, fmt: str = "parquet") -> DataStreamWriter:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from riverglass.operators.windows import edges, sliding_counts, top_per_window, watermarked
+from riverglass.operators.windows import (edges, sliding_counts, top_per_window,
+                                          tumbling_counts, watermarked, windows_of_panes)
 from riverglass.sinks.keyed import KeyedTable
 from riverglass.streaming.run import batches_to
 
@@ -41,5 +42,21 @@ def live_top(store: KeyedTable, n: int, key: str) -> DataFrame:
     return top_per_window(store.current(), n, [key])
 
 
+def live_panes(stream: DataFrame, slide: str, key: str, delay: str, store: KeyedTable,
+               ts: str = "ts") -> DataStreamWriter:
+    """Store counts per `slide`-long pane; `live_top_of_panes` adds them up to sliding windows.
+
+    State and stored rows do not grow with size / slide, as they do in `live_counts`. A late row
+    is dropped when its pane is closed, which is earlier than the end of its last window.
+    """
+    counted = edges(tumbling_counts(watermarked(stream, ts, delay), slide, [key], ts))
+    return batches_to(counted, store.write, "update")
+
+
+def live_top_of_panes(store: KeyedTable, size: str, slide: str, n: int, key: str) -> DataFrame:
+    """The first `n` keys of each sliding window by the pane counts stored so far."""
+    return top_per_window(edges(windows_of_panes(store.current(), size, slide, [key])), n, [key])
+
+
 def live_counts_schema(key: str) -> str:
     return f"window_start timestamp, window_end timestamp, {key} string, n bigint"

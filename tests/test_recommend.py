@@ -50,7 +50,9 @@ def test_live(spark, tmp_path, answers):
 
     def run():
         stream = file_stream(spark, source, ANSWERS)
-        drain(learning_loop.recommend_live(stream, registry, 2, store), str(tmp_path / "checkpoint"))
+        models = CurrentModel(registry)
+        drain(learning_loop.recommend_live(stream, models, 2, store), str(tmp_path / "checkpoint"))
+        models.release()
 
     feed([("s1", "q1", 1)])
     run()

@@ -39,3 +39,16 @@ def test_panes_equal_sliding(spark, at, offsets):
     direct = clocks(W.edges(W.sliding_counts(df, "6 hours", "1 hour", ["key"])))
     assert clocks(W.edges(W.sliding_counts_by_panes(df, "6 hours", "1 hour", ["key"]))) == direct
     assert sum(n for _, _, n in direct) == 6 * len(offsets)
+
+
+def test_long_lists_per_group_are_dealt_out(spark):
+    from pyspark.sql import functions as F
+
+    from riverglass.operators import toplists as T
+
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, "cold").otherwise("hot").alias("g"),
+        (F.col("id") % 7).alias("n"), F.col("id").alias("key"))
+    long = T.top_per_group(df, 1500, ["g"], "n", ["key"])
+    plain = df.withColumn("place", F.expr("row_number() over (partition by g order by n desc, key)"))
+    assert sorted(long.collect()) == sorted(plain.where("place <= 1500").collect())
