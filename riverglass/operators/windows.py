@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from riverglass.operators.toplists import counts, top_per_group
 
+SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
+
 
 def watermarked(stream: DataFrame, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
     """Rows more than `delay` behind the newest time seen may be dropped, and state that old is
@@ -22,16 +24,33 @@ def tumbling_counts(df: DataFrame, size: str, keys: Sequence[str], ts: str = "ts
 
 def sliding_counts(df: DataFrame, size: str, slide: str, keys: Sequence[str],
                    ts: str = "ts") -> DataFrame:
-    """Rows per sliding window and key. Each row is counted in size / slide windows."""
+    """Rows per sliding window and key. Each row is counted in size / slide windows.
+
+    A table is counted by panes where the size allows it. A stream keeps its state per window.
+    """
+    if not df.isStreaming and is_multiple(size, slide):
+        return sliding_counts_by_panes(df, size, slide, keys, ts)
     return counts(df, F.window(ts, size, slide), *keys)
 
 
+def is_multiple(size: str, slide: str) -> bool:
+    """Whether windows are made of whole panes, for lengths such as "2 hours"."""
+    def seconds(length: str) -> float:
+        number, unit = length.split()
+        return float(number) * SECONDS[unit.lower().rstrip("s")]
+
+    try:
+        return seconds(size) % seconds(slide) == 0
+    except (KeyError, ValueError):  # another way to write an interval
+        return False
+
+
 def sliding_counts_by_panes(df: DataFrame, size: str, slide: str, keys: Sequence[str],
                             ts: str = "ts") -> DataFrame:
-    """`sliding_counts` for a table with many windows per row.
+    """Sliding counts of a table from counts per slide-long pane.
 
-    Rows are counted once per slide-long pane, and the panes, which are few, are then added up
-    in each window that holds them. The size must be a multiple of the slide.
+    Each row is counted once, and the panes, which are far fewer than the rows, are added up in
+    every window that holds them. The size must be a multiple of the slide.
     """
     panes = counts(df, F.window(ts, slide), *keys)
     return windows_of_panes(edges(panes), size, slide, keys)

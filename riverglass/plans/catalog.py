@@ -16,7 +16,6 @@ from riverglass.operators import als, devices as D, features, learning as L, rat
 from riverglass.operators import searches as S, stations, windows as W
 from riverglass.operators.models import CurrentModel
 from riverglass.plans import device_report, learning_loop, standins as G, topic_etl
-from riverglass.plans.search_report import search_report
 from riverglass.session import work_dir
 from riverglass.sinks import KeyedTable, Registry, fan_out, files
 from riverglass.sources.streams import MESSAGE
@@ -96,6 +95,12 @@ def user_top_terms(spark, sf_dir):
     return S.user_top_terms(G.user_searches(spark, sf_dir))
 
 
+@query
+def user_keywords_top10(spark, sf_dir):
+    """Hot keywords added up from the counts per user and term."""
+    return S.hot_keywords_from_pairs(S.user_term_counts(G.user_searches(spark, sf_dir)))
+
+
 @query
 def search_heat_by_hour(spark, sf_dir):
     return S.search_heat(G.given(spark, sf_dir, "events"))

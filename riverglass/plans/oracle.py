@@ -108,6 +108,9 @@ SELECT user_id, term, searches, place
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY searches DESC, term) AS INTEGER) AS place
       FROM ({USER_TERMS}))
 WHERE place <= 3""",
+    "user_keywords_top10": f"""
+SELECT term, CAST(sum(searches) AS BIGINT) AS searches FROM ({USER_TERMS})
+GROUP BY term ORDER BY searches DESC, term LIMIT 10""",
     "search_heat_by_hour": """
 SELECT CAST(hour(ts) AS INTEGER) AS period, count(*) AS searches FROM events GROUP BY 1""",
     "search_heat_by_day": """

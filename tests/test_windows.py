@@ -1,6 +1,9 @@
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from riverglass.operators import windows as W
+from pyspark.sql import functions as F
+
+from riverglass.operators import toplists as T, windows as W
+from riverglass.operators.toplists import counts
 
 
 def table(spark, events):
@@ -23,6 +26,13 @@ def test_sliding(spark, at):
         ("01 00:30", "a", 1), ("01 01:00", "a", 2), ("01 01:30", "a", 1)]
 
 
+def test_sizes_that_are_no_multiple(spark, at):
+    assert W.is_multiple("2 days", "12 hours") and not W.is_multiple("1 hour", "25 minutes")
+    assert not W.is_multiple("interval 1 hour", "1 hour")
+    df = table(spark, [(at("01:00"), "a")])
+    assert len(clocks(W.edges(W.sliding_counts(df, "1 hour", "25 minutes", ["key"])))) in (2, 3)
+
+
 def test_ties_and_short_windows(spark, at):
     events = [(at("00:01"), k) for k in "aaabbccdd"] + [(at("05:00"), "z")]
     counted = W.edges(W.tumbling_counts(table(spark, events), "1 hour", ["key"]))
@@ -36,16 +46,12 @@ def test_panes_equal_sliding(spark, at, offsets):
     from datetime import timedelta
 
     df = table(spark, [(at("00:00") + timedelta(seconds=s), k) for s, k in offsets])
-    direct = clocks(W.edges(W.sliding_counts(df, "6 hours", "1 hour", ["key"])))
-    assert clocks(W.edges(W.sliding_counts_by_panes(df, "6 hours", "1 hour", ["key"]))) == direct
+    direct = clocks(W.edges(counts(df, F.window("ts", "6 hours", "1 hour"), "key")))
+    assert clocks(W.edges(W.sliding_counts(df, "6 hours", "1 hour", ["key"]))) == direct
     assert sum(n for _, _, n in direct) == 6 * len(offsets)
 
 
 def test_long_lists_per_group_are_dealt_out(spark):
-    from pyspark.sql import functions as F
-
-    from riverglass.operators import toplists as T
-
     df = spark.range(6000).select(
         F.when(F.col("id") % 3 == 0, "cold").otherwise("hot").alias("g"),
         (F.col("id") % 7).alias("n"), F.col("id").alias("key"))
