@@ -74,6 +74,12 @@ def learning_report_sql(stored: DataFrame) -> DataFrame:
         GROUP BY student_id, subject""")
 
 
+def ratings_of_progress(stored: DataFrame) -> DataFrame:
+    """`difficulty_ratings` from `progress` rows."""
+    return stored.groupBy("student_id", "question_id").agg(
+        (F.sum("wrong") / F.sum("answers")).cast("float").alias("rating"))
+
+
 def difficulty_ratings(answers: DataFrame) -> DataFrame:
     """One rating per student and question: the share of wrong answers."""
     return answers.groupBy("student_id", "question_id").agg(
