@@ -1,8 +1,8 @@
 """Column functions: text, times and messages."""
 
-from riverglass.functions.messages import json_rows, json_text, parse_json, string_payload
+from riverglass.functions.messages import json_rows, json_text, number, parse_json, string_payload
 from riverglass.functions.text import segments, words
-from riverglass.functions.times import day_time, period, utc_wall
+from riverglass.functions.times import day_time, epoch_millis, epoch_seconds, period, utc_wall
 
-__all__ = ["day_time", "json_rows", "json_text", "parse_json", "period", "segments", "string_payload",
-           "utc_wall", "words"]
+__all__ = ["day_time", "epoch_millis", "epoch_seconds", "json_rows", "json_text", "number",
+           "parse_json", "period", "segments", "string_payload", "utc_wall", "words"]

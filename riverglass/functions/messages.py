@@ -17,6 +17,11 @@ def string_payload(value: Column) -> Column:
     return value.cast("string")
 
 
+def number(value: Column) -> Column:
+    """Text as a double; null if it is none, which "NaN" counts as."""
+    return F.nullif(value.try_cast("double"), F.lit(float("nan")))
+
+
 def parse_json(text: Column, schema: T.StructType | str) -> Column:
     """JSON text as a struct; text that is not JSON gives a struct of nulls."""
     return F.from_json(text, schema, {"mode": "PERMISSIVE"})

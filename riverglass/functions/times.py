@@ -25,6 +25,23 @@ def utc_wall(ts: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), epoch)
 
 
+# Years 1 to 9999; numbers outside make no timestamp, and casting them would end the job.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def epoch_millis(value: Column) -> Column:
+    """Milliseconds since 1970 as a timestamp; null if the value is no such number."""
+    number = value.try_cast("long")
+    known = number.between(FIRST_SECOND * 1000, LAST_SECOND * 1000 + 999)
+    return F.timestamp_millis(F.when(known, number))
+
+
+def epoch_seconds(value: Column) -> Column:
+    """Seconds since 1970 as a timestamp; null if the value is no such number."""
+    number = value.try_cast("long")
+    return F.timestamp_seconds(F.when(number.between(FIRST_SECOND, LAST_SECOND), number))
+
+
 def day_time(day: str, clock: Column) -> Column:
     """A timestamp from a fixed day and a column of clock times; null if the text is no time."""
     return F.try_to_timestamp(F.concat(F.lit(day + " "), clock), F.lit("yyyy-MM-dd HH:mm:ss"))

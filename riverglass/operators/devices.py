@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riverglass.functions.messages import json_rows, string_payload
+from riverglass.functions.messages import json_rows, number, string_payload
+from riverglass.functions.times import FIRST_SECOND, LAST_SECOND, epoch_millis
 
 # Numbers are read as text and cast, so that "89" and 89 both count and bad text becomes null.
 DEVICE = "device string, device_type string, signal string, time string"
@@ -15,20 +16,22 @@ def device_rows(messages: DataFrame) -> DataFrame:
     parsed = json_rows(messages, string_payload(F.col("value")), DEVICE)
     return parsed.where(F.col("device_type").isNotNull()).select(
         "device", "device_type",
-        F.col("signal").try_cast("double").alias("signal"),
-        F.timestamp_millis(F.col("time").try_cast("long")).alias("ts"),
+        number(F.col("signal")).alias("signal"),
+        epoch_millis(F.col("time")).alias("ts"),
     )
 
 
 def device_rows_sql(messages: DataFrame) -> DataFrame:
     """`device_rows` with SQL JSON functions."""
     messages.createOrReplaceTempView("riverglass_device_messages")
-    return messages.sparkSession.sql("""
+    return messages.sparkSession.sql(f"""
         SELECT get_json_object(text, '$.device') AS device,
                get_json_object(text, '$.device_type') AS device_type,
-               try_cast(get_json_object(text, '$.signal') AS double) AS signal,
-               timestamp_millis(try_cast(get_json_object(text, '$.time') AS bigint)) AS ts
-        FROM (SELECT cast(value AS string) AS text FROM riverglass_device_messages)
+               nullif(try_cast(get_json_object(text, '$.signal') AS double), double('NaN')) AS signal,
+               timestamp_millis(CASE WHEN millis BETWEEN {FIRST_SECOND * 1000}
+                                     AND {LAST_SECOND * 1000 + 999} THEN millis END) AS ts
+        FROM (SELECT text, try_cast(get_json_object(text, '$.time') AS bigint) AS millis
+              FROM (SELECT cast(value AS string) AS text FROM riverglass_device_messages))
         WHERE get_json_object(text, '$.device_type') IS NOT NULL""")
 
 
@@ -48,12 +51,12 @@ def devices_by_type(devices: DataFrame, distinct: bool = False, rsd: float = 0.0
     steps that spread one type over all tasks; approximate on streams, whose state holds a fixed
     size sketch per type."""
     if not distinct:
-        number = F.count(F.lit(1))
+        amount = F.count(F.lit(1))
     elif devices.isStreaming:
-        number = F.approx_count_distinct("device", rsd)
+        amount = F.approx_count_distinct("device", rsd)
     else:
-        number = F.count_distinct("device")
-    return devices.groupBy("device_type").agg(number.alias("devices"))
+        amount = F.count_distinct("device")
+    return devices.groupBy("device_type").agg(amount.alias("devices"))
 
 
 def mean_signal_by_type(devices: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riverglass.functions.messages import json_rows, string_payload
+from riverglass.functions.messages import json_rows, number, string_payload
 from riverglass.operators.toplists import top
 
 ANSWER = ("student_id string, question_id string, subject string, grade string, "
@@ -25,7 +25,7 @@ def answer_rows(messages: DataFrame) -> DataFrame:
     parsed = json_rows(messages, string_payload(F.col("value")), ANSWER)
     typed = parsed.select(
         "student_id", "question_id", "subject", "grade",
-        F.col("score").try_cast("double").alias("score"),
+        number(F.col("score")).alias("score"),
         F.col("correct").try_cast("int").alias("correct"),
         F.try_to_timestamp("ts").alias("ts"),
     )

@@ -294,7 +294,7 @@ def station_etl(spark, sf_dir):
     rule = (stations.complete_calls(statuses=("click", "purchase", "signup", "view"))
             & (F.col("duration") >= 10))
     drain(topic_etl.files_to_files(spark, f"{out}/stationTopic", f"{out}/etlTopic", rule,
-                                   files_per_batch=-(-count // 4)), f"{out}/checkpoint")
+                                   files_per_batch=G.half(count)), f"{out}/checkpoint")
     cleaned = stations.station_rows(spark.read.schema(MESSAGE).parquet(f"{out}/etlTopic"))
     return cleaned.withColumn("call_time", utc_wall(F.col("call_time")))
 
@@ -346,7 +346,7 @@ def learning_report_stored(spark, sf_dir):
     store = KeyedTable(spark, f"{out}/table", learning_loop.PROGRESS,
                        ["student_id", "subject", "question_id"])
     drain(learning_loop.live_progress(answer_stream(spark, sf_dir, out), store), f"{out}/checkpoint")
-    store.compact(1)
+    store.compact(0)
     report = L.learning_report_sql(store.current())
     return (report.withColumn("first_answer", utc_wall(F.col("first_answer")))
             .withColumn("last_answer", utc_wall(F.col("last_answer"))))

@@ -117,5 +117,9 @@ def answer_topic(spark: SparkSession, sf_dir: str, path: str) -> int:
 
 
 def replay(spark: SparkSession, path: str, topic: str, files: int) -> DataFrame:
-    """The topic as a stream of four micro-batches, so that state is carried over."""
-    return topic_replay(spark, path, topic, files_per_batch=-(-files // 4))
+    """The topic as a stream of two micro-batches, so that state is carried over."""
+    return topic_replay(spark, path, topic, files_per_batch=half(files))
+
+
+def half(files: int) -> int:
+    return -(-files // 2)

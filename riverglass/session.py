@@ -12,6 +12,8 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Settings every job wants, whatever the cluster. Sizes (executors, memory, shuffle partitions)
 # belong to the deployment and are left to spark-submit.
 SETTINGS = {
+    # Remove a checkpoint's files once nothing refers to it.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Event times are UTC wall clock; pinning the zone keeps window edges the same everywhere.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

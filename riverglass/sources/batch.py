@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riverglass.functions.times import day_time
+from riverglass.functions.messages import number
+from riverglass.functions.times import day_time, epoch_seconds
 
 RAW_SEARCH_LOG = "time string, user_id string, query string, result_rank string, click_seq string, url string"
 SEARCH_LOG = "ts timestamp, user_id string, query string, result_rank int, click_seq int, url string"
@@ -69,6 +70,6 @@ def ratings(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame
     return raw.select(
         F.col("user_id").try_cast("int").alias("user_id"),
         F.col("movie_id").try_cast("int").alias("movie_id"),
-        F.col("rating").try_cast("double").alias("rating"),
-        F.timestamp_seconds(F.col("seconds").try_cast("long")).alias("ts"),
+        number(F.col("rating")).alias("rating"),
+        epoch_seconds(F.col("seconds")).alias("ts"),
     )

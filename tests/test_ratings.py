@@ -34,6 +34,6 @@ def test_sql_is_the_same_plan(spark):
 
 def test_delimited_ratings(spark, tmp_path, rows):
     path = tmp_path / "ratings.dat"
-    path.write_text("1::10::4.5::978300760\n2::10::x::978300760\n")
+    path.write_text("1::10::4.5::978300760\n2::10::NaN::9999999999999999\n")
     got = ratings(spark, str(path), "::")
     assert rows(got.select("user_id", "movie_id", "rating")) == [(1, 10, 4.5), (2, 10, None)]
