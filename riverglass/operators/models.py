@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riverglass.operators.als import AlsSettings, fit, load as load_factors, save
 from riverglass.operators.ids import dense_ids
+from riverglass.session import reliable
 from riverglass.sinks.registry import Registry
 
 
@@ -36,10 +37,11 @@ def retrain(ratings: DataFrame, registry: Registry, folder: str,
     newest = registry.current()
     version = newest.version + 1 if newest else 1
     path = f"{folder}/version={version}"
+    # Read three times below: once is enough for what lies behind it.
+    ratings = reliable(ratings.where(F.col("rating").isNotNull()))
     students = dense_ids(ratings, "student_id", f"{path}/students", "user")
     questions = dense_ids(ratings, "question_id", f"{path}/questions", "item")
-    matrix = (ratings.where(F.col("rating").isNotNull())
-              .join(students, "student_id").join(questions, "question_id")
+    matrix = (ratings.join(students, "student_id").join(questions, "question_id")
               .select("user", "item", F.col("rating").cast("float").alias("rating")))
     model = fit(matrix, settings)
     save(model, f"{path}/model")

@@ -16,7 +16,7 @@ from riverglass.operators import als, devices as D, features, learning as L, rat
 from riverglass.operators import searches as S, stations, windows as W
 from riverglass.operators.models import CurrentModel
 from riverglass.plans import device_report, learning_loop, standins as G, topic_etl
-from riverglass.session import work_dir
+from riverglass.session import reliable, work_dir
 from riverglass.sinks import KeyedTable, Registry, fan_out, files
 from riverglass.sources.streams import MESSAGE
 from riverglass.streaming import toplists as LT
@@ -415,7 +415,7 @@ def als_subset_item_recs_shape(spark, sf_dir):
 
 @query
 def als_rmse(spark, sf_dir):
-    train, test = als.split(G.part_matrix(spark, sf_dir))
+    train, test = als.split(reliable(G.part_matrix(spark, sf_dir)))
     return als.evaluate(als.fit(train, als.AlsSettings(iterations=5)), train, test)
 
 
