@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riverglass.session import work_dir
@@ -65,3 +66,54 @@ def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     np.add.at(change, starts, 1)
     np.add.at(change, ends, -1)
     return np.cumsum(change[:n]) > 0
+
+
+def pack(**columns) -> bytes:
+    """Columns of equal length as one compressed value; few large values shuffle better than many short rows."""
+    batch = pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values()],
+                                       names=list(columns))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(values: Iterable[bytes]) -> pa.Table | None:
+    """The rows of packed values, None if there are none."""
+    parts = [pa.ipc.open_stream(v).read_all() for v in values]
+    return pa.concat_tables(parts).combine_chunks() if parts else None
+
+
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+
+
+def deal(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The rows of each shard, in their order."""
+    order = np.argsort(shard, kind="stable")
+    edges = np.flatnonzero(np.concatenate(([True], np.diff(shard[order]) != 0, [True]))) if len(shard) else [0]
+    for a, b in zip(edges, edges[1:]):
+        yield int(shard[order[a]]), order[a:b]
+
+
+def shard_of(ids: np.ndarray, marks: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of documents with these keys."""
+    mixed = (ids * 31 + marks).view(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed ^ (mixed >> np.uint64(32))) % np.uint64(shards)).astype(np.int64)
+
+
+def sharded_texts(docs: DataFrame, shards: int) -> DataFrame:
+    """(shard, packed): documents as packed columns id, hash and text (bytes), by shard."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, marks = batch.column(ID).to_numpy(), batch.column(HASH).to_numpy()
+            number, packed = [], []
+            for shard, rows in deal(shard_of(ids, marks, shards)):
+                number.append(shard)
+                packed.append(pack(id=ids[rows], hash=marks[rows], text=batch.column("text").take(pa.array(rows))))
+            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(packed, pa.binary())],
+                                             names=["shard", "packed"])
+
+    return keyed(docs).select(ID, HASH, F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(
+        scan, "shard long, packed binary")

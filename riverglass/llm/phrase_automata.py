@@ -9,13 +9,12 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from riverglass.llm.common import HASH, ID, covered, keyed, real_id, word_blocks
+from riverglass.llm.common import ID, covered, real_id, unpack, word_blocks
 from riverglass.llm.repeats import repeats
 
 WINDOW, GRAM = 50, 12
-SHARD_BYTES = 8 << 20  # text of the documents that one shard's automata are streamed over
 AUTOMATON_WORDS = 2_000_000  # words of the passages in one automaton
 
 
@@ -27,11 +26,6 @@ def word_hashes(data: bytes) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(id, hash, first, last, class, witness): passages of `window` words or more that a smaller id has too."""
-    return repeats(docs, word_hashes, window, gram, within=False)
-
-
 class Shard:
     """The documents of a shard as word numbers, and automata over its passages."""
 
@@ -72,34 +66,40 @@ def removal_report(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
 
     A word goes if a sequence of `window` words that covers it also starts in a document with a
     smaller id (null is the smallest). Recurring passages are confirmed on all documents first.
-    Documents are then dealt to shards of about SHARD_BYTES; a shard's automata hold the
+    Documents are then dealt to shards of a few megabytes; a shard's automata hold the
     passages that occur in it, each once, and every document is streamed through them. Null texts have
     no words; rows that repeat id and text get the same result.
     """
-    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
-    shard = F.pmod(F.xxhash64(ID, HASH), F.lit(shards))
-    found = passages(docs, window, gram).groupBy(shard.alias("shard"), "class", (F.col("last") - F.col("first")).alias("more")).agg(
-        F.min(F.struct(ID, HASH, "first", "last")).alias("at"), F.min("witness").alias("witness")).select(
-        "shard", f"at.{ID}", f"at.{HASH}", "at.first", "at.last", "witness")
-
-    def locate(texts: pa.Table, found: pa.Table) -> pa.Table:
-        ids, marks = texts.column(ID).to_pylist(), texts.column(HASH).to_pylist()
-        shard = Shard([t or b"" for t in texts.column("text").to_pylist()])
-        place = {k: i for i, k in enumerate(zip(ids, marks))}
-        patterns: dict[tuple, int] = {}
-        for row in zip(*(found.column(c).to_pylist() for c in (ID, HASH, "first", "last", "witness"))):
-            codes = shard.codes[place[row[:2]]][row[2]:row[3] + window]
-            patterns[codes] = min(row[4], patterns.get(codes, row[4]))
-        gone = shard.removed(patterns, ids)
-        kept = []
-        for words, mask in zip(shard.words, gone):
-            kept.append(hashlib.sha256(b" ".join([w for w, g in zip(words, mask.tolist()) if not g])).hexdigest())
+    texts, spans = repeats(docs, word_hashes, window, gram, within=False)
+
+    def locate(texts: pa.Table, spans: pa.Table) -> pa.Table:
+        given, found = unpack(texts.column("packed").to_pylist()), unpack(spans.column("packed").to_pylist())
+        ids = given.column("id").to_pylist() if given else []
+        marks = given.column("hash").to_pylist() if given else []
+        shard = Shard([t or b"" for t in given.column("text").to_pylist()] if given else [])
+        gone = shard.removed(_patterns(shard, dict(zip(zip(ids, marks), range(len(ids)))), found, window), ids)
+        kept = [hashlib.sha256(b" ".join([w for w, g in zip(words, mask.tolist()) if not g])).hexdigest()
+                for words, mask in zip(shard.words, gone)]
         return pa.table({ID: pa.array(ids, pa.int64()), "n_words": pa.array([len(w) for w in shard.words], pa.int64()),
                          "n_removed": pa.array([int(g.sum()) for g in gone], pa.int64()),
                          "kept_sha256": pa.array(kept, pa.string())})
 
-    texts = keyed(docs).select(shard.alias("shard"), ID, HASH, F.col("text").cast("string").cast("binary").alias("text"))
-    return texts.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(
+    return texts.groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(
         locate, f"{ID} long, n_words long, n_removed long, kept_sha256 string").select(
         real_id().alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+def _patterns(shard: Shard, place: dict, found: pa.Table | None, window: int) -> dict[tuple, int]:
+    """The shard's passages, each once, with the smallest known document that has it."""
+    if found is None:
+        return {}
+    content, more, witness = (found.column(c).to_numpy() for c in ("content", "more", "witness"))
+    order = np.lexsort((witness, more, content))
+    new = np.concatenate(([True], (np.diff(content[order]) != 0) | (np.diff(more[order]) != 0)))
+    rows = found.take(pa.array(order[new]))
+    patterns: dict[tuple, int] = {}
+    for ident, mark, first, longer, least in zip(*(rows.column(c).to_pylist() for c in (
+            "id", "hash", "first", "more", "witness"))):
+        codes = shard.codes[place[ident, mark]][first:first + longer + window]
+        patterns[codes] = min(least, patterns.get(codes, least))
+    return patterns

@@ -18,9 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riverglass.llm.common import HASH, ID, covered, keyed, runs, stored
+from riverglass.llm.common import (
+    HASH, ID, covered, deal, keyed, pack, runs, shard_of, sharded_texts, stored, text_bytes, unpack)
 
 PIECE = 1 << 20  # elements handled at once
+SHARD_BYTES = 8 << 20  # text of the documents that are looked at together
+BUCKET_BYTES = 16 << 20  # text whose regions, or windows, meet in one bucket
 SAMPLE = 64  # one document in so many is read for anchors that are very common
 COMMON = 2000  # at most so many anchors are kept as common
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -84,11 +87,11 @@ def regions(values: np.ndarray, window: int, gram: int) -> Iterator[tuple[np.nda
 
 
 def _mine(docs: DataFrame, elements: Callable[[bytes], np.ndarray], window: int, gram: int,
-          common: list[int], within: bool) -> DataFrame:
-    """One row per region: (route, anchor, class, id, hash, first, last, witness).
+          common: list[int], within: bool, buckets: int) -> DataFrame:
+    """(bucket, packed): regions by the bucket of their anchor.
 
-    Of equal regions in one batch of rows only the first needs its anchor; the others repeat it and
-    have its document as `witness`. Very common anchors are routed by class too.
+    Of equal regions in one batch of rows only the first needs its anchor; the others repeat it,
+    have its document as `witness` and may go to any bucket. Very common anchors are dealt by class too.
     """
     heavy = np.array(sorted(common), np.int64)
 
@@ -100,142 +103,185 @@ def _mine(docs: DataFrame, elements: Callable[[bytes], np.ndarray], window: int,
                 data = text.as_py()
                 if data:
                     for found in regions(elements(data), window, gram):
-                        parts.append((np.full(len(found[0]), row), *found))
+                        parts.append((np.full(len(found[0]), row, np.int32), *found))
             if not parts:
                 continue
             row, anchor, content, first, last = (np.concatenate(x) for x in zip(*parts))
-            anchor, content = anchor.view(np.int64), content.view(np.int64)
+            del parts
+            # 48 bits of each: together 96 bits tell regions apart
+            anchor, content = (anchor >> np.uint64(16)).view(np.int64), (content >> np.uint64(16)).view(np.int64)
             order = np.lexsort((first, marks[row], ids[row], content, anchor))
             row, anchor, content, first, last = (x[order] for x in (row, anchor, content, first, last))
             ident, mark = ids[row], marks[row]
             new = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])))
             lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
             once = np.concatenate(([True], new[1:] | (ident[1:] != ident[:-1]) | (mark[1:] != mark[:-1])
-                                   | (first[1:] != first[:-1])))  # a row of the input given twice
+                                   | (first[1:] != first[:-1])))  # else a row of the input given twice
             again = ~new if within else ident > ident[lead]
-            route = np.where(np.isin(anchor, heavy), anchor ^ content, anchor)
-            route = np.where(again, ident ^ first, route)
-            columns = [pa.array(x[once]) for x in (route, anchor, content, ident, mark, first.astype(np.int32),
-                                                   last.astype(np.int32))]
-            witness = pa.array(ident[lead][once], mask=~again[once])
-            yield pa.RecordBatch.from_arrays(
-                [*columns, witness], names=["route", "anchor", "class", ID, HASH, "first", "last", "witness"])
+            common_one = np.isin(anchor, heavy)
+            route = np.where(again, ident ^ first, np.where(common_one, anchor ^ content, anchor))
+            bucket = np.where(once, (mixed(route.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), -1)
+            witness = pa.array(ident[lead], mask=~again)
+            number, packed = [], []
+            for which, at in deal(bucket):
+                if which >= 0:
+                    at = at[np.lexsort((first[at], ident[at]))]  # neighbours pack well
+                    number.append(which)
+                    packed.append(pack(
+                        anchor=anchor[at], content=content[at], id=ident[at], hash=mark[at],
+                        first=first[at].astype(np.int32), more=(last - first)[at].astype(np.int32),
+                        heavy=common_one[at], witness=witness.take(pa.array(at))))
+            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(packed, pa.binary())],
+                                             names=["bucket", "packed"])
 
     return keyed(docs).select(ID, HASH, F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(
-        scan, f"route long, anchor long, class long, {ID} long, {HASH} long, first int, last int, witness long")
+        scan, "bucket long, packed binary")
 
 
-def common_anchors(docs: DataFrame, elements, window: int, gram: int, within: bool) -> list[int]:
+def common_anchors(docs: DataFrame, elements, window: int, gram: int) -> list[int]:
     """Anchors that take a large part of the regions in a sample; the list only spreads work."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [x[0] for text in batch.column("text") if text.is_valid
+                     for x in regions(elements(text.as_py()), window, gram)]
+            if found:
+                anchor, n = np.unique(np.concatenate(found) >> np.uint64(16), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(n)], names=["anchor", "n"])
+
     some = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
-    counts = _mine(some, elements, window, gram, [], within).groupBy("anchor").agg(F.count("*").alias("n"))
+    counts = some.select(F.col("text").cast("string").cast("binary").alias("text")).mapInArrow(
+        scan, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     return [r.anchor for r in counts.where("n >= 16").orderBy(F.desc("n"), "anchor").limit(COMMON).collect()]
 
 
-FOUND = f"{ID} long, {HASH} long, first int, last int, class long, witness long"
-
-
-def _compare(mined: DataFrame, within: bool) -> DataFrame:
-    """Repeated regions (with a witness) and regions whose windows must be compared (without)."""
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["route", "anchor", "class", ID, HASH, "first", "last"]
-        state = None  # the row before: its values, its class's first document, classes so far
-        pending: list[np.ndarray] = []  # rows of a group's only class so far, kept if another follows
-
-        def packed(rows: np.ndarray, witness: np.ndarray | None) -> pa.RecordBatch:
-            columns = [pa.array(rows[:, 3]), pa.array(rows[:, 4]), pa.array(rows[:, 5].astype(np.int32)),
-                       pa.array(rows[:, 6].astype(np.int32)), pa.array(rows[:, 2]),
-                       pa.nulls(len(rows), pa.int64()) if witness is None else pa.array(witness)]
-            return pa.RecordBatch.from_arrays(columns, names=[ID, HASH, "first", "last", "class", "witness"])
-
-        for batch in batches:
-            every = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in names])
-            known = np.asarray(batch.column("witness").is_valid())
-            if known.any():
-                yield packed(every[known], batch.column("witness").filter(pa.array(known)).to_numpy())
-            rows = every[~known]
-            before = np.vstack([rows[:1] if state is None else state[0], rows[:-1]]) if len(rows) else rows
-            differs = rows != before
-            once = differs[:, :6].any(1)
-            if state is None and len(rows):
-                once[0] = True
-            rows, differs = rows[once], differs[once]
-            n = len(rows)
-            if not n:
-                continue
-            group = differs[:, 0] | differs[:, 1]
-            if state is None:
-                group[0] = True
-            new = group | differs[:, 2]
-            lead = np.maximum.accumulate(np.where(new, np.arange(n), -1))
-            holder = np.where(lead < 0, state[1] if state else 0, rows[lead, 3])
-            number = np.cumsum(new)
-            start = np.maximum.accumulate(np.where(group, np.arange(n), -1))
-            classes = np.where(start < 0, number + (state[2] if state else 0), number - number[start] + 1)
-            again = ~new if within else rows[:, 3] > holder
-            if again.any():
-                yield packed(rows[again], holder[again])
-            # A group ends where the next begins; the last one may go on.
-            ends = np.flatnonzero(np.concatenate((group[1:], [True])))
-            total = classes[ends][np.searchsorted(ends, np.arange(n))]
-            open_ = np.arange(n) > (ends[-2] if len(ends) > 1 else -1)
-            heavy = rows[:, 0] != rows[:, 1]
-            compare = ~again & (heavy | (total > 1))
-            if pending and start[0] < 0 and total[0] > 1:
-                compare_too = np.vstack(pending)
-                yield packed(compare_too, None)
-            if start[0] >= 0 or len(ends) > 1 or total[0] > 1:
-                pending = []
-            if compare.any():
-                yield packed(rows[compare], None)
-            hold = ~again & ~heavy & open_ & (total == 1)
-            if hold.any():
-                pending.append(rows[hold])
-            state = rows[-1:], holder[-1], classes[-1]
-
-    return mined.repartition("route").sortWithinPartitions(
-        "route", "anchor", "class", ID, HASH, "first").mapInArrow(walk, FOUND)
-
-
-def _windows(docs: DataFrame, spans: DataFrame, elements, window: int) -> DataFrame:
-    """(whole, id, hash, place) for each window of the given regions."""
-    lists = spans.groupBy(ID, HASH).agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ident, mark, text, spans in zip(*(batch.column(c) for c in (ID, HASH, "text", "spans"))):
-                values = elements(text.as_py())
-                values_of = spans.values
-                first = values_of.field("first").to_numpy()
-                last = values_of.field("last").to_numpy()
-                # Only the parts with such regions are hashed.
-                starts, ends = runs(covered(len(values) - window + 1, first, last + 1))
-                for a, b in zip(starts, ends):
-                    for at in range(a, b, PIECE):
-                        stop = min(b, at + PIECE)
-                        whole = grams(values[at:stop + window - 1], window)[0].view(np.int64)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(whole), pa.array(np.full(len(whole), ident.as_py())),
-                             pa.array(np.full(len(whole), mark.as_py())),
-                             pa.array(np.arange(at, stop, dtype=np.int32))], names=["whole", ID, HASH, "place"])
-
-    texts = keyed(docs).select(ID, HASH, F.col("text").cast("string").cast("binary").alias("text"))
-    return texts.join(lists, [ID, HASH]).mapInArrow(scan, f"whole long, {ID} long, {HASH} long, place int")
+def _column(table: pa.Table, name: str) -> np.ndarray:
+    return table.column(name).to_numpy()
+
+
+def _out(shards: int, known: bool, ident, mark, first, more, content, witness) -> Iterator[tuple]:
+    """Rows (known, shard, packed) of spans by the shard of their document."""
+    for shard, at in deal(shard_of(ident, mark, shards)):
+        yield known, shard, pack(id=ident[at], hash=mark[at], first=first[at], more=more[at], content=content[at],
+                                 witness=witness[at])
+
+
+SPANS = "known boolean, shard long, packed binary"
+
+
+def _spans(rows: list[tuple]) -> pa.Table:
+    return pa.table({"known": pa.array([r[0] for r in rows], pa.bool_()),
+                     "shard": pa.array([r[1] for r in rows], pa.int64()),
+                     "packed": pa.array([r[2] for r in rows], pa.binary())})
+
+
+def _compare(mined: DataFrame, within: bool, shards: int) -> DataFrame:
+    """Repeated regions (known) and regions whose windows must be compared."""
+    def judge(table: pa.Table) -> pa.Table:
+        rows = unpack(table.column("packed").to_pylist())
+        anchor, content, ident, mark, first, more, heavy = (
+            _column(rows, c) for c in ("anchor", "content", "id", "hash", "first", "more", "heavy"))
+        witness = rows.column("witness")
+        sure = np.asarray(witness.is_valid())
+        out = list(_out(shards, True, ident[sure], mark[sure], first[sure], more[sure], content[sure],
+                        witness.drop_null().to_numpy()))
+        at = np.flatnonzero(~sure)
+        at = at[np.lexsort((first[at], mark[at], ident[at], content[at], anchor[at]))]
+        anchor, content, ident, mark, first, more, heavy = (
+            x[at] for x in (anchor, content, ident, mark, first, more, heavy))
+        n = len(at)
+        if n:
+            group = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+            new = group | np.concatenate(([True], content[1:] != content[:-1]))
+            lead = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            twice = np.concatenate(([False], ~new[1:] & (ident[1:] == ident[:-1]) & (mark[1:] == mark[:-1])
+                                    & (first[1:] == first[:-1])))
+            again = (~new if within else ident > ident[lead]) & ~twice
+            of = np.cumsum(group) - 1
+            several = np.bincount(of, new)[of] > 1
+            compare = ~again & ~twice & (heavy | several)
+            out += _out(shards, True, *(x[again] for x in (ident, mark, first, more, content, ident[lead])))
+            out += _out(shards, False, *(x[compare] for x in (ident, mark, first, more, content, ident)))
+        return _spans(out)
+
+    return mined.groupBy("bucket").applyInArrow(judge, SPANS)
+
+
+def _windows(texts: DataFrame, spans: DataFrame, elements, window: int, within: bool, shards: int,
+             buckets: int) -> DataFrame:
+    """Windows of the given regions that occur earlier.
+
+    Every shard names each window once, by its first place; a window's other places in the shard
+    are later ones of it. The named ones meet by their content.
+    """
+    def cut(texts: pa.Table, spans: pa.Table) -> pa.Table:
+        parts, found = [], unpack(spans.column("packed").to_pylist())
+        if found is not None and len(texts):
+            ident, mark, first, more = (_column(found, c) for c in ("id", "hash", "first", "more"))
+            order = np.lexsort((mark, ident))
+            ident, mark, first, more = ident[order], mark[order], first[order], more[order]
+            edges = np.flatnonzero(np.concatenate(([True], (np.diff(ident) != 0) | (np.diff(mark) != 0), [True])))
+            wanted = {(ident[a], mark[a]): (first[a:b], more[a:b]) for a, b in zip(edges, edges[1:])}
+            for value in texts.column("packed"):
+                rows = unpack([value.as_py()])
+                for doc, sum_, text in zip(_column(rows, "id"), _column(rows, "hash"), rows.column("text")):
+                    if (doc, sum_) not in wanted:
+                        continue
+                    values = elements(text.as_py())
+                    begin, longer = wanted.pop((doc, sum_))  # a repeated row is looked at once
+                    for a, b in zip(*runs(covered(len(values) - window + 1, begin, begin + longer + 1))):
+                        for at in range(a, b, PIECE):
+                            stop = min(b, at + PIECE)
+                            whole = grams(values[at:stop + window - 1], window)[0]
+                            parts.append((whole, np.full(len(whole), doc), np.full(len(whole), sum_),
+                                          np.arange(at, stop, dtype=np.int32)))
+        rows = []
+        if parts:
+            whole, ident, mark, place = (np.concatenate(x) for x in zip(*parts))
+            order = np.lexsort((place, mark, ident, whole))
+            whole, ident, mark, place = whole[order].view(np.int64), ident[order], mark[order], place[order]
+            new = np.concatenate(([True], whole[1:] != whole[:-1]))
+            lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            again = ~new if within else ident > ident[lead]
+            rows += [(shard, None, packed) for _, shard, packed in _out(
+                shards, True, *(x[again] for x in (ident, mark, place, np.zeros(len(place), np.int32), whole, ident[lead])))]
+            whole, ident, mark, place = (x[~again] for x in (whole, ident, mark, place))
+            for bucket, at in deal((mixed(whole.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)):
+                at = at[np.lexsort((place[at], mark[at], ident[at]))]
+                rows.append((None, bucket, pack(whole=whole[at], id=ident[at], hash=mark[at], place=place[at])))
+        return pa.table({"shard": pa.array([r[0] for r in rows], pa.int64()),
+                         "bucket": pa.array([r[1] for r in rows], pa.int64()),
+                         "packed": pa.array([r[2] for r in rows], pa.binary())})
+
+    def judge(table: pa.Table) -> pa.Table:
+        rows = unpack(table.column("packed").to_pylist())
+        whole, ident, mark, place = (_column(rows, c) for c in ("whole", "id", "hash", "place"))
+        order = np.lexsort((place, mark, ident, whole))
+        whole, ident, mark, place = (x[order] for x in (whole, ident, mark, place))
+        new = np.concatenate(([True], whole[1:] != whole[:-1]))
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        again = ~new if within else ident > ident[lead]
+        return _spans(list(_out(shards, True, *(x[again] for x in (
+            ident, mark, place, np.zeros(len(place), np.int32), whole, ident[lead])))))
+
+    named = stored(texts.groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(
+        cut, "shard long, bucket long, packed binary"), "windows")
+    met = named.where("bucket is not null").select("bucket", "packed").groupBy("bucket").applyInArrow(judge, SPANS)
+    return met.select("shard", "packed").unionByName(named.where("bucket is null").select("shard", "packed"))
 
 
 def repeats(docs: DataFrame, elements: Callable[[bytes], np.ndarray], window: int, gram: int,
-            within: bool) -> DataFrame:
-    """(id, hash, first, last, class, witness): runs of windows that occur earlier.
+            within: bool) -> tuple[DataFrame, DataFrame]:
+    """(texts, spans), both (shard, packed): documents and their runs of windows that occur earlier.
 
-    Earlier means under a smaller id, which is the witness, or with `within` also before, in
-    the order of id, text hash and place.
+    Packed spans have the columns id, hash, first, more (the run's windows after the first),
+    content (equal for equal runs) and witness, a document with the run. Earlier means in a
+    document with a smaller id, or with `within` before in the order of id, text hash and place.
     """
-    common = common_anchors(docs, elements, window, gram, within)
-    found = stored(_compare(_mine(docs, elements, window, gram, common, within), within), "regions")
-    single = stored(_windows(docs, found.where("witness is null"), elements, window), "windows")
-    place = F.struct(ID, HASH, "place") if within else F.struct(F.col(ID))
-    least = single.groupBy("whole").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most")
-    later = single.join(least.select("whole", "least"), "whole").where(place > F.col("least")).select(
-        ID, HASH, F.col("place").alias("first"), F.col("place").alias("last"), F.col("whole").alias("class"),
-        F.col(f"least.{ID}").alias("witness"))
-    return found.where("witness is not null").unionByName(later)
+    size = text_bytes(docs)
+    shards, buckets = max(1, -(-size // SHARD_BYTES)), max(1, -(-size // BUCKET_BYTES))
+    texts = sharded_texts(docs, shards)
+    common = common_anchors(docs, elements, window, gram)
+    found = stored(_compare(_mine(docs, elements, window, gram, common, within, buckets), within, shards), "regions")
+    open_ = found.where("not known").select("shard", "packed")
+    later = _windows(texts, open_, elements, window, within, shards, buckets)
+    return texts, found.where("known").select("shard", "packed").unionByName(later)

@@ -10,16 +10,15 @@ are done at once, and only where a bucket splits are the suffixes between anchor
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from riverglass.llm.common import HASH, ID, covered, keyed, real_id, runs
+from riverglass.llm.common import ID, covered, real_id, runs, unpack
 from riverglass.llm.repeats import mixed, repeats
 
 LENGTH, GRAM = 100, 32
+_NONE = np.zeros(0, np.int64)
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -27,13 +26,6 @@ def byte_hashes(data: bytes) -> np.ndarray:
     return _BYTES[np.frombuffer(data, np.uint8)]
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """(id, hash, spans): starts and ends of `length`-byte strings that start earlier, runs of them at once."""
-    found = repeats(docs, byte_hashes, length, gram, within=True)
-    return found.groupBy(ID, HASH).agg(F.collect_list(
-        F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end"))).alias("spans"))
-
-
 def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per row of `docs`: doc_id, n_bytes, n_removed, n_spans and kept_sha256 of the remaining bytes.
 
@@ -41,26 +33,39 @@ def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     doc_id (null is the smallest), or earlier in its own text. Null texts are empty; rows that
     repeat id and text are one document; different texts of one id are ordered by their hash.
     """
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for ident, text, spans in zip(*(batch.column(c) for c in (ID, "text", "spans"))):
-                data = np.frombuffer(text.as_py() or b"", np.uint8)
-                starts = ends = np.zeros(0, np.int64)
-                if spans.is_valid:
-                    starts, ends = runs(covered(len(data), spans.values.field("start").to_numpy(),
-                                                spans.values.field("end").to_numpy()))
+    texts, spans = repeats(docs, byte_hashes, length, gram, within=True)
+
+    def cut(texts: pa.Table, spans: pa.Table) -> pa.Table:
+        found = by_document(spans.column("packed").to_pylist())
+        rows = []
+        for value in texts.column("packed"):
+            given = unpack([value.as_py()])
+            for ident, mark, text in zip(*(given.column(c).to_pylist() for c in ("id", "hash", "text"))):
+                data = np.frombuffer(text or b"", np.uint8)
+                first, more = found.get((ident, mark), (_NONE, _NONE))
+                starts, ends = runs(covered(len(data), first, first + more + length))
                 digest, at = hashlib.sha256(), 0
                 for a, b in zip(starts, ends):
                     digest.update(data[at:a])
                     at = b
                 digest.update(data[at:])
-                rows.append((ident.as_py(), len(data), int((ends - starts).sum()), len(starts), digest.hexdigest()))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                             names=[ID, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                rows.append((ident, len(data), int((ends - starts).sum()), len(starts), digest.hexdigest()))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+        return pa.Table.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                    names=[ID, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    texts = keyed(docs).select(ID, HASH, F.col("text").cast("string").cast("binary").alias("text"))
-    return texts.join(repeated_spans(docs, length, gram), [ID, HASH], "left").select(ID, "text", "spans").mapInArrow(
+    return texts.groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(
         cut, f"{ID} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").select(
         real_id().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def by_document(packed: list[bytes]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """(first, more) of the packed spans for each document's key."""
+    table = unpack(packed)
+    if table is None:
+        return {}
+    ident, mark, first, more = (table.column(c).to_numpy() for c in ("id", "hash", "first", "more"))
+    order = np.lexsort((mark, ident))
+    ident, mark = ident[order], mark[order]
+    edges = np.flatnonzero(np.concatenate(([True], (np.diff(ident) != 0) | (np.diff(mark) != 0), [True])))
+    return {(int(ident[a]), int(mark[a])): (first[order[a:b]], more[order[a:b]]) for a, b in zip(edges, edges[1:])}
