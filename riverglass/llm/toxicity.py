@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, functions as F
 
 SAMPLE = 20_000  # labelled documents that the model is fitted on, chosen by a hash of their ids
 VOCABULARY = 4096  # features with the strongest association
-LEAST_ROWS = 5  # toxic documents that a feature must occur in
+LEAST_ROWS = 3  # toxic documents that a feature must occur in
 PREFIX = 5
-ROUNDS, RATE, RIDGE = 400, 0.1, 2e-4
+ROUNDS, RATE, RIDGE = 400, 0.1, 1e-5
 EDGES = ".,;:!?\"'()[]*#|"
 
 
