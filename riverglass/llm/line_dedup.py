@@ -8,7 +8,7 @@ of no segment recur cannot share a variant and emit none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riverglass.llm.common import HASH, ID, keyed, real_id, stored
 
@@ -61,31 +61,32 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         "at.h1", "at.h2", "at.first", F.expr("lines[at.first.place]").alias("line"))
 
 
-def _variants(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(h1, h2, first, key) for replaced characters, and the same with `full` for inserted ones.
+def _variants(lines: DataFrame) -> DataFrame:
+    """(h1, h2, first, full, key): the keys of each line's variants.
 
-    Lines with a key of the first kind are equal but for the character at one place. Under a key of
-    the second kind one line is `full`, the others become it by one deletion.
+    `full` null: lines with the key are equal but for the character at one place. Else one line,
+    `full` true, is the variant itself, and the others become it by one deletion.
     """
     n = F.char_length("line")
     segments = lines.select("h1", "h2", "first", "line", n.alias("n"),
                             F.inline(_around(SEGMENTS, F.col("line"), n)))
     alike = segments.join(_repeated(segments), "outside", "left_semi")
     middle = alike.withColumn("middle", F.substr("line", F.col("left") + 1, F.col("n") - F.col("left") - F.col("rest")))
-    middle = middle.withColumn("long", F.char_length("middle"))
+    long = F.char_length("middle")
+
+    def variant(full: bool | None, *parts: Column) -> Column:
+        return F.struct(F.lit(full).cast("boolean").alias("full"), F.xxhash64(F.lit(full is None), *parts).alias("key"))
 
     def deletion(i: Column) -> Column:
-        return F.concat(F.substr("middle", F.lit(1), i - 1), F.substr("middle", i + 1, F.col("long")))
+        return F.concat(F.substr("middle", F.lit(1), i - 1), F.substr("middle", i + 1, long))
 
-    some = middle.where("long > 0")
-    places = F.sequence(F.lit(1), F.col("long"))
-    who = ["h1", "h2", "first"]
-    replaced = some.where("own").select(*who, F.explode(F.transform(
-        places, lambda i: F.xxhash64("outside", i, deletion(i)))).alias("key")).distinct()
-    shorter = some.where("not own").select(*who, F.lit(False).alias("full"), F.explode(F.array_distinct(
-        F.transform(places, lambda i: F.xxhash64("outside", deletion(i))))).alias("key"))
-    whole = middle.where("own").select(*who, F.lit(True).alias("full"), F.xxhash64("outside", "middle").alias("key"))
-    return replaced, whole.unionByName(shorter)
+    none = F.array().cast("array<struct<full:boolean,key:bigint>>")
+    places = F.sequence(F.lit(1), long)
+    replaced = F.transform(places, lambda i: variant(None, F.col("outside"), i, deletion(i)))
+    shorter = F.transform(places, lambda i: variant(False, F.col("outside"), deletion(i)))
+    whole = F.array(variant(True, F.col("outside"), F.col("middle")))
+    own = F.concat(F.when(long > 0, replaced).otherwise(none), whole)
+    return middle.select("h1", "h2", "first", F.inline(F.when(F.col("own"), own).when(long > 0, shorter).otherwise(none)))
 
 
 def near_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
@@ -94,18 +95,17 @@ def near_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
     some = halves.join(_repeated(halves), "outside", "left_semi").select("h1", "h2").distinct()
     wanted = first.join(some, ["h1", "h2"], "left_semi").select("h1", "h2", "first")
     lines = stored(_texts(docs, wanted), "candidate-lines")
-    replaced, inserted = _variants(lines)
+    # Lines of one key differ in one character, so their number is bounded by the alphabet.
     me = F.struct("first", "h1", "h2")
-    # Every line of a key is one replacement away from the key's earliest line.
-    lead = replaced.groupBy("key").agg(F.min(me).alias("lead"), F.max(me).alias("last")).where("lead <> last")
-    pairs = replaced.join(lead, "key").where(me != F.col("lead")).select("h1", "h2", "lead")
-    # The full line of a key is one insertion away from each of the others.
-    full = inserted.where("full").select("key", me.alias("full_line"))
-    least = inserted.where("not full").groupBy("key").agg(F.min(me).alias("lead"))
-    after = full.join(least, "key").where("lead < full_line").select("full_line.h1", "full_line.h2", "lead")
-    before = inserted.where("not full").join(full, "key").where(F.col("full_line") < me).select(
-        "h1", "h2", F.col("full_line").alias("lead"))
-    found = pairs.unionByName(after).unionByName(before).distinct()
+    one = W.partitionBy("key")
+    met = _variants(lines).select(
+        "h1", "h2", "full", me.alias("me"), F.min(me).over(one).alias("least"),
+        F.min(F.when(F.col("full"), me)).over(one).alias("whole"),
+        F.min(F.when(~F.col("full"), me)).over(one).alias("longer"))
+    # A key's earliest line is one replacement away from its others; the full line is one
+    # insertion away from each of the longer ones.
+    lead = F.when(F.col("full").isNull(), F.col("least")).when(F.col("full"), F.col("longer")).otherwise(F.col("whole"))
+    found = met.withColumn("lead", lead).where("lead < me").select("h1", "h2", "lead").distinct()
     texts = lines.select("h1", "h2", "line")
     earlier = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("earlier"))
     both = found.select("h1", "h2", F.col("lead.h1").alias("g1"), F.col("lead.h2").alias("g2")).join(
