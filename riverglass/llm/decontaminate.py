@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import math
+import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F
 
 from riverglass.llm.common import ID, keyed, real_id
 
-TOKEN = regex.compile(r"[\p{L}\p{M}\p{N}]+")
-ANSWER = regex.compile(r"(?:\n|[.!?]\s)\s*(?=\S)")
+TOKEN = re.compile(r"[^\W_]+")  # letters and digits of any script
+ANSWER = re.compile(r"(?:\n|[.!?]\s)\s*(?=\S)")
 K1, B = 1.2, 0.75
 BLOCK = 32  # postings per block of a list
 INDEX_BYTES = 4 << 20  # text of the items that one broadcast index holds
@@ -66,80 +67,70 @@ class Index:
                 lists.setdefault(term, []).append((at, weight / total))
         self.postings = {t: ([p[0] for p in ps], [p[1] for p in ps]) for t, ps in lists.items()}
         # The largest weight of each block, and the last item in it.
-        self.blocks = {t: [(max(ws[i:i + BLOCK]), ids[min(i + BLOCK, len(ids)) - 1])
-                           for i in range(0, len(ids), BLOCK)] for t, (ids, ws) in self.postings.items()}
+        self.blocks = {t: ([max(ws[i:i + BLOCK]) for i in range(0, len(ids), BLOCK)],
+                           [ids[min(i + BLOCK, len(ids)) - 1] for i in range(0, len(ids), BLOCK)])
+                       for t, (ids, ws) in self.postings.items()}
         self.most = {t: max(ws) for t, (_, ws) in self.postings.items()}
-        self.needed = self._needed(lists)
+        self.asks = self._asks(lists)
+        self.needed = frozenset(self.asks)
 
-    def _needed(self, lists) -> frozenset[str]:
-        """Terms of which a passage must have one: without an item's, its others stay below the share."""
+    def _asks(self, lists) -> dict[str, list[int]]:
+        """Items by their needed terms: without any of an item's, its others stay below the share."""
         by_item: dict[int, list[tuple[int, int, str, float]]] = {}
         for term, posts in lists.items():
             for at, weight in posts:
                 by_item.setdefault(at, []).append((len(posts), -len(term), term, weight))
-        needed = set()
-        for terms in by_item.values():
+        asks: dict[str, list[int]] = {}
+        for at, terms in by_item.items():
             left = 0.0
             for _, _, term, weight in sorted(terms, reverse=True):  # the commonest, then the shortest first
                 left += weight
                 if left >= self.share - 1e-9:
-                    needed.add(term)
-        return frozenset(needed)
+                    asks.setdefault(term, []).append(at)
+        return asks
 
     def search(self, terms: set[str]) -> list[tuple[int, float]]:
-        """All items that a passage with these terms gives `share` or more of their own score."""
-        lists = [[self.postings[t], self.blocks[t], self.most[t], 0] for t in terms if t in self.postings]
+        """All items that a passage with these terms gives `share` or more of their own score.
+
+        Pivots are the items that have one of their needed terms here, in rising order. At each one the
+        maxima of the blocks it would lie in bound its score; lists are read from the
+        heaviest on, and the bound falls with each, until the item is scored or out of reach.
+        """
+        pivots = {item for t in terms if t in self.asks for item in self.asks[t]}
+        if not pivots:
+            return []
+        lists = sorted(((self.most[t], *self.postings[t], *self.blocks[t]) for t in terms if t in self.postings),
+                       key=lambda x: -x[0])
         found, least = [], self.share - 1e-9
-        while True:
-            lists = [x for x in lists if x[3] < len(x[0][0])]
-            lists.sort(key=lambda x: x[0][0][x[3]])
-            bound, pivot = 0.0, None
-            for k, x in enumerate(lists):
-                bound += x[2]
-                if bound >= least:
-                    pivot = k
+        for item in sorted(pivots):
+            here, bound = [], 0.0
+            for _, ids, weights, most, ends in lists:
+                block = bisect_left(ends, item)
+                if block < len(ends):
+                    bound += most[block]
+                    here.append((ids, weights, block * BLOCK, most[block]))
+            score = 0.0
+            for ids, weights, start, most in here:
+                if bound < least:
                     break
-            if pivot is None:
-                return found
-            item = lists[pivot][0][0][lists[pivot][3]]
-            while pivot + 1 < len(lists) and lists[pivot + 1][0][0][lists[pivot + 1][3]] == item:
-                pivot += 1
-            # The blocks in which the pivot would lie give a tighter bound.
-            bound, until = 0.0, None
-            for x in lists[:pivot + 1]:
-                block = x[3] // BLOCK
-                while block < len(x[1]) and x[1][block][1] < item:
-                    block += 1
-                if block < len(x[1]):
-                    bound += x[1][block][0]
-                    until = x[1][block][1] if until is None else min(until, x[1][block][1])
-            if bound < least:
-                if pivot + 1 < len(lists):
-                    until = min(until, lists[pivot + 1][0][0][lists[pivot + 1][3]] - 1)
-                self._advance(lists[:pivot + 1], until + 1)
-            elif lists[0][0][0][lists[0][3]] == item:
-                score = 0.0
-                for x in lists[:pivot + 1]:
-                    score += x[0][1][x[3]]
-                    x[3] += 1
-                if score >= least:
-                    found.append((item, score))
-            else:
-                self._advance(lists[:pivot + 1], item)
-
-    @staticmethod
-    def _advance(lists, item: int) -> None:
-        for x in lists:
-            ids, at = x[0][0], x[3]
-            while at < len(ids) and ids[at] < item:
-                at += 1
-            x[3] = at
+                at = bisect_left(ids, item, start, min(start + BLOCK, len(ids)))
+                weight = weights[at] if at < len(ids) and ids[at] == item else 0.0
+                score += weight
+                bound += weight - most
+            if bound >= least and score >= least:
+                found.append((item, score))
+        return found
 
     def passages(self, words: list[str]) -> Iterator[tuple[int, int]]:
-        """Spans of twice the longest item, half overlapping, so that any item lies whole in one."""
-        step = self.longest
-        for start in range(0, max(1, len(words) - step), step):
-            yield start, min(len(words), start + 2 * step)
+        """Spans of twice the longest item, half overlapping, so that any item lies whole in one.
+
+        Those without a needed term are left out, as no item can be found for them.
+        """
+        step, needed = self.longest, self.needed
+        last = max(0, -(-(len(words) - step) // step) - 1)
+        hits = {i // step for i, w in enumerate(words) if w in needed}
+        for at in sorted({min(k, last) for h in hits for k in (h - 1, h) if k >= 0}):
+            yield at * step, min(len(words), (at + 2) * step)
 
     def matches(self, text: str, n: int) -> Iterator[tuple[int, float, float, float]]:
         """(item, score, question overlap, answer overlap) of the best passage for each item found."""
@@ -148,10 +139,7 @@ class Index:
             return
         best: dict[int, tuple[float, float, float]] = {}
         for start, end in self.passages(words):
-            terms = set(words[start:end])
-            if self.needed.isdisjoint(terms):
-                continue
-            for at, score in self.search(terms):
+            for at, score in self.search(set(words[start:end])):
                 question, answer = self.parts[at]
                 around = words[max(0, start - self.longest):end + self.longest]
                 sets = {k: {tuple(around[i:i + k]) for i in range(len(around) - k + 1)}
