@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,6 +278,18 @@ def test_nearest_recall_with_few_visits(spark):
     assert sum(len(got[q] & {i for i, _ in near}) for q, near in want.items()) >= 0.9 * 5 * len(want)
 
 
+def test_nearest_is_whole_where_a_query_first_visits_few(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = list(enumerate(rng.normal(size=(40_000, 48))))
+    assert len(rows) > 6 * multi_index.VISIT
+    pq.write_table(pa.table({"vec_id": [i for i, _ in rows], "embedding": [v for _, v in rows]}), tmp_path / "v.parquet")
+    table_ = spark.read.parquet(str(tmp_path / "v.parquet"))
+    got = {}
+    for r in multi_index.neighbours(table_, F.col("vec_id") % 2000 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [i for i, _ in near] for q, near in brute.nearest(rows, every=2000).items()}
+
+
 def test_crf_chain_is_exact():
     rng = np.random.default_rng(5)
     unary, turn = rng.normal(size=(1, 6)), rng.normal(size=(2, 2))
