@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from riverglass.llm.common import HASH, ID, keyed, real_id, stored
+from riverglass.llm.common import HASH, ID, WORD, keyed, real_id, stored
 
-MIN_CHARS = 20  # shorter lines ("}", "References") repeat by nature and are kept
+MIN_CHARS = 20  # shorter lines ("1.", "2.") differ in one character by nature: only exact repeats of them go
 SEGMENTS = 16
 
 
@@ -37,13 +37,17 @@ def _around(parts: int, text: Column, n: Column) -> Column:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(id, hash, place, h1, h2, halves) of the lines that count; h1 and h2 identify a line."""
+    """(id, hash, place, h1, h2, halves) of the lines that count; h1 and h2 identify a line.
+
+    Blank lines under MIN_CHARS do not count; `halves` is empty for other lines that short.
+    """
     split = keyed(docs).select(ID, HASH, F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    long = split.withColumn("n", F.char_length("line")).where(F.col("n") >= MIN_CHARS)
+    long = F.col("n") >= MIN_CHARS
+    lines = split.withColumn("n", F.char_length("line")).where(long | F.col("line").rlike(WORD))
     halves = F.transform(_around(2, F.col("line"), F.col("n")), lambda s: s["outside"])
-    return long.select(ID, HASH, "place", F.xxhash64("line").alias("h1"),
+    return lines.select(ID, HASH, "place", F.xxhash64("line").alias("h1"),
                        F.xxhash64(F.lit("line"), "line").alias("h2"),
-                       F.array_distinct(halves).alias("halves"))
+                       F.when(long, F.array_distinct(halves)).otherwise(F.array().cast("array<bigint>")).alias("halves"))
 
 
 def _repeated(rows: DataFrame) -> DataFrame:
@@ -139,9 +143,10 @@ def _kept(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """`docs` without lines that repeat an earlier line; documents of which nothing is left go.
 
-    Lines are parts between line feeds, order is by doc_id (null first), then place. A line of at
-    least MIN_CHARS characters goes if an earlier line is equal or within one edit, also if that
-    line goes itself. Null and empty texts stay as they are; rows that repeat id and
+    Lines are parts between line feeds, order is by doc_id (null first), then place. A line
+    that is not blank goes if an earlier line is equal, and one of at least MIN_CHARS characters also
+    if an earlier line as long is within one edit, even if that line goes itself. Blank lines of fewer
+    characters stay. Null and empty texts stay as they are; rows that repeat id and
     text are one document and get the same text. Other columns pass through.
     """
     rows = _kept(docs).where("__rg_removed is null or size(__rg_removed) < size(__rg_lines)")

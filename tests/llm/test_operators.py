@@ -146,6 +146,13 @@ def test_line_removal_on_edits_everywhere(spark):
     assert got == {k: v[:2] for k, v in brute.line_removal(rows).items()}
 
 
+def test_short_lines_go_if_equal(spark):
+    rows = [(1, "Les.\n\n}\nLes.\nLet."), (2, "}\n \n\nA line of twenty chars\nLes."), (3, "Les.\n}"), (4, " ")]
+    left = line_dedup.dedup_lines(table(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in left.collect()) == [
+        (1, "Les.\n\n}\nLet."), (2, " \n\nA line of twenty chars"), (4, " ")]
+
+
 def test_deduped_documents(spark):
     rows = [(1, "A line of twenty chars\nend"), (2, "A line of twenty chars"), (3, ""), (4, None),
             (None, "A line of twenty char\nof no id"), (1, "A line of twenty chars\nend")]
