@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riverglass.llm import (
-    decontaminate, line_crf, line_dedup, mixing, multi_index, phrase_automata, simhash_bktree,
-    suffix_buckets, toxicity, warc)
+    conversation_repair, decontaminate, line_crf, line_dedup, merkle_manifest, mixing, multi_index,
+    phrase_automata, rank_profiles, simhash_bktree, suffix_buckets, toxicity, warc)
 from riverglass.session import work_dir
 
 
@@ -54,6 +54,19 @@ def op10_suffix_buckets(spark, sf_dir):
     return suffix_buckets.removal_report(table(spark, sf_dir, "documents"), length=100)
 
 
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op12_rank_profiles(spark, sf_dir):
+    return rank_profiles.languages(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle_manifest.proof_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_simhash_bktree, op3_warc, op4_decontamination, op5_line_dedup, op6_phrase_automata,
-    op7_line_crf, op8_mixing, op9_multi_index, op10_suffix_buckets)}
+    op7_line_crf, op8_mixing, op9_multi_index, op10_suffix_buckets,
+    op11_conversation_repair, op12_rank_profiles, op13_merkle_manifest)}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -179,3 +181,139 @@ def nearest(vectors, every=50, k=5):
             best = np.lexsort((ids, -score))[:k]
             out[q] = [(int(ids[b]), float(score[b])) for b in best if score[b] > -2]
     return out
+
+
+def damage(rows):
+    """Rows (conv, turn, role, text) with planted faults; conversations of which nothing is left stay as keys."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        part = zlib.crc32(":".join(" " if x is None else str(x) for x in (conv, turn)).encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        out[conv] += []
+        if part == 1:
+            text = ""
+        elif part == 2:
+            text = re.sub("[.!?]", "", text)
+        elif part == 4:
+            role = "user"
+        out[conv] += [(turn, role, text)] * (0 if part == 0 else 2 if part == 3 else 1)
+    return out
+
+
+def repaired(rows):
+    """Counts and the cheapest repair of one conversation's (turn, role, text), by trying every edit at every row."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    faults, seen = [], set()
+    for _, role, text in rows:
+        solid = WORD.findall(text)
+        faults.append("blank" if not solid else "duplicate" if (role, text) in seen
+                      else "truncated" if solid[-1][-1] not in ".!?" else "")
+        seen.add((role, text))
+    # The grammar as a table over the initials so far.
+    follow = {"": "su", "s": "u", "u": "a", "a": "u"}
+
+    @functools.cache
+    def best(i, last, inserts):
+        """(cost, audit, turns) of rows i on, after a turn `last`, with so many insertions left in a row."""
+        found = [(0, "", ())] if i == len(rows) and last in ("", "a") else []
+        if inserts:
+            for role in ("user", "assistant"):
+                if role[0] in follow[last]:
+                    c, a, t = best(i, role[0], inserts - 1)
+                    found.append((c + 5, "I" + a, ((role, ""), *t)))
+        if i < len(rows):
+            _, role, text = rows[i]
+            c, a, t = best(i + 1, last, 2)
+            found.append((c + 2, "D" + a, t))
+            if faults[i] not in ("blank", "duplicate"):
+                more = 5 if faults[i] == "truncated" else 0
+                for new in ("user", "assistant"):
+                    if new[0] in follow[last]:
+                        c, a, t = best(i + 1, new[0], 2)
+                        found.append((c + 1 + more, "R" + a, ((new, text), *t)))
+                if role[:1] and role[:1] in follow[last]:
+                    c, a, t = best(i + 1, role[:1], 2)
+                    found.append((c + more, "K" + a, ((role, text), *t)))
+        return min(found, default=(10**9, "", ()))
+
+    cost, audit, turns = best(0, "", 2)
+    known = [t for t, _, _ in rows if t is not None]
+    initials = [r[:1] for _, r, _ in rows]
+    return (max(known) - min(known) + 1 - len(set(known)) if known else 0, faults.count("blank"), faults.count("duplicate"),
+            faults.count("truncated"), sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])), cost, audit,
+            hashlib.sha256("\n".join(f"{r}:{t}" for r, t in turns).encode()).hexdigest())
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def manifest(docs):
+    """Sorted rows (doc_id, leaf, subroot, root, proof, folded root, verified) of (doc_id, source, lang, n_chars, text)."""
+    def leaf(row):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def grow(level):
+        """All levels from the leaves to the top, each a list of digests."""
+        levels = [level]
+        while len(levels[-1]) > 1:
+            now = levels[-1]
+            levels.append([sha("".join(now[i:i + 16])) for i in range(0, len(now), 16)])
+        return levels
+
+    def path(levels, at):
+        """(left, right) siblings from the level up."""
+        for level in levels[:-1]:
+            run = at // 16 * 16
+            yield "".join(level[run:at]), "".join(level[at + 1:run + 16])
+            at //= 16
+
+    by_source = defaultdict(list)
+    for row in docs:
+        by_source[row[1]].append(row)
+    order = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    for s in order:
+        by_source[s].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+    trees = {s: grow([leaf(r) for r in by_source[s]]) for s in order}
+    upper = grow([trees[s][-1][0] for s in order])
+    out = []
+    for k, s in enumerate(order):
+        for at, row in enumerate(by_source[s]):
+            steps = [*path(trees[s], at), *path(upper, k)]
+            now = row
+            if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0 and row[4] is not None:
+                now = (*row[:4], row[4].translate({c: c + 32 for c in range(65, 91)}))
+            folded = leaf(now)
+            for left, right in steps:
+                folded = sha(left + folded + right)
+            out.append((row[0], leaf(row), trees[s][-1][0], upper[-1][0], sha("".join(a + b for a, b in steps)), folded,
+                        folded == upper[-1][0]))
+    return sorted(out, key=repr)
+
+
+def language_profiles(docs, most=400):
+    """{lang: {n-gram: rank}} of (doc_id, text, lang), from rows that are not held out."""
+    counts = defaultdict(Counter)
+    for i, t, lang in docs:
+        if i is not None and zlib.crc32(str(i).encode()) % 4 != 2 and t is not None and lang is not None:
+            counts[lang].update(ngrams(t))
+    return {lang: {g: r for r, (g, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], len(x[0]), x[0]))[:most])}
+            for lang, c in counts.items()}
+
+
+def ngrams(text):
+    for word in re.findall(r"[^\W\d_]+", text.lower()):
+        padded = f" {word} "
+        for n in (1, 2, 3):
+            yield from (padded[i:i + n] for i in range(len(padded) - n + 1) if padded[i:i + n] != " ")
+
+
+def language(profiles, text, most=400, own=300):
+    """(language, score) by summing how far every n-gram is out of place."""
+    counts = Counter(ngrams(text or ""))
+    mine = [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], len(x[0]), x[0]))[:own]]
+    if not mine or not profiles:
+        return "und", 0.0
+    far = {lang: sum(min(most, abs(r - p[g])) if g in p else most for r, g in enumerate(mine)) for lang, p in profiles.items()}
+    best = min(far, key=lambda x: (far[x], x))
+    return best, 1 - far[best] / (most * len(mine))
