@@ -103,14 +103,17 @@ def close(a, b):
 
 
 def line_removal(docs, least=20):
-    """{doc_id: (lines, removed, remaining text)} of (doc_id, text)."""
-    earlier, by_length, out = {}, defaultdict(list), {}
+    """{doc_id: (lines, removed, remaining text)} of (doc_id, text); below `least` only exact repeats of lines with a word go."""
+    earlier, short, by_length, out = {}, set(), defaultdict(list), {}
     for i, t in sorted(docs, key=lambda d: d[0]):
         lines = t.split("\n") if t is not None else []
         kept = []
         for x in lines:
             if len(x) < least:
-                kept.append(x)
+                if x not in short:
+                    kept.append(x)
+                if WORD.search(x):
+                    short.add(x)
                 continue
             known = x in earlier
             if not known:
