@@ -2,60 +2,178 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator
+import functools
+from collections.abc import Callable, Iterable, Mapping
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-WORD = r"[\p{L}]+"
-# What is kept where no dictionary term starts: a Latin or digit run, else one Han character.
-LOOSE_TOKEN = r"[a-zA-Z0-9]+|\p{IsHan}"
-
-# A Java alternation tries its branches one after the other, so it is only used for short lists.
-MAX_PATTERN_TERMS = 500
-# The dictionary travels with the task closure; this bounds what each executor receives.
-MAX_TERMS = 2_000_000
-MAX_DICTIONARY_CHARS = 32_000_000
+# A word is a run of letters, marks and digits of any script.
+WORD = r"[\p{L}\p{M}\p{N}]+"
+# Scripts that put no blanks between words. Where the dictionary has no term, one such character (with its
+# marks) stands alone; characters of other scripts go together up to the next one of these.
+ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+# The cost of a loose character. A term costs 1000 times the negative logarithm of its share, so this
+# is about that of a term seen once in e^20 = 485 million.
+LOOSE_COST = 20_000
+CACHED_WORDS = 200_000  # words whose segmentation a task keeps
 
 
 def words(text: Column) -> Column:
-    """Lower-case letter runs, for scripts that put spaces between words."""
+    """Lower-case words, digits and marks included."""
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def segments(text: Column, dictionary: Iterable[str], loose: str = LOOSE_TOKEN) -> Column:
-    """Forward longest-match segmentation for scripts without spaces.
+def term_costs(counts: DataFrame, term: str = "term", count: str = "searches") -> DataFrame:
+    """(term, cost) from how often each term was seen: rarer terms cost more, in whole thousandths."""
+    known = counts.where(F.col(term).isNotNull() & (F.length(term) > 0) & (F.col(count) > 0))
+    lower = known.groupBy(F.lower(term).alias("term")).agg(F.sum(count).alias("n"))
+    total = lower.agg(F.sum("n").alias("total"))  # one row
+    cost = F.round(-1000 * F.log(F.col("n") / F.col("total"))).cast("long")
+    return lower.join(F.broadcast(total)).select("term", F.greatest(cost, F.lit(1)).cast("long").alias("cost"))
+
+
+def as_costs(dictionary: Mapping[str, int] | Iterable[str]) -> dict[str, int]:
+    """Lower-case terms with their costs; plain terms cost 1000 each, so that few long terms win."""
+    pairs = dictionary.items() if isinstance(dictionary, Mapping) else ((t, 1000) for t in dictionary)
+    costs: dict[str, int] = {}
+    for term, cost in pairs:
+        if term:
+            costs[term.lower()] = min(int(cost), costs.get(term.lower(), int(cost)))
+    return costs
+
+
+Edges = Callable[[str, int], Iterable[tuple[int, int]]]
 
-    At each position the longest dictionary term wins; where none starts, the `loose` pattern is
-    taken, and text that matches neither is skipped. Short dictionaries run as one regular
-    expression inside the JVM, long ones in a pandas UDF.
+
+def loose_ends(word: str, alone: Callable[[str], bool], mark: Callable[[str], bool]) -> list[int]:
+    """For each place of a word where a loose token that starts there ends."""
+    n = len(word)
+    ends, past_marks = [0] * n, n  # past_marks: the first place after `at` that is no mark
+    for at in range(n - 1, -1, -1):
+        if alone(word[at]):
+            ends[at] = past_marks
+        else:
+            ends[at] = at + 1 if at + 1 == n or alone(word[at + 1]) else ends[at + 1]
+        if not mark(word[at]):
+            past_marks = at
+    return ends
+
+
+def best_path(word: str, terms_at: Edges, ends: list[int]) -> list[str]:
+    """The cheapest way through the graph of a word's terms, as terms.
+
+    `terms_at` gives (length, cost) of the terms that start at a place; the loose token that starts there
+    is one more way on. Of equally cheap ways the one whose first different term is longer wins.
+    """
+    n = len(word)
+    cost, step = [0] * (n + 1), [1] * n
+    for at in range(n - 1, -1, -1):
+        longest = ends[at] - at
+        least = LOOSE_COST * longest + cost[ends[at]]
+        for size, price in terms_at(word, at):
+            total = price + cost[at + size]
+            if total < least or total == least and size > longest:
+                least, longest = total, size
+        cost[at], step[at] = least, longest
+    parts, at = [], 0
+    while at < n:
+        parts.append(word[at:at + step[at]])
+        at += step[at]
+    return parts
+
+
+def terms_of(costs: Mapping[str, int]) -> Edges:
+    """The terms of a dictionary that start at a place of a word."""
+    sizes: dict[str, set[int]] = {}
+    for term in costs:
+        sizes.setdefault(term[0], set()).add(len(term))
+    ordered = {c: sorted(s) for c, s in sizes.items()}
+
+    def terms_at(word: str, at: int) -> Iterable[tuple[int, int]]:
+        for size in ordered.get(word[at], ()):
+            if at + size > len(word):
+                break
+            cost = costs.get(word[at:at + size])
+            if cost is not None:
+                yield size, cost
+
+    return terms_at
+
+
+def character_tests(alone: str) -> tuple[Callable[[str], bool], Callable[[str], bool]]:
+    """Whether a character is in the class `alone`, and whether it is a mark."""
+    import regex
+
+    single, mark = regex.compile(f"[{alone}]"), regex.compile(r"\p{M}")
+    return (functools.cache(lambda c: single.match(c) is not None),
+            functools.cache(lambda c: mark.match(c) is not None))
+
+
+def cutter(costs: Mapping[str, int], alone: str = ALONE) -> Callable[[str], list[str]]:
+    """A function from a word to its terms, which remembers words."""
+    terms_at, tests = terms_of(costs), character_tests(alone)
+
+    @functools.lru_cache(CACHED_WORDS)
+    def cut(word: str) -> list[str]:
+        return best_path(word, terms_at, loose_ends(word, *tests))
+
+    return cut
+
+
+def segments(text: Column, dictionary: Mapping[str, int] | Iterable[str], alone: str = ALONE) -> Column:
+    """Best-path segmentation: the words of a text, each cut into the terms of the cheapest path.
+
+    For scripts without blanks, where longest match goes wrong on ambiguous text. The dictionary travels
+    with the task to every executor; `segment_words` takes one of any size as a table. Null for null.
     """
-    terms = sorted({t.lower() for t in dictionary if t}, key=lambda t: (-len(t), t))
-    if len(terms) > MAX_TERMS or sum(map(len, terms)) > MAX_DICTIONARY_CHARS:
-        raise ValueError("dictionary too large to send to every executor")
-    if len(terms) <= MAX_PATTERN_TERMS:
-        return segments_by_pattern(text, terms, loose)
-    return segments_by_lookup(text, terms, loose)
+    costs = as_costs(dictionary)
 
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def cut(found: pd.Series) -> pd.Series:
+        one = cutter(costs, alone)
+        return found.map(lambda ws: [t for w in ws for t in one(w)], na_action="ignore")
 
-def segments_by_pattern(text: Column, terms: list[str], loose: str = LOOSE_TOKEN) -> Column:
-    branches = [re.escape(t) for t in sorted(terms, key=lambda t: (-len(t), t))]
-    pattern = "(" + "|".join([*branches, loose]) + ")"
-    return F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    return cut(words(text))
 
 
-def segments_by_lookup(text: Column, terms: list[str], loose: str = LOOSE_TOKEN) -> Column:
-    """The same result from a named list, whose cost per position does not grow with its length."""
-    known = frozenset(terms)
-    pattern_text = r"\L<known>|" + loose.replace(r"\p{IsHan}", r"\p{Han}")
+def parts(word: Column, dictionary: Mapping[str, int] | Iterable[str], alone: str = ALONE) -> Column:
+    """The terms of one word, as `segments` cuts it: for words that were counted first."""
+    costs = as_costs(dictionary)
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import regex  # compiled once per task
+    def cut(found: pd.Series) -> pd.Series:
+        return found.map(cutter(costs, alone), na_action="ignore")
+
+    return cut(word)
+
+
+def segment_words(counted: DataFrame, dictionary: DataFrame, word: str = "term", alone: str = ALONE) -> DataFrame:
+    """`counted` (one row per `word`) with `parts`, from a dictionary of any size as a table (term, cost).
+
+    The word graph is made by a join: every piece of a word up to the longest term's length meets the
+    dictionary, and what is found comes back as the word's edges. Only different words are looked
+    at, and no side has to fit anywhere. Runs a job for the length of the longest term.
+    """
+    known = dictionary.where("length(term) > 0").groupBy(F.lower("term").alias("piece")).agg(F.min("cost").alias("cost"))
+    most = known.agg(F.max(F.length("piece"))).first()[0] or 0
+    n, at = F.length(word), F.col("at")
+    places = counted.where((n > 0) & F.lit(most > 0)).select(word, F.explode(F.sequence(F.lit(1), n)).alias("at"))
+    pieces = places.select(word, "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(max(most, 1)), n - at + 1))).alias(
+        "size")).withColumn("piece", F.substring(F.col(word), at, F.col("size")))
+    edges = pieces.join(known, "piece").groupBy(word).agg(
+        F.collect_list(F.struct((at - 1).alias("at"), "size", "cost")).alias("edges"))
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def cut(given: pd.Series, found: pd.Series) -> pd.Series:
+        tests = character_tests(alone)
+
+        def one(word, edges):
+            by_place: dict[int, list] = {}
+            for e in edges if edges is not None else ():
+                by_place.setdefault(e["at"], []).append((e["size"], e["cost"]))
+            return best_path(word, lambda _, at: by_place.get(at, ()), loose_ends(word, *tests))
 
-        pattern = regex.compile(pattern_text, known=known)
-        for batch in batches:
-            yield batch.map(pattern.findall, na_action="ignore")
+        return pd.Series([None if w is None else one(w, e) for w, e in zip(given, found)], dtype=object)
 
-    return lookup(F.lower(text))
+    return counted.join(edges, word, "left").withColumn("parts", cut(F.col(word), F.col("edges"))).drop("edges")

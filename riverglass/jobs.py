@@ -6,15 +6,15 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riverglass.functions import segments, words
 from riverglass.operators import als, devices, learning
 from riverglass.operators.models import CurrentModel, retrain
 from riverglass.operators.ratings import rating_top
+from riverglass.operators.searches import by_table
 from riverglass.plans import device_report, learning_loop, topic_etl
 from riverglass.plans.search_report import search_report
 from riverglass.session import build_session
 from riverglass.sinks import KeyedTable, Registry
-from riverglass.sources import file_stream, kafka_stream, ratings, search_log, topic_replay
+from riverglass.sources import dictionary, file_stream, kafka_stream, ratings, search_log, topic_replay
 from riverglass.streaming import toplists
 from riverglass.streaming.recommend import RECOMMENDATIONS
 from riverglass.streaming.run import drain, start
@@ -40,7 +40,8 @@ def parser() -> argparse.ArgumentParser:
 
     job("search", "hot keywords, terms per user, search heat",
         ("--log", {"required": True}), ("--day", {}), ("--unit", {"default": "hour_of_day"}),
-        ("--dictionary", {"help": "text file with one term per line, for text without spaces"}))
+        ("--sep", {"default": "\t"}), ("--charset", {"default": "UTF-8"}), ("--top", {"type": int, "default": 10}),
+        ("--dictionary", {"help": "text file of terms and, after a tab, how often each was seen, for text without blanks"}))
     job("ratings", "best mean ratings",
         ("--ratings", {"required": True}), ("--sep", {}), ("--more-than", {"type": int, "default": 200}))
     job("recommend", "ALS recommendations for all users and all films",
@@ -71,14 +72,6 @@ def progress_table(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable(spark, path, learning_loop.PROGRESS, ["student_id", "subject", "question_id"])
 
 
-def tokenizer(path: str | None):
-    if path is None:
-        return words
-    with open(path, encoding="utf-8") as lines:
-        terms = [line.strip() for line in lines if line.strip()]
-    return lambda text: segments(text, terms)
-
-
 def finish(spark: SparkSession, args, **writers) -> None:
     """Run streaming queries, each with its own checkpoint, to the end or until one fails."""
     for name, writer in writers.items():
@@ -96,8 +89,9 @@ def run(spark: SparkSession, args) -> None:
         df.write.mode("overwrite").parquet(f"{args.out}/{name}")
 
     if args.job == "search":
-        log = search_log(spark, args.log, day=args.day)
-        with search_report(log, unit=args.unit, tokenizer=tokenizer(args.dictionary)) as lists:
+        log = search_log(spark, args.log, args.sep, args.day, args.charset)
+        cut = by_table(dictionary(spark, args.dictionary)) if args.dictionary else None
+        with search_report(log, args.top, unit=args.unit, cut=cut) as lists:
             for name, df in lists.items():
                 save(df, name)
     elif args.job == "ratings":

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riverglass.functions.text import segments, segments_by_lookup
+from riverglass.functions.text import term_costs
 from riverglass.functions.times import utc_wall
 from riverglass.operators import als, devices as D, features, learning as L, ratings as R
 from riverglass.operators import searches as S, stations, windows as W
@@ -38,12 +38,13 @@ SYLLABLES = ["en", "er", "es", "eau", "eaux", "ent", "entier", "ier", "in", "ing
              "re", "st", "the", "th", "tion", "wh"]
 
 
-def syllable_terms(text):
-    return segments(text, SYLLABLES, r"\p{L}")
+EACH = r"\p{L}\p{M}\p{N}"  # every character that is in no syllable stands alone
 
 
-def syllable_terms_by_lookup(text):
-    return segments_by_lookup(text, SYLLABLES, r"\p{L}")
+def short_terms(spark, sf_dir):
+    """A dictionary that Spark counts itself: the words of up to six characters that users write."""
+    said = S.term_counts(G.user_searches(spark, sf_dir))
+    return term_costs(said.where(F.length("term") <= 6))
 
 
 # --- ratings ---------------------------------------------------------------------------------
@@ -72,12 +73,23 @@ def hot_keywords_top10(spark, sf_dir):
 
 @query
 def hot_segments_top10(spark, sf_dir):
-    return S.hot_keywords(G.document_searches(spark, sf_dir), tokenizer=syllable_terms)
+    return S.hot_keywords(G.document_searches(spark, sf_dir), cut=S.by_dictionary(SYLLABLES, EACH))
 
 
 @query
 def hot_segments_top10_lookup(spark, sf_dir):
-    return S.hot_keywords(G.document_searches(spark, sf_dir), tokenizer=syllable_terms_by_lookup)
+    """With a dictionary that is a table, counted from what users write."""
+    return S.hot_keywords(G.document_searches(spark, sf_dir), cut=S.by_table(short_terms(spark, sf_dir)))
+
+
+@query
+def segment_counts(spark, sf_dir):
+    return S.term_counts(G.document_searches(spark, sf_dir), cut=S.by_table(short_terms(spark, sf_dir)))
+
+
+@query
+def user_segments_top10(spark, sf_dir):
+    return S.user_hot_terms(G.user_searches(spark, sf_dir), cut=S.by_dictionary(SYLLABLES, EACH))
 
 
 @query

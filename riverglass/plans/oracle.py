@@ -9,22 +9,58 @@ SELECT l_suppkey AS movie_id, avg(l_quantity) AS mean_rating, count(l_quantity)
 FROM lineitem GROUP BY l_suppkey HAVING count(l_quantity) > 200
 ORDER BY mean_rating DESC, movie_id LIMIT 10"""
 
-WORDS = "regexp_extract_all(lower(text), '[\\p{L}]+')"
-# Longest first: the first alternative that matches wins.
-SEGMENTS = ("regexp_extract_all(lower(text), "
-            "'(entier|eaux|tion|eau|ent|ier|ing|the|en|er|es|in|on|ou|re|st|th|wh|\\p{L})')")
-
-
-def top_terms(tokens: str) -> str:
+WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}]+')"
+DOCUMENT_WORDS = f"SELECT 0 AS user_id, unnest({WORDS}) AS word FROM documents"
+USER_WORDS = f"SELECT conv_id AS user_id, unnest({WORDS}) AS word FROM conversations WHERE role = 'user'"
+SYLLABLES = ("SELECT unnest(['en', 'er', 'es', 'eau', 'eaux', 'ent', 'entier', 'ier', 'in', 'ing', 'on', 'ou', 're', "
+             "'st', 'the', 'th', 'tion', 'wh']) AS piece, 1000 AS cost")
+SHORT_TERMS = f"""
+SELECT word AS piece, greatest(CAST(round(-1000 * ln(n / (SELECT count(*) FROM ({USER_WORDS}) WHERE length(word) <= 6))) AS BIGINT), 1) AS cost
+FROM (SELECT word, count(*) AS n FROM ({USER_WORDS}) WHERE length(word) <= 6 GROUP BY word)"""
+
+
+def segments(rows: str, dictionary: str, loose: str) -> str:
+    """(user_id, term, searches): best paths through the words of `rows` (user_id, word).
+
+    Costs of suffixes are built from each word's end, one place a round; then the words are walked
+    from the left, by the longest edge that is on a cheapest path. `loose`: the size of a loose edge.
+    """
     return f"""
-SELECT term, count(*) AS searches FROM (SELECT unnest({tokens}) AS term FROM documents)
-GROUP BY term ORDER BY searches DESC, term LIMIT 10"""
-
-
-USER_TERMS = f"""
-SELECT user_id, term, count(*) AS searches
-FROM (SELECT conv_id AS user_id, unnest({WORDS}) AS term FROM conversations WHERE role = 'user')
-GROUP BY user_id, term"""
+WITH RECURSIVE counted AS (SELECT user_id, word, count(*) AS n FROM ({rows}) GROUP BY user_id, word),
+dictionary AS ({dictionary}),
+places AS (SELECT word, unnest(range(1, length(word) + 1)) AS place FROM (SELECT DISTINCT word FROM counted)),
+found AS (
+  SELECT word, place, size, cost
+  FROM (SELECT word, place, unnest(range(1, least(length(word) - place + 1, (SELECT max(length(piece)) FROM dictionary)) + 1)) AS size
+        FROM places) JOIN dictionary ON substr(word, place, size) = piece
+  UNION ALL SELECT word, place, {loose} AS size, 20000 * ({loose}) AS cost FROM places),
+edges AS (SELECT word, place, list({{'size': size, 'cost': cost}}) AS ways FROM found GROUP BY word, place),
+suffixes AS (
+  SELECT DISTINCT word, length(word) + 1 AS place, [CAST(0 AS BIGINT)] AS best FROM counted
+  UNION ALL
+  SELECT s.word, e.place, list_prepend(list_min([CAST(x.cost + best[x.size] AS BIGINT) FOR x IN ways]), best)
+  FROM suffixes AS s JOIN edges AS e ON e.word = s.word AND e.place = s.place - 1),
+steps AS (
+  SELECT e.word, e.place,
+         list_max([x.size FOR x IN ways IF x.cost + best[e.place + x.size] = best[e.place]]) AS size
+  FROM edges AS e JOIN (SELECT word, best FROM suffixes WHERE place = 1) AS s ON s.word = e.word),
+walk AS (
+  SELECT word, place, size FROM steps WHERE place = 1
+  UNION ALL
+  SELECT t.word, t.place, t.size FROM walk AS w JOIN steps AS t ON t.word = w.word AND t.place = w.place + w.size)
+SELECT user_id, substr(walk.word, place, size) AS term, CAST(sum(n) AS BIGINT) AS searches
+FROM walk JOIN counted ON counted.word = walk.word GROUP BY ALL"""
+
+
+EACH, REST = "1", "length(word) - place + 1"
+
+
+def top_terms(counted: str, columns: str = "term") -> str:
+    return f"SELECT {columns}, searches FROM ({counted}) ORDER BY searches DESC, {columns} LIMIT 10"
+
+
+DOCUMENT_TERMS = f"SELECT word AS term, count(*) AS searches FROM ({DOCUMENT_WORDS}) GROUP BY word"
+USER_TERMS = f"SELECT user_id, word AS term, count(*) AS searches FROM ({USER_WORDS}) GROUP BY user_id, word"
 
 
 def windows(size: str, slide: str, ratio: int, where: str = "") -> str:
@@ -97,12 +133,13 @@ SQL: dict[str, str] = {
     "mean_ratings": """
 SELECT l_suppkey AS movie_id, avg(l_quantity) AS mean_rating, count(l_quantity) AS ratings
 FROM lineitem GROUP BY l_suppkey""",
-    "hot_keywords_top10": top_terms(WORDS),
-    "hot_segments_top10": top_terms(SEGMENTS),
-    "hot_segments_top10_lookup": top_terms(SEGMENTS),
-    "keyword_counts": f"""
-SELECT term, count(*) AS searches FROM (SELECT unnest({WORDS}) AS term FROM documents) GROUP BY term""",
-    "user_hot_terms_top10": USER_TERMS + " ORDER BY searches DESC, user_id, term LIMIT 10",
+    "hot_keywords_top10": top_terms(DOCUMENT_TERMS),
+    "hot_segments_top10": top_terms(segments(DOCUMENT_WORDS, SYLLABLES, EACH)),
+    "hot_segments_top10_lookup": top_terms(segments(DOCUMENT_WORDS, SHORT_TERMS, REST)),
+    "segment_counts": f"SELECT term, searches FROM ({segments(DOCUMENT_WORDS, SHORT_TERMS, REST)})",
+    "user_segments_top10": top_terms(segments(USER_WORDS, SYLLABLES, EACH), "user_id, term"),
+    "keyword_counts": DOCUMENT_TERMS,
+    "user_hot_terms_top10": top_terms(USER_TERMS, "user_id, term"),
     "user_top_terms": f"""
 SELECT user_id, term, searches, place
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY searches DESC, term) AS INTEGER) AS place

@@ -15,13 +15,13 @@ from riverglass.operators.toplists import top, top_per_group
 @contextmanager
 def search_report(searches: DataFrame, n: int = 10, per_user: int = 3, user: str = "user_id",
                   text: str = "query", ts: str = "ts", unit: str = "hour_of_day",
-                  tokenizer: S.Tokenizer = words):
+                  tokenizer: S.Tokenizer = words, cut: S.Cut | None = None):
     """Hot keywords, hot (user, term) pairs, top terms per user and search heat.
 
     The text is read and split once; the (user, term) counts are kept while the block runs and
     feed three of the four lists.
     """
-    pairs = S.user_term_counts(searches, user, text, tokenizer).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = S.user_term_counts(searches, user, text, tokenizer, cut).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield {
             "hot_keywords": S.hot_keywords_from_pairs(pairs, n),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riverglass.functions.messages import number
+from riverglass.functions.text import term_costs
 from riverglass.functions.times import day_time, epoch_seconds
 
 RAW_SEARCH_LOG = "time string, user_id string, query string, result_rank string, click_seq string, url string"
@@ -61,6 +62,17 @@ def wrap_search_log(raw: DataFrame, day: str | None = None) -> DataFrame:
     )
 
 
+def dictionary(spark: SparkSession, path: str, sep: str = "\t", charset: str = "UTF-8") -> DataFrame:
+    """(term, cost): a dictionary from text lines of a term and, optionally, how often it was seen.
+
+    A term without a number counts as seen once.
+    """
+    raw = (spark.read.schema("term string, seen string").option("sep", sep).option("quote", "")
+           .option("encoding", charset).csv(path))
+    seen = F.greatest(F.coalesce(F.col("seen").try_cast("long"), F.lit(1)), F.lit(1))
+    return term_costs(raw.select(F.trim("term").alias("term"), seen.alias("searches")))
+
+
 def ratings(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
     """Ratings from Parquet, or from delimited text with epoch seconds as the fourth field."""
     if sep is None:

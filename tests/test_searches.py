@@ -1,4 +1,3 @@
-from riverglass.functions import segments
 from riverglass.operators import searches as S
 from riverglass.plans.search_report import search_report
 from riverglass.sources import search_log
@@ -20,8 +19,7 @@ def load(spark, tmp_path):
     return search_log(spark, str(path))
 
 
-def cut(column):
-    return segments(column, DICTIONARY)
+cut = S.by_dictionary(DICTIONARY)
 
 
 def test_fields(spark, tmp_path, rows):
@@ -40,16 +38,16 @@ def test_time_of_day_only(spark, tmp_path):
 
 
 def test_hot_keywords(spark, tmp_path):
-    got = [tuple(r) for r in S.hot_keywords(load(spark, tmp_path), 3, tokenizer=cut).collect()]
+    got = [tuple(r) for r in S.hot_keywords(load(spark, tmp_path), 3, cut=cut).collect()]
     # Two searches each; "sql", "價格" and "比較" have one, and the smallest comes first.
     assert got == [("spark", 2), ("智能手機", 2), ("sql", 1)]
 
 
 def test_user_lists(spark, tmp_path):
     log = load(spark, tmp_path)
-    hot = [tuple(r) for r in S.user_hot_terms(log, 2, tokenizer=cut).collect()]
+    hot = [tuple(r) for r in S.user_hot_terms(log, 2, cut=cut).collect()]
     assert hot == [("u1", "智能手機", 2), (None, "spark", 1)]
-    top = {tuple(r) for r in S.user_top_terms(log, 1, tokenizer=cut).collect()}
+    top = {tuple(r) for r in S.user_top_terms(log, 1, cut=cut).collect()}
     assert top == {("u1", "智能手機", 2, 1), ("u2", "spark", 1, 1), (None, "spark", 1, 1)}
 
 
@@ -62,8 +60,8 @@ def test_heat(spark, tmp_path, rows):
 
 def test_report_equals_single_lists(spark, tmp_path, rows):
     log = load(spark, tmp_path)
-    with search_report(log, 3, tokenizer=cut) as lists:
-        assert rows(lists["hot_keywords"]) == rows(S.hot_keywords(log, 3, tokenizer=cut))
-        assert rows(lists["user_hot_terms"]) == rows(S.user_hot_terms(log, 3, tokenizer=cut))
-        assert rows(lists["user_top_terms"]) == rows(S.user_top_terms(log, 3, tokenizer=cut))
+    with search_report(log, 3, cut=cut) as lists:
+        assert rows(lists["hot_keywords"]) == rows(S.hot_keywords(log, 3, cut=cut))
+        assert rows(lists["user_hot_terms"]) == rows(S.user_hot_terms(log, 3, cut=cut))
+        assert rows(lists["user_top_terms"]) == rows(S.user_top_terms(log, 3, cut=cut))
         assert rows(lists["search_heat"]) == rows(S.search_heat(log))
