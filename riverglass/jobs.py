@@ -68,10 +68,6 @@ def messages(spark: SparkSession, args) -> DataFrame:
     return topic_replay(spark, args.topic)
 
 
-def progress_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, learning_loop.PROGRESS, ["student_id", "subject", "question_id"])
-
-
 def finish(spark: SparkSession, args, **writers) -> None:
     """Run streaming queries, each with its own checkpoint, to the end or until one fails."""
     for name, writer in writers.items():
@@ -115,16 +111,15 @@ def run(spark: SparkSession, args) -> None:
             writer = topic_etl.files_to_files(spark, args.topic, args.target)
         finish(spark, args, etl=writer)
     elif args.job == "devices":
-        store = KeyedTable(spark, f"{args.out}/stats", device_report.STATS, ["device_type"])
+        store = device_report.stats_table(spark, f"{args.out}/stats")
         rows = messages(spark, args)
         finish(spark, args, stats=device_report.live_stats(rows, store, args.above),
                strong=device_report.live_strong(rows, f"{args.out}/strong", args.above))
     elif args.job == "answers":
         rows = learning.answer_rows(messages(spark, args))
-        stats = KeyedTable(spark, f"{args.out}/question_stats", learning_loop.stats_schema(["question_id"]),
-                           ["question_id"])
+        stats = learning_loop.stats_table(spark, f"{args.out}/question_stats")
         finish(spark, args, stats=learning_loop.live_stats(rows, stats),
-               progress=learning_loop.live_progress(rows, progress_table(spark, f"{args.out}/progress")))
+               progress=learning_loop.live_progress(rows, learning_loop.progress_table(spark, f"{args.out}/progress")))
     elif args.job == "questions":
         models = CurrentModel(Registry(spark, args.registry))
         store = KeyedTable(spark, f"{args.out}/recommended", RECOMMENDATIONS, ["student_id"])
@@ -134,10 +129,10 @@ def run(spark: SparkSession, args) -> None:
         finally:
             models.release()
     elif args.job == "retrain":
-        stored = progress_table(spark, args.progress).current()
+        stored = learning_loop.progress_table(spark, args.progress).current()
         retrain(learning.ratings_of_progress(stored), Registry(spark, args.registry), args.out)
     elif args.job == "report":
-        save(learning_loop.offline_report(progress_table(spark, args.progress)), "report")
+        save(learning_loop.offline_report(learning_loop.progress_table(spark, args.progress)), "report")
 
 
 def main() -> None:

@@ -21,7 +21,7 @@ def wrong_answers() -> Column:
 
 
 def answer_rows(messages: DataFrame) -> DataFrame:
-    """Typed rows from answer messages; those without student, question or result are left out."""
+    """Typed rows from answer messages; those without student, question or a result of 0 or 1 are left out."""
     parsed = json_rows(messages, string_payload(F.col("value")), ANSWER)
     typed = parsed.select(
         "student_id", "question_id", "subject", "grade",
@@ -30,13 +30,21 @@ def answer_rows(messages: DataFrame) -> DataFrame:
         F.try_to_timestamp("ts").alias("ts"),
     )
     return typed.where(F.col("student_id").isNotNull() & F.col("question_id").isNotNull()
-                       & F.col("correct").isNotNull())
+                       & F.col("correct").isin(0, 1))
 
 
 def answer_stats(answers: DataFrame, by: Sequence[str] = ("question_id",)) -> DataFrame:
     """Answers, wrong answers and wrong rate per question, subject, grade or any of them."""
-    sums = answers.groupBy(*by).agg(
+    return stats_of_sums(answer_sums(answers, by))
+
+
+def answer_sums(answers: DataFrame, by: Sequence[str] = ("question_id",)) -> DataFrame:
+    """The part of `answer_stats` that can be added up."""
+    return answers.groupBy(*by).agg(
         F.count(F.lit(1)).alias("answers"), wrong_answers().cast("long").alias("wrong"))
+
+
+def stats_of_sums(sums: DataFrame) -> DataFrame:
     return sums.withColumn("wrong_rate", F.col("wrong") / F.col("answers"))
 
 
@@ -65,13 +73,12 @@ def learning_report(stored: DataFrame) -> DataFrame:
 
 def learning_report_sql(stored: DataFrame) -> DataFrame:
     """`learning_report` as SQL over the stored results."""
-    stored.createOrReplaceTempView("riverglass_progress")
     return stored.sparkSession.sql("""
         SELECT student_id, subject, sum(answers) AS answers, sum(wrong) AS wrong,
                count(1) AS questions, min(first_answer) AS first_answer,
                max(last_answer) AS last_answer, sum(wrong) / sum(answers) AS wrong_rate
-        FROM riverglass_progress
-        GROUP BY student_id, subject""")
+        FROM {stored}
+        GROUP BY student_id, subject""", stored=stored)
 
 
 def ratings_of_progress(stored: DataFrame) -> DataFrame:

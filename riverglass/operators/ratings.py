@@ -23,12 +23,10 @@ def rating_top(ratings: DataFrame, n: int = 10, more_than: int = 200, item: str
 def rating_top_sql(ratings: DataFrame, n: int = 10, more_than: int = 200, item: str = "movie_id",
                    rating: str = "rating") -> DataFrame:
     """`rating_top` as SQL over a view."""
-    view = "riverglass_ratings"
-    ratings.createOrReplaceTempView(view)
     return ratings.sparkSession.sql(f"""
         SELECT {item}, avg({rating}) AS mean_rating, count({rating}) AS ratings
-        FROM {view}
+        FROM {{ratings}}
         GROUP BY {item}
         HAVING count({rating}) > {int(more_than)}
         ORDER BY mean_rating DESC, {item}
-        LIMIT {int(n)}""")
+        LIMIT {int(n)}""", ratings=ratings)

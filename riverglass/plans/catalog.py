@@ -256,10 +256,10 @@ def device_stream(spark, sf_dir, out):
 
 def device_stats_live(spark, sf_dir, above, sql):
     out = work_dir(spark, "devices")
-    store = KeyedTable(spark, f"{out}/table", device_report.STATS, ["device_type"])
+    store = device_report.stats_table(spark, f"{out}/table")
     drain(device_report.live_stats(device_stream(spark, sf_dir, out), store, above, sql),
           f"{out}/checkpoint")
-    return store.current()
+    return D.stats_of_sums(store.current())
 
 
 @query
@@ -281,11 +281,22 @@ def all_device_stats_stream(spark, sf_dir):
 def distinct_devices_stream(spark, sf_dir):
     """Devices seen are stored live; the stored rows per type are counted."""
     out = work_dir(spark, "devices-seen")
-    store = KeyedTable(spark, f"{out}/table", device_report.DEVICES_SEEN, ["device_type", "device"])
+    store = device_report.devices_table(spark, f"{out}/table")
     drain(device_report.live_devices(device_stream(spark, sf_dir, out), store), f"{out}/checkpoint")
     return D.devices_by_type(store.current())
 
 
+@query
+def distinct_devices_sketched(spark, sf_dir):
+    """Whether the stored sketches of each type come within five percent of its devices."""
+    out = work_dir(spark, "devices-sketched")
+    store = device_report.sketches_table(spark, f"{out}/table")
+    drain(device_report.live_sketches(device_stream(spark, sf_dir, out), store), f"{out}/checkpoint")
+    exact = distinct_devices_by_type(spark, sf_dir).withColumnRenamed("devices", "exact")
+    return D.devices_of_sketches(store.current()).join(exact, "device_type").select(
+        "device_type", (F.abs(F.col("devices") - F.col("exact")) <= 0.05 * F.col("exact")).alias("close"))
+
+
 @query
 def signal_over_30_stream(spark, sf_dir):
     out = work_dir(spark, "strong")
@@ -345,18 +356,16 @@ def answer_stream(spark, sf_dir, out):
 @query
 def answer_stats_stream(spark, sf_dir):
     out = work_dir(spark, "answers")
-    store = KeyedTable(spark, f"{out}/table", learning_loop.stats_schema(["question_id"]),
-                       ["question_id"])
+    store = learning_loop.stats_table(spark, f"{out}/table")
     drain(learning_loop.live_stats(answer_stream(spark, sf_dir, out), store), f"{out}/checkpoint")
-    return store.current()
+    return L.stats_of_sums(store.current())
 
 
 @query
 def learning_report_stored(spark, sf_dir):
     """Live progress into the keyed table, compacted, then the offline SQL report over it."""
     out = work_dir(spark, "progress")
-    store = KeyedTable(spark, f"{out}/table", learning_loop.PROGRESS,
-                       ["student_id", "subject", "question_id"])
+    store = learning_loop.progress_table(spark, f"{out}/table")
     drain(learning_loop.live_progress(answer_stream(spark, sf_dir, out), store), f"{out}/checkpoint")
     store.compact(0)
     report = L.learning_report_sql(store.current())

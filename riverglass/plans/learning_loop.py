@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from riverglass.operators.als import AlsSettings
-from riverglass.operators.learning import (answer_stats, difficulty_ratings, learning_report,
+from riverglass.operators.learning import (answer_sums, difficulty_ratings, learning_report,
                                            progress)
 from riverglass.operators.models import CurrentModel, retrain
-from riverglass.sinks.keyed import KeyedTable
+from riverglass.sinks.keyed import KeyedTable, MergedTable
 from riverglass.sinks.registry import Registry
 from riverglass.streaming.recommend import live_recommendations
 from riverglass.streaming.run import batches_to
@@ -20,23 +20,29 @@ PROGRESS = ("student_id string, subject string, question_id string, answers bigi
             "first_answer timestamp, last_answer timestamp")
 
 
-def stats_schema(by: Sequence[str]) -> str:
-    return ", ".join([*(f"{c} string" for c in by), "answers bigint", "wrong bigint",
-                      "wrong_rate double"])
+def stats_table(spark: SparkSession, path: str, by: Sequence[str] = ("question_id",), **options) -> MergedTable:
+    """For `live_stats`; `operators.learning.stats_of_sums` gives the statistics."""
+    schema = ", ".join([*(f"{c} string" for c in by), "answers bigint", "wrong bigint"])
+    return MergedTable(spark, path, schema, by, {"answers": "sum", "wrong": "sum"}, **options)
 
 
-def live_stats(answers: DataFrame, store: KeyedTable,
-               by: Sequence[str] = ("question_id",)) -> DataStreamWriter:
-    """Answer statistics of the keys each batch changed."""
-    return batches_to(answer_stats(answers, by), store.write, "update")
+def progress_table(spark: SparkSession, path: str, **options) -> MergedTable:
+    """For `live_progress`."""
+    return MergedTable(spark, path, PROGRESS, ["student_id", "subject", "question_id"],
+                       {"answers": "sum", "wrong": "sum", "first_answer": "min", "last_answer": "max"}, **options)
 
 
-def live_progress(answers: DataFrame, store: KeyedTable) -> DataStreamWriter:
+def live_stats(answers: DataFrame, store: MergedTable) -> DataStreamWriter:
+    """Answer statistics per key of the store. No state: a batch stores the sums of its own answers."""
+    return batches_to(answers, lambda batch, batch_id: store.write(answer_sums(batch, store.keys), batch_id))
+
+
+def live_progress(answers: DataFrame, store: MergedTable) -> DataStreamWriter:
     """Sums per student, subject and question, for offline reports."""
-    return batches_to(progress(answers), store.write, "update")
+    return batches_to(answers, lambda batch, batch_id: store.write(progress(batch), batch_id))
 
 
-def offline_report(store: KeyedTable) -> DataFrame:
+def offline_report(store: MergedTable) -> DataFrame:
     return learning_report(store.current())
 
 

@@ -167,6 +167,7 @@ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period, count(*) AS searches
     "devices_by_type_sql": DEVICES_BY_TYPE,
     "distinct_devices_by_type": DISTINCT_DEVICES,
     "distinct_devices_stream": DISTINCT_DEVICES,
+    "distinct_devices_sketched": f"SELECT DISTINCT device_type, true AS close FROM {DEVICES}",
     "mean_signal_by_type": MEAN_SIGNAL,
     "mean_signal_by_type_sql": MEAN_SIGNAL,
     "device_stats": DEVICE_STATS,

@@ -33,3 +33,16 @@ def latest(df: DataFrame, keys: Sequence[str], version: str = "batch_id") -> Dat
     values = [c for c in df.columns if c not in keys and c != version]
     kept = F.max_by(F.struct(*values, version), F.col(version)).alias("row")
     return df.groupBy(*keys).agg(kept).select(*keys, "row.*")
+
+
+def newest(df: DataFrame, keys: Sequence[str], version: str = "batch_id") -> DataFrame:
+    """`latest` for rows of which a key has one at most per version.
+
+    The largest version per key comes from a hash aggregate, and the rows are picked by a hash join
+    with it, so nothing is sorted; null keys count as equal.
+    """
+    marks = df.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.max(version).alias("__version"))
+    met = F.col(version) == F.col("__version")
+    for k in keys:
+        met = met & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return df.join(marks.hint("shuffle_hash"), met).select(*df.columns)

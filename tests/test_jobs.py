@@ -3,7 +3,7 @@
 import pytest
 
 from riverglass import jobs
-from riverglass.plans import standins as G
+from riverglass.plans import device_report, standins as G
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -37,7 +37,7 @@ def test_toplist(spark, tmp_path, at):
     rows = [(at(f"0{h}:0{m}"), k) for h in range(4) for m, k in enumerate("aabbcd")]
     spark.createDataFrame(rows, "ts timestamp, key string").coalesce(1).write.parquet(str(tmp_path / "in"))
     run(spark, "toplist", "--input", tmp_path / "in", "--size", "1 hour", "--slide", "1 hour", "--once", "--out", tmp_path / "out")
-    got = spark.read.parquet(str(tmp_path / "out/top/changes")).where("window_start = timestamp'2024-01-01 00:00:00Z'")
+    got = spark.read.parquet(str(tmp_path / "out/top/generation=0/span=0")).where("window_start = timestamp'2024-01-01 00:00:00Z'")
     assert sorted((r.place, r.key, r.n) for r in got.collect()) == [(1, "a", 2), (2, "b", 2), (3, "c", 1)]
 
 
@@ -48,7 +48,7 @@ def test_stations_and_devices(spark, tmp_path):
     G.device_topic(spark, SMALL, str(tmp_path / "iotTopic"))
     run(spark, "devices", "--topic", tmp_path / "iotTopic", "--above", 50, "--once", "--out", tmp_path / "out")
     strong = spark.read.parquet(str(tmp_path / "out/strong"))
-    stats = spark.read.parquet(str(tmp_path / "out/stats/changes"))
+    stats = device_report.stats_table(spark, str(tmp_path / "out/stats")).current()
     assert strong.where("signal <= 50").count() == 0
     assert strong.count() == sum(r.devices for r in stats.collect())
 
@@ -61,7 +61,7 @@ def test_learning_loop(spark, tmp_path):
     assert spark.read.parquet(str(out / "report")).selectExpr("sum(answers)").first()[0] == 1000
     run(spark, "retrain", "--progress", out / "progress", "--registry", out / "registry", "--out", out / "models")
     run(spark, "questions", "--topic", topic, "--registry", out / "registry", "--top", 3, "--once", "--out", out)
-    rows = spark.read.parquet(str(out / "recommended/changes")).where("student_id is not null").collect()
+    rows = spark.read.parquet(str(out / "recommended/generation=0/span=0")).where("student_id is not null").collect()
     assert rows and all(len(r.questions) == 3 for r in rows)
 
 

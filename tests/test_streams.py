@@ -1,9 +1,11 @@
 """Streams fed by one file per batch."""
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from riverglass.functions import utc_wall
 from riverglass.operators import windows as W
+from riverglass.operators.devices import devices_by_type, devices_of_sketches, device_rows, stats_of_sums
 from riverglass.plans import device_report
 from riverglass.sinks import KeyedTable, append_to_topic, fan_out, files, messages, topic_writer
 from riverglass.sources import MESSAGE, file_stream, topic_replay
@@ -87,8 +89,9 @@ def test_live_top_and_replayed_batches(spark, tmp_path, at):
     want = sorted(W.top_per_window(
         W.edges(W.sliding_counts(everything, "2 hours", "1 hour", ["key"])), 2, ["key"]).collect())
     assert sorted(LT.live_top(store, 2, "key").collect()) == want
-    # The whole input again with the same batch ids changes nothing.
-    drain(live(), str(tmp_path / "second-checkpoint"))
+    # The whole input again, as a new query with the same batch ids, is refused.
+    with pytest.raises(Exception, match="is written by"):
+        drain(live(), str(tmp_path / "second-checkpoint"))
     assert sorted(LT.live_top(store, 2, "key").collect()) == want
     # Nor does a restart with no new input.
     drain(live(), str(tmp_path / "checkpoint"))
@@ -125,22 +128,47 @@ def test_devices_in_both_forms(spark, tmp_path):
         append_to_topic(device_messages(spark, batch).coalesce(1), topic, "iotTopic")
     append_to_topic(device_messages(spark, [("d9", "other", 99.0, 1)]).coalesce(1), topic, "elsewhere")
     for sql in (False, True):
-        store = KeyedTable(spark, str(tmp_path / f"table-{sql}"), device_report.STATS, ["device_type"])
+        store = device_report.stats_table(spark, str(tmp_path / f"table-{sql}"))
         stream = topic_replay(spark, topic, "iotTopic", files_per_batch=1)
         drain(device_report.live_stats(stream, store, sql=sql), str(tmp_path / f"checkpoint-{sql}"))
-        assert sorted(tuple(r) for r in store.current().collect()) == [("db", 1, 90.0), ("route", 2, 36.0)]
+        assert sorted(tuple(r) for r in stats_of_sums(store.current()).collect()) == [("db", 1, 90.0), ("route", 2, 36.0)]
 
 
-def test_distinct_devices_on_a_stream_are_close(spark, tmp_path):
-    from riverglass.operators.devices import device_rows, devices_by_type
-
+def test_distinct_devices_live_in_both_forms(spark, tmp_path):
+    """Exact rows per device, and sketches: within three standard errors, and no larger with more devices."""
+    topic = str(tmp_path / "topic")
+    sizes = []
+    for part in range(3):  # devices come again in later batches
+        rows = [(f"d{i % 4000 + 1000 * part}", "route" if i % 4 else "db", 40.0, i) for i in range(6000)]
+        append_to_topic(device_messages(spark, rows).coalesce(1), topic, "iotTopic")
+        exact = device_report.devices_table(spark, str(tmp_path / "exact"))
+        near = device_report.sketches_table(spark, str(tmp_path / "near"))
+        for name, store, live in (("exact", exact, device_report.live_devices), ("near", near, device_report.live_sketches)):
+            drain(live(topic_replay(spark, topic, "iotTopic", files_per_batch=1), store), str(tmp_path / f"checkpoint-{name}"))
+        sizes.append(near.current().selectExpr("max(length(sketch))").first()[0])
+    want = dict(map(tuple, devices_by_type(device_rows(spark.read.schema(MESSAGE).parquet(topic)), distinct=True).collect()))
+    assert dict(map(tuple, devices_by_type(exact.current()).collect())) == want == {"route": 4500, "db": 1500}
+    found = dict(map(tuple, devices_of_sketches(near.current()).collect()))
+    assert all(abs(found[t] - n) <= 3 * 0.0163 * n for t, n in want.items())
+    assert sizes[2] <= 4096 + 100 and near.current().count() == 2
+
+
+def test_live_sums_over_three_batches_and_a_repeat(spark, tmp_path):
     topic = str(tmp_path / "topic")
-    rows = [(f"d{i % 500}", "route", 40.0, i) for i in range(3000)]
-    append_to_topic(device_messages(spark, rows), topic, "iotTopic")
-    store = KeyedTable(spark, str(tmp_path / "table"), "device_type string, devices bigint", ["device_type"])
-    stream = device_rows(topic_replay(spark, topic, "iotTopic"))
-    drain(batches_to(devices_by_type(stream, distinct=True), store.write, "update"), str(tmp_path / "checkpoint"))
-    assert abs(store.current().first().devices - 500) <= 500 * 0.1
+    for batch in ([("d1", "route", 31.0, 1), ("d1", "db", None, 2)], [("d2", "route", 10.0, 3)], [("d3", "route", 50.5, 4)]):
+        append_to_topic(device_messages(spark, batch).coalesce(1), topic, "iotTopic")
+    store = device_report.stats_table(spark, str(tmp_path / "table"))
+    stream = lambda: topic_replay(spark, topic, "iotTopic", files_per_batch=1)
+    drain(device_report.live_stats(stream(), store, above=None), str(tmp_path / "checkpoint"))
+    want = [("db", 1, None), ("route", 3, 30.5)]
+    assert sorted(tuple(r) for r in stats_of_sums(store.current()).collect()) == want
+    state = tmp_path / "checkpoint/state"
+    assert not state.exists()  # the query keeps none
+    # The last batch is delivered again, as after a crash between the write and the commit.
+    (tmp_path / "checkpoint/commits/2").unlink()
+    (tmp_path / "checkpoint/commits/.2.crc").unlink()
+    drain(device_report.live_stats(stream(), store, above=None), str(tmp_path / "checkpoint"))
+    assert sorted(tuple(r) for r in stats_of_sums(store.current()).collect()) == want
 
 
 def test_topic_round_trip(spark, tmp_path):
