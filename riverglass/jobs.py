@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riverglass.operators import als, devices, learning
 from riverglass.operators.models import CurrentModel, retrain
@@ -36,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
         ("--topic", {"required": True}),
         ("--once", {"action": "store_true", "help": "stop at the end of what is there now"}),
     ]
+    ids = {"default": "string", "help": "type of the ids in delimited ratings"}
     above = ("--above", {"type": float, "default": 30.0})
 
     job("search", "hot keywords, terms per user, search heat",
@@ -43,9 +44,12 @@ def parser() -> argparse.ArgumentParser:
         ("--sep", {"default": "\t"}), ("--charset", {"default": "UTF-8"}), ("--top", {"type": int, "default": 10}),
         ("--dictionary", {"help": "text file of terms and, after a tab, how often each was seen, for text without blanks"}))
     job("ratings", "best mean ratings",
-        ("--ratings", {"required": True}), ("--sep", {}), ("--more-than", {"type": int, "default": 200}))
-    job("recommend", "ALS recommendations for all users and all films",
-        ("--ratings", {"required": True}), ("--sep", {}), ("--top", {"type": int, "default": 10}))
+        ("--ratings", {"required": True}), ("--sep", {}), ("--ids", ids), ("--top", {"type": int, "default": 10}),
+        ("--more-than", {"type": int, "default": 200}))
+    job("recommend", "ALS recommendations for all users and all films, or for given ones",
+        ("--ratings", {"required": True}), ("--sep", {}), ("--ids", ids), ("--top", {"type": int, "default": 10}),
+        ("--users", {"help": "text file of user ids, one a line: lists for these"}),
+        ("--films", {"help": "text file of film ids, one a line: lists for these"}))
     job("toplist", "top 3 per sliding window of a file stream with columns ts and key",
         ("--input", {"required": True}), ("--size", {"default": "10 minutes"}),
         ("--slide", {"default": "5 minutes"}), ("--delay", {"default": "10 minutes"}),
@@ -57,7 +61,7 @@ def parser() -> argparse.ArgumentParser:
     job("questions", "live recommendation of error-prone questions", *stream,
         ("--registry", {"required": True}), ("--top", {"type": int, "default": 10}))
     job("retrain", "train on stored progress and publish the model; --out is the models' folder",
-        ("--progress", {"required": True}), ("--registry", {"required": True}))
+        ("--progress", {"required": True}), ("--registry", {"required": True}), ("--top", {"type": int, "default": 10}))
     job("report", "learning report of stored progress", ("--progress", {"required": True}))
     return top
 
@@ -91,13 +95,18 @@ def run(spark: SparkSession, args) -> None:
             for name, df in lists.items():
                 save(df, name)
     elif args.job == "ratings":
-        save(rating_top(ratings(spark, args.ratings, args.sep), 10, args.more_than), "rating_top")
+        save(rating_top(ratings(spark, args.ratings, args.sep, args.ids), args.top, args.more_than), "rating_top")
     elif args.job == "recommend":
-        table = ratings(spark, args.ratings, args.sep)
-        model = als.settled(als.fit(als.rating_matrix(table, "user_id", "movie_id", "rating")),
-                            f"{args.out}/model")
-        save(als.for_all_users(model, args.top), "user_recommendations")
-        save(als.for_all_items(model, args.top), "film_recommendations")
+        table = ratings(spark, args.ratings, args.sep, args.ids)
+        trained = als.train(als.rating_matrix(table, "user_id", "movie_id", "rating"), folder=f"{args.out}/model")
+
+        def given(path: str | None, column: str) -> DataFrame | None:
+            return path and spark.read.text(path).select(F.trim("value").cast(table.schema[column].dataType))
+
+        if args.users or not args.films:
+            save(als.lists_for_users(trained, args.top, given(args.users, "user_id")), "user_recommendations")
+        if args.films or not args.users:
+            save(als.lists_for_items(trained, args.top, given(args.films, "movie_id")), "film_recommendations")
     elif args.job == "toplist":
         stream = file_stream(spark, args.input, "ts timestamp, key string")
         store = KeyedTable(spark, f"{args.out}/top", toplists.live_counts_schema("key") + ", place int",
@@ -130,7 +139,7 @@ def run(spark: SparkSession, args) -> None:
             models.release()
     elif args.job == "retrain":
         stored = learning_loop.progress_table(spark, args.progress).current()
-        retrain(learning.ratings_of_progress(stored), Registry(spark, args.registry), args.out)
+        retrain(learning.ratings_of_progress(stored), Registry(spark, args.registry), args.out, top=args.top)
     elif args.job == "report":
         save(learning_loop.offline_report(learning_loop.progress_table(spark, args.progress)), "report")
 

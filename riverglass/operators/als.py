@@ -1,19 +1,24 @@
 """Matrix-factorization recommendations.
 
-Ratings have the columns user, item (integers) and rating; `rating_matrix` makes them.
+A rating matrix has the columns user, item and rating; `rating_matrix` makes it. Spark's ALS takes
+integers only, so `train` numbers users and items of any type and the lists are given back in
+their own ids. `fit` is for ids that are small integers already.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
+from riverglass.operators.ids import dense_ids
 from riverglass.session import reliable, work_dir
 
-MAX_BLOCKS = 1000
+LEAST_BLOCKS = 10
+CELL_RATINGS = 100_000  # ratings that one pair of a user and an item block holds
 
 
 @dataclass(frozen=True)
@@ -26,31 +31,63 @@ class AlsSettings:
 
 
 def rating_matrix(ratings: DataFrame, user: str, item: str, rating: str) -> DataFrame:
-    """One mean rating per user and item.
+    """One mean rating per user and item, whose ids may be of any type; rows without one are left out.
 
     Adding up repeated ratings first bounds what the most active user brings to its block by the
     number of items.
     """
     known = F.col(user).isNotNull() & F.col(item).isNotNull() & F.col(rating).isNotNull()
     return ratings.where(known).groupBy(
-        F.col(user).cast("int").alias("user"), F.col(item).cast("int").alias("item"),
+        F.col(user).alias("user"), F.col(item).alias("item"),
     ).agg(F.avg(rating).cast("float").alias("rating"))
 
 
+def blocks_for(ratings: int) -> int:
+    """Blocks per side: pairs of them are shuffled as partitions, so their number is a square root."""
+    return max(LEAST_BLOCKS, math.ceil(math.sqrt(ratings / CELL_RATINGS)))
+
+
 def fit(matrix: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
-    """Train. Runs jobs.
+    """Train on integer ids. Runs jobs.
 
     The matrix is checkpointed first: ALS reads it in several stages and needs the same rows in
-    each, also after an executor is lost. The number of blocks follows the cluster, as the default
-    of 10 would leave most executors idle.
+    each, also after an executor is lost. The number of blocks, on which the first factors hang, comes
+    from the ratings alone, so equal data give equal lists on any cluster.
     """
-    cores = matrix.sparkSession.sparkContext.defaultParallelism
-    blocks = settings.blocks or min(max(10, cores), MAX_BLOCKS)
+    matrix = reliable(matrix)
+    blocks = settings.blocks or blocks_for(matrix.count())
     als = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=settings.rank,
               maxIter=settings.iterations, regParam=settings.reg, seed=settings.seed,
               numUserBlocks=blocks, numItemBlocks=blocks, coldStartStrategy="drop",
               checkpointInterval=5)
-    return als.fit(reliable(matrix))
+    return als.fit(matrix)
+
+
+@dataclass(frozen=True)
+class Trained:
+    """A factor model and the numbers of its users and items: (key, user) and (key, item)."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+
+def numbered(matrix: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """`matrix` with integer ids, and the two numberings, stored under `folder`. Runs jobs."""
+    matrix = reliable(matrix)
+    users = dense_ids(matrix.select(F.col("user").alias("key")), "key", f"{folder}/users", "user")
+    items = dense_ids(matrix.select(F.col("item").alias("key")), "key", f"{folder}/items", "item")
+    left, right = users.withColumnRenamed("user", "u"), items.withColumnRenamed("item", "i")
+    rows = matrix.join(left, matrix["user"] == left["key"]).drop("key").join(right, matrix["item"] == right["key"]).select(
+        F.col("u").alias("user"), F.col("i").alias("item"), "rating")
+    return rows, users, items
+
+
+def train(matrix: DataFrame, settings: AlsSettings = AlsSettings(), folder: str | None = None) -> Trained:
+    """Number the ids of a rating matrix, fit, and save everything under `folder`. Runs jobs."""
+    folder = folder or work_dir(matrix.sparkSession, "als")
+    rows, users, items = numbered(matrix, folder)
+    return Trained(settled(fit(rows, settings), f"{folder}/model"), users, items)
 
 
 def save(model: ALSModel, path: str) -> None:
@@ -100,6 +137,33 @@ def for_items(model: ALSModel, items: DataFrame, n: int) -> DataFrame:
     return ranked(model.recommendForItemSubset(items.select("item"), n), "item", "user")
 
 
+def _named(rows: DataFrame, trained: Trained, who: str, what: str) -> DataFrame:
+    """Lists of numbers as lists of keys. Each entry meets the two numberings once, by equality."""
+    keys = {"user": trained.users, "item": trained.items}
+    for side in (who, what):
+        rows = rows.join(keys[side], side).drop(side).withColumnRenamed("key", f"{side}_key")
+    return rows.select(F.col(f"{who}_key").alias(who), "place", F.col(f"{what}_key").alias(what), "score")
+
+
+def lists_for_users(trained: Trained, n: int, users: DataFrame | None = None) -> DataFrame:
+    """(user, place, item, score): `n` items for every user, or for the given ones (a column of keys).
+
+    A given user the model has not seen gets none.
+    """
+    if users is None:
+        return _named(for_all_users(trained.model, n), trained, "user", "item")
+    known = trained.users.join(users.toDF("key").distinct(), "key", "left_semi")
+    return _named(for_users(trained.model, known, n), trained, "user", "item")
+
+
+def lists_for_items(trained: Trained, n: int, items: DataFrame | None = None) -> DataFrame:
+    """(item, place, user, score): `n` users for every item, or for the given ones."""
+    if items is None:
+        return _named(for_all_items(trained.model, n), trained, "item", "user")
+    known = trained.items.join(items.toDF("key").distinct(), "key", "left_semi")
+    return _named(for_items(trained.model, known, n), trained, "item", "user")
+
+
 def split(matrix: DataFrame, test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Training and test rows, chosen by a hash of user and item, so that a row falls on the same
     side each time it is computed."""

@@ -5,34 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 SLOT_BITS = 33
-MAX_IDS = 2**31 - 1
-# One row per writing task is sent to every executor; this bounds their number.
-MAX_TASKS = 100_000
+MAX_IDS = 2**31 - 1  # what Spark's ALS can number
 
 
 def dense_ids(df: DataFrame, column: str, path: str, name: str) -> DataFrame:
-    """Number the distinct keys 0, 1, 2, ... and store the numbering under `path`.
+    """Number the distinct keys 0, 1, 2, ... in their order and store the numbering under `path`.
 
-    `StringIndexer` would gather all keys on the driver. Here each task numbers its own keys; only
-    the number of keys per task is added up. The keys are written first, so that a task run again
-    later cannot number them otherwise.
+    `StringIndexer` would gather all keys on the driver. Here the keys are range-sorted, each task
+    numbers its own, and only the number of keys per task is added up. As the order decides, equal keys
+    get equal numbers on any cluster. Keys and places are written, so that a task run again later
+    sees the same. Nulls get no number. More keys than an integer can number are refused.
     """
     spark = df.sparkSession
     keys = df.select(column).where(F.col(column).isNotNull()).distinct()
-    (keys.withColumn("slot", F.monotonically_increasing_id())
+    keys.write.mode("overwrite").parquet(f"{path}/keys")
+    (spark.read.schema(keys.schema).parquet(f"{path}/keys")
+     .repartitionByRange(F.col(column)).sortWithinPartitions(column)
+     .withColumn("slot", F.monotonically_increasing_id())
      .write.mode("overwrite").parquet(f"{path}/slots"))
 
     slots = (spark.read.parquet(f"{path}/slots")
              .withColumn("task", F.shiftright("slot", SLOT_BITS))
              .withColumn("place", F.col("slot").bitwiseAND(F.lit((1 << SLOT_BITS) - 1))))
     per_task = slots.groupBy("task").agg(F.count(F.lit(1)).alias("keys"))
-    size = per_task.agg(F.count(F.lit(1)).alias("tasks"), F.sum("keys").alias("keys")).first()
-    if (size.keys or 0) > MAX_IDS or size.tasks > MAX_TASKS:
-        raise ValueError(f"{size.keys} keys from {size.tasks} tasks do not fit integer ids")
+    size = per_task.agg(F.sum("keys")).first()[0] or 0
+    if size > MAX_IDS:
+        raise ValueError(f"{size} keys do not fit integer ids")
 
+    # One row per task is sorted in one place; what is sent out is left to Spark's size limit.
     before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_task.select("task", F.coalesce(F.sum("keys").over(before), F.lit(0)).alias("offset"))
-    (slots.join(F.broadcast(offsets), "task")
+    (slots.join(offsets, "task")
      .select(column, (F.col("offset") + F.col("place")).cast("int").alias(name))
      .write.mode("overwrite").parquet(f"{path}/ids"))
     return spark.read.parquet(f"{path}/ids")

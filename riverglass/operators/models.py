@@ -1,65 +1,63 @@
-"""Model versions: train, save, publish, and look up the current one."""
+"""Model versions: train, save, publish, and look up the current one.
+
+A version is published with its lists: each student's questions, best first. Who recommends live looks
+a student up; factors are not multiplied in a micro-batch.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riverglass.operators.als import AlsSettings, fit, load as load_factors, save
-from riverglass.operators.ids import dense_ids
-from riverglass.session import reliable
+from riverglass.operators import als
 from riverglass.sinks.registry import Registry
 
+LISTS = "student_id string, questions array<struct<place: int, question_id: string, score: float>>"
+
 
 @dataclass(frozen=True)
 class Recommender:
-    """A saved factor model with the ids of its students and questions."""
+    """The lists of one version: (student_id, questions), one row per student."""
 
     version: int
-    model: ALSModel
-    students: DataFrame
-    questions: DataFrame
+    lists: DataFrame
+
 
-    def tables(self) -> list[DataFrame]:
-        return [self.students, self.questions, self.model.userFactors, self.model.itemFactors]
+def question_lists(trained: als.Trained, top: int) -> DataFrame:
+    """The `top` questions of every student as one row each."""
+    rows = als.lists_for_users(trained, top).withColumnsRenamed({"user": "student_id", "item": "question_id"})
+    # At most `top` rows per student.
+    return rows.groupBy("student_id").agg(
+        F.array_sort(F.collect_list(F.struct("place", "question_id", "score"))).alias("questions"))
 
 
 def retrain(ratings: DataFrame, registry: Registry, folder: str,
-            settings: AlsSettings = AlsSettings()) -> int:
-    """Train on (student_id, question_id, rating) rows, one per pair, save under a new path, then
-    publish it.
+            settings: als.AlsSettings = als.AlsSettings(), top: int = 10) -> int:
+    """Train on (student_id, question_id, rating) rows, save the model, the numberings and the lists of `top`
+    questions under a new path, then publish it.
 
     Runs jobs. Only one trainer may run at a time; readers may go on with the old version.
     """
     newest = registry.current()
     version = newest.version + 1 if newest else 1
     path = f"{folder}/version={version}"
-    # Read three times below: once is enough for what lies behind it.
-    ratings = reliable(ratings.where(F.col("rating").isNotNull()))
-    students = dense_ids(ratings, "student_id", f"{path}/students", "user")
-    questions = dense_ids(ratings, "question_id", f"{path}/questions", "item")
-    matrix = (ratings.join(students, "student_id").join(questions, "question_id")
-              .select("user", "item", F.col("rating").cast("float").alias("rating")))
-    model = fit(matrix, settings)
-    save(model, f"{path}/model")
+    trained = als.train(als.rating_matrix(ratings, "student_id", "question_id", "rating"), settings, path)
+    question_lists(trained, top).write.mode("overwrite").parquet(f"{path}/lists")
     registry.publish(version, path)
     return version
 
 
 def load(spark: SparkSession, version: int, path: str) -> Recommender:
-    return Recommender(version, load_factors(f"{path}/model"),
-                       spark.read.parquet(f"{path}/students/ids"),
-                       spark.read.parquet(f"{path}/questions/ids"))
+    return Recommender(version, spark.read.schema(LISTS).parquet(f"{path}/lists"))
 
 
 class CurrentModel:
-    """The published model, read again only when a newer version appears.
+    """The published lists, read again only when a newer version appears.
 
-    Ids and factors are kept on the executors, so that a micro-batch does not read them again; a
-    lost executor's share is read from the model's files.
+    They are kept on the executors, so that a micro-batch does not read them again; a lost executor's
+    share is read from the version's files.
     """
 
     def __init__(self, registry: Registry):
@@ -71,12 +69,10 @@ class CurrentModel:
         if newest and (self.loaded is None or self.loaded.version != newest.version):
             self.release()
             self.loaded = load(self.registry.spark, newest.version, newest.path)
-            for table in self.loaded.tables():
-                table.persist(StorageLevel.MEMORY_AND_DISK)
+            self.loaded.lists.persist(StorageLevel.MEMORY_AND_DISK)
         return self.loaded
 
     def release(self) -> None:
         if self.loaded is not None:
-            for table in self.loaded.tables():
-                table.unpersist()
+            self.loaded.lists.unpersist()
             self.loaded = None

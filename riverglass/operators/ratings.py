@@ -8,8 +8,9 @@ from riverglass.operators.toplists import top
 
 
 def mean_ratings(ratings: DataFrame, item: str = "movie_id", rating: str = "rating") -> DataFrame:
-    """Mean and number of ratings per item; a missing rating counts in neither."""
-    return ratings.groupBy(item).agg(
+    """Mean and number of ratings per item; a missing rating counts in neither, and rows without an
+    item are of no item."""
+    return ratings.where(F.col(item).isNotNull()).groupBy(item).agg(
         F.avg(rating).alias("mean_rating"), F.count(rating).alias("ratings"))
 
 
@@ -26,6 +27,7 @@ def rating_top_sql(ratings: DataFrame, n: int = 10, more_than: int = 200, item:
     return ratings.sparkSession.sql(f"""
         SELECT {item}, avg({rating}) AS mean_rating, count({rating}) AS ratings
         FROM {{ratings}}
+        WHERE {item} IS NOT NULL
         GROUP BY {item}
         HAVING count({rating}) > {int(more_than)}
         ORDER BY mean_rating DESC, {item}

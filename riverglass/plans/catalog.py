@@ -59,6 +59,18 @@ def rating_top10_sql(spark, sf_dir):
     return R.rating_top_sql(G.item_ratings(spark, sf_dir))
 
 
+@query
+def rating_top10_named(spark, sf_dir):
+    """Films by name, of which about half have more than 200 ratings."""
+    return R.rating_top(G.named_ratings(spark, sf_dir))
+
+
+@query
+def rated_often_named(spark, sf_dir):
+    """All films above the limit."""
+    return R.mean_ratings(G.named_ratings(spark, sf_dir)).where(F.col("ratings") > 200)
+
+
 @query
 def mean_ratings(spark, sf_dir):
     return R.mean_ratings(G.item_ratings(spark, sf_dir))
@@ -376,31 +388,31 @@ def learning_report_stored(spark, sf_dir):
 # --- recommendations -------------------------------------------------------------------------
 
 def part_model(spark, sf_dir):
-    return als.settled(als.fit(G.part_matrix(spark, sf_dir), als.AlsSettings(iterations=5)))
+    return als.train(G.part_matrix(spark, sf_dir), als.AlsSettings(iterations=5))
 
 
 @query
 def als_user_recs(spark, sf_dir):
-    return als.for_all_users(part_model(spark, sf_dir), 5)
+    return als.lists_for_users(part_model(spark, sf_dir), 5)
 
 
 @query
 def als_item_recs(spark, sf_dir):
-    return als.for_all_items(part_model(spark, sf_dir), 5)
+    return als.lists_for_items(part_model(spark, sf_dir), 5)
 
 
 @query
 def als_subset_user_recs(spark, sf_dir):
     """For the customers of one market segment."""
     chosen = G.given(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
-    return als.for_users(part_model(spark, sf_dir), chosen.select(F.col("c_custkey").alias("user")), 5)
+    return als.lists_for_users(part_model(spark, sf_dir), 5, chosen.select("c_custkey"))
 
 
 @query
 def als_subset_item_recs(spark, sf_dir):
     """For the parts of one type."""
     chosen = G.given(spark, sf_dir, "part").where(F.col("p_type") == "ECONOMY")
-    return als.for_items(part_model(spark, sf_dir), chosen.select(F.col("p_partkey").alias("item")), 5)
+    return als.lists_for_items(part_model(spark, sf_dir), 5, chosen.select("p_partkey"))
 
 
 def shape(rows: DataFrame, who: str, what: str) -> DataFrame:
@@ -436,7 +448,8 @@ def als_subset_item_recs_shape(spark, sf_dir):
 
 @query
 def als_rmse(spark, sf_dir):
-    train, test = als.split(reliable(G.part_matrix(spark, sf_dir)))
+    matrix, _, _ = als.numbered(G.part_matrix(spark, sf_dir), work_dir(spark, "als"))
+    train, test = als.split(reliable(matrix))
     return als.evaluate(als.fit(train, als.AlsSettings(iterations=5)), train, test)
 
 

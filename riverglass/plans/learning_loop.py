@@ -47,9 +47,9 @@ def offline_report(store: MergedTable) -> DataFrame:
 
 
 def retrain_from(answers: DataFrame, registry: Registry, folder: str,
-                 settings: AlsSettings = AlsSettings()) -> int:
-    """Train on all stored answers and publish the model."""
-    return retrain(difficulty_ratings(answers), registry, folder, settings)
+                 settings: AlsSettings = AlsSettings(), top: int = 10) -> int:
+    """Train on all stored answers and publish the model with lists of `top` questions."""
+    return retrain(difficulty_ratings(answers), registry, folder, settings, top)
 
 
 def recommend_live(answers: DataFrame, models: CurrentModel, n: int,

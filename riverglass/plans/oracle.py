@@ -9,6 +9,10 @@ SELECT l_suppkey AS movie_id, avg(l_quantity) AS mean_rating, count(l_quantity)
 FROM lineitem GROUP BY l_suppkey HAVING count(l_quantity) > 200
 ORDER BY mean_rating DESC, movie_id LIMIT 10"""
 
+NAMED = """
+SELECT 'film ' || l_suppkey AS movie_id, avg(l_quantity) AS mean_rating, count(l_quantity) AS ratings
+FROM lineitem WHERE l_discount <= 0.03 GROUP BY l_suppkey"""
+
 WORDS = "regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}]+')"
 DOCUMENT_WORDS = f"SELECT 0 AS user_id, unnest({WORDS}) AS word FROM documents"
 USER_WORDS = f"SELECT conv_id AS user_id, unnest({WORDS}) AS word FROM conversations WHERE role = 'user'"
@@ -130,6 +134,8 @@ ORDERED = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 SQL: dict[str, str] = {
     "rating_top10": RATING_TOP,
     "rating_top10_sql": RATING_TOP,
+    "rating_top10_named": f"SELECT * FROM ({NAMED}) WHERE ratings > 200 ORDER BY mean_rating DESC, movie_id LIMIT 10",
+    "rated_often_named": f"SELECT * FROM ({NAMED}) WHERE ratings > 200",
     "mean_ratings": """
 SELECT l_suppkey AS movie_id, avg(l_quantity) AS mean_rating, count(l_quantity) AS ratings
 FROM lineitem GROUP BY l_suppkey""",

@@ -33,6 +33,12 @@ def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("movie_id"), F.col("l_quantity").alias("rating"))
 
 
+def named_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Discounted line items only, about 200 per supplier, and suppliers by name."""
+    lines = given(spark, sf_dir, "lineitem").where(F.col("l_discount") <= 0.03)
+    return lines.select(F.concat(F.lit("film "), "l_suppkey").alias("movie_id"), F.col("l_quantity").alias("rating"))
+
+
 def part_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers rate the parts they ordered by the mean quantity."""
     lines = given(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")

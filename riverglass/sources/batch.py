@@ -10,7 +10,7 @@ from riverglass.functions.times import day_time, epoch_seconds
 
 RAW_SEARCH_LOG = "time string, user_id string, query string, result_rank string, click_seq string, url string"
 SEARCH_LOG = "ts timestamp, user_id string, query string, result_rank int, click_seq int, url string"
-RATINGS = "user_id int, movie_id int, rating double, ts timestamp"
+RATINGS = ("user_id", "movie_id", "rating", "ts")
 
 
 def table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -30,13 +30,20 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
+# What Spark reads without being told that the Java runtime's other character sets are wanted too.
+CHARSETS = ("iso-8859-1", "us-ascii", "utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32")
+
+
 def search_log(spark: SparkSession, path: str, sep: str = "\t", day: str | None = None,
                charset: str = "UTF-8") -> DataFrame:
     """A delimited search-engine click log as typed rows.
 
     `day` completes logs that carry only the time of day. Quotes are ordinary characters in a
-    search query, so quoting is off.
+    search query, so quoting is off. For a `charset` beyond Spark's short list, such as GBK, the session is
+    set to take all that Java has.
     """
+    if charset.lower() not in CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     raw = (spark.read.schema(RAW_SEARCH_LOG)
            .option("sep", sep).option("quote", "").option("encoding", charset)
            .csv(path))
@@ -73,15 +80,21 @@ def dictionary(spark: SparkSession, path: str, sep: str = "\t", charset: str = "
     return term_costs(raw.select(F.trim("term").alias("term"), seen.alias("searches")))
 
 
-def ratings(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """Ratings from Parquet, or from delimited text with epoch seconds as the fourth field."""
+def ratings(spark: SparkSession, path: str, sep: str | None = None, ids: str = "string") -> DataFrame:
+    """Ratings from Parquet, or from delimited text with epoch seconds as the fourth field.
+
+    Ids are keys of any type: those of Parquet stay what they are, those of text are text, or of the
+    type `ids`, where one that cannot be read ends the job instead of becoming null.
+    """
     if sep is None:
-        return spark.read.schema(RATINGS).parquet(path)
+        stored = spark.read.parquet(path)
+        return stored.select("user_id", "movie_id", F.col("rating").cast("double").alias("rating"),
+                             F.col("ts").cast("timestamp").alias("ts"))
     raw = (spark.read.schema("user_id string, movie_id string, rating string, seconds string")
            .option("sep", sep).csv(path))
     return raw.select(
-        F.col("user_id").try_cast("int").alias("user_id"),
-        F.col("movie_id").try_cast("int").alias("movie_id"),
+        F.trim("user_id").cast(ids).alias("user_id"),
+        F.trim("movie_id").cast(ids).alias("movie_id"),
         number(F.col("rating")).alias("rating"),
         epoch_seconds(F.col("seconds")).alias("ts"),
     )

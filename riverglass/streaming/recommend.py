@@ -4,54 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from riverglass.operators.als import for_users
 from riverglass.operators.models import CurrentModel, Recommender
 from riverglass.streaming.run import batches_to
 
 BatchSink = Callable[[DataFrame, int], None]
-RECOMMENDATIONS = ("student_id string, model_version bigint, "
-                   "questions array<struct<place: int, question_id: string, score: float>>")
+QUESTIONS = "array<struct<place: int, question_id: string, score: float>>"
+RECOMMENDATIONS = f"student_id string, model_version bigint, questions {QUESTIONS}"
 
 
-def recommend(students: DataFrame, current: Recommender, n: int) -> DataFrame:
-    """The `n` questions each student most likely gets wrong.
+def recommend(students: DataFrame, current: Recommender | None, n: int) -> DataFrame:
+    """The first `n` published questions of each student: those they most likely get wrong.
 
-    A student the model has not seen keeps a row with an empty list.
+    One join by student with the published lists. A student they don't have keeps a row with an empty
+    list, and so does every student before the first model, with no version.
     """
     distinct = students.select("student_id").where(F.col("student_id").isNotNull()).distinct()
-    known = distinct.join(current.students, "student_id")
-    rows = (for_users(current.model, known, n)
-            .join(current.students, "user").join(current.questions, "item"))
-    # At most n rows per student.
-    lists = rows.groupBy("student_id").agg(
-        F.array_sort(F.collect_list(F.struct("place", "question_id", "score"))).alias("questions"))
-    nothing = F.array().cast("array<struct<place: int, question_id: string, score: float>>")
-    return distinct.join(lists, "student_id", "left").select(
+    nothing = F.array().cast(QUESTIONS)
+    if current is None:
+        return distinct.select("student_id", F.lit(None).cast("long").alias("model_version"), nothing.alias("questions"))
+    return distinct.join(current.lists, "student_id", "left").select(
         "student_id", F.lit(current.version).cast("long").alias("model_version"),
-        F.coalesce("questions", nothing).alias("questions"))
+        F.coalesce(F.slice("questions", 1, n), nothing).alias("questions"))
 
 
 def live_recommendations(answers: DataFrame, models: CurrentModel, n: int,
                          sink: BatchSink) -> DataStreamWriter:
-    """For each micro-batch, recommend to its students with the model published at that time.
+    """For each micro-batch, recommend to its students with the lists published at that time.
 
-    Before the first model there is nothing to recommend, and the batch passes without output.
+    Lists are as long as they were published; an `n` beyond that gives those.
     """
-    def step(batch: DataFrame, batch_id: int) -> None:
-        current = models.get()
-        if current is None:
-            return
-        students = batch.select("student_id").distinct().persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            sink(recommend(students, current, n), batch_id)
-        finally:
-            students.unpersist()
-
-    return batches_to(answers, step)
+    return batches_to(answers.select("student_id"),
+                      lambda batch, batch_id: sink(recommend(batch, models.get(), n), batch_id))
 
 
 def with_stored(answers: DataFrame, recommendations: DataFrame) -> DataFrame:

@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -110,6 +114,61 @@ def test_dense_ids_of_nothing(spark, tmp_path):
     assert ids.dense_ids(empty, "key", str(tmp_path / "ids"), "number").count() == 0
 
 
+def test_ids_follow_the_order_of_keys(spark, tmp_path):
+    """Whatever the partitions, so that models do not depend on the cluster."""
+    keys = spark.range(500).select(F.hash("id").cast("string").alias("key"))
+    one = ids.dense_ids(keys.repartition(3), "key", str(tmp_path / "a"), "n")
+    two = ids.dense_ids(keys.repartition(11).orderBy(F.desc("key")), "key", str(tmp_path / "b"), "n")
+    assert sorted(one.collect()) == sorted(two.collect())
+    ordered = [r.key for r in one.orderBy("n").collect()]
+    assert ordered == sorted(ordered)
+
+
+def test_ids_of_any_type(spark, tmp_path, planted):
+    """Text ids and ids far beyond 32 bits: the same lists as with small integers, and no row lost."""
+    far = planted.select((F.col("user") + F.lit(2**40)).alias("user"), F.concat(F.lit("film "), F.lpad("item", 5, "0")).alias("item"), "rating")
+    matrix = als.rating_matrix(far, "user", "item", "rating")
+    assert matrix.count() == planted.count()
+    rows, users, items = als.numbered(matrix, str(tmp_path / "n"))
+    assert rows.count() == planted.count() and users.count() == 200 and items.count() == 100
+    named = als.train(matrix, SETTINGS, str(tmp_path / "far"))
+    plain = als.train(planted, SETTINGS, str(tmp_path / "near"))
+    got = {(r.user - 2**40, r.place): int(r.item.split()[1]) for r in als.lists_for_users(named, 3).collect()}
+    want = {(r.user, r.place): r.item for r in als.lists_for_users(plain, 3).collect()}
+    assert len(want) == 600 and sum(got[k] == v for k, v in want.items()) >= 590
+    some = spark.createDataFrame([("film 00007",), ("film 00007",), ("film 99999",)], "x string")
+    few = als.lists_for_items(named, 4, some).orderBy("place").collect()
+    assert [(r.item, r.place) for r in few] == [("film 00007", p) for p in (1, 2, 3, 4)] and all(r.user >= 2**40 for r in few)
+
+
+def test_blocks_follow_the_ratings():
+    assert [als.blocks_for(n) for n in (0, 100, 10_000_000, 40_000_000, 10**11)] == [10, 10, 10, 20, 1000]
+
+
+LISTS = """
+import sys
+sys.path.insert(0, {root!r})
+from riverglass import build_session
+from riverglass.operators import als
+spark = build_session("lists", "local[3]", spark__default__parallelism="3", spark__sql__shuffle__partitions="5", spark__ui__enabled="false")
+trained = als.train(spark.read.parquet({data!r}).repartition(2), als.AlsSettings(rank=5, iterations=4, reg=0.02))
+als.lists_for_users(trained, 3).write.parquet({out!r})
+"""
+
+
+def test_equal_lists_on_another_cluster(spark, tmp_path, planted):
+    """A session with another number of cores, partitions and default parallelism trains the same model."""
+    data, out = str(tmp_path / "data"), str(tmp_path / "out")
+    planted.write.parquet(data)
+    code = LISTS.format(root=str(Path(als.__file__).parents[2]), data=data, out=out)
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, timeout=300)
+    trained = als.train(spark.read.parquet(data).repartition(13), als.AlsSettings(rank=5, iterations=4, reg=0.02))
+    mine = {(r.user, r.place): r for r in als.lists_for_users(trained, 3).collect()}
+    other = {(r.user, r.place): r for r in spark.read.parquet(out).collect()}
+    assert mine.keys() == other.keys()
+    assert all(mine[k].item == r.item and abs(mine[k].score - r.score) < 1e-3 for k, r in other.items())
+
+
 def test_too_many_ids_are_refused(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ids, "MAX_IDS", 5)
     with pytest.raises(ValueError):

@@ -1,5 +1,6 @@
 import pytest
 
+from riverglass.operators import als
 from riverglass.operators.als import AlsSettings
 from riverglass.operators.learning import difficulty_ratings
 from riverglass.operators.models import CurrentModel, retrain
@@ -56,7 +57,7 @@ def test_live(spark, tmp_path, answers):
 
     feed([("s1", "q1", 1)])
     run()
-    assert store.current().count() == 0  # no model yet, and no failure
+    assert [tuple(r) for r in store.current().collect()] == [("s1", None, [])]  # no model yet
     learning_loop.retrain_from(answers, registry, str(tmp_path / "models"), SETTINGS)
     feed([("s1", "q1", 1), ("s2", "q1", 0)])
     run()
@@ -67,6 +68,29 @@ def test_live(spark, tmp_path, answers):
     run()
     assert {(r.student_id, r.model_version, len(r.questions)) for r in store.current().collect()} == {
         ("s1", 1, 2), ("s2", 2, 2), ("stranger", 2, 0)}
+    assert store.history().select("batch_id").distinct().count() == 3
 
     joined = with_stored(answers.where("student_id in ('s1', 's3')"), store.current())
     assert {(r.student_id, r.questions is None) for r in joined.collect()} == {("s1", False), ("s3", True)}
+
+
+def test_a_micro_batch_makes_no_pairs(spark, tmp_path, answers):
+    """One equality join with the published lists, and no factors."""
+    registry = Registry(spark, str(tmp_path / "registry"))
+    retrain(difficulty_ratings(answers), registry, str(tmp_path / "models"), SETTINGS, top=3)
+    current = CurrentModel(registry)
+    plan = recommend(answers, current.get(), 2)._jdf.queryExecution().optimizedPlan().toString()
+    current.release()
+    assert plan.count("Join LeftOuter") == 1 and "Cross" not in plan and "features" not in plan
+
+
+def test_published_lists_are_the_models_lists(spark, tmp_path, answers):
+    registry = Registry(spark, str(tmp_path / "registry"))
+    retrain(difficulty_ratings(answers), registry, str(tmp_path / "models"), SETTINGS, top=4)
+    path = registry.current().path
+    trained = als.Trained(als.load(f"{path}/model"), spark.read.parquet(f"{path}/users/ids"), spark.read.parquet(f"{path}/items/ids"))
+    want = {}
+    for r in als.lists_for_users(trained, 4).orderBy("place").collect():
+        want.setdefault(r.user, []).append(r.item)
+    got = {r.student_id: [q.question_id for q in r.questions] for r in CurrentModel(registry).get().lists.collect()}
+    assert got == want and all(len(v) == 4 for v in got.values())

@@ -65,3 +65,9 @@ def test_report_equals_single_lists(spark, tmp_path, rows):
         assert rows(lists["user_hot_terms"]) == rows(S.user_hot_terms(log, 3, cut=cut))
         assert rows(lists["user_top_terms"]) == rows(S.user_top_terms(log, 3, cut=cut))
         assert rows(lists["search_heat"]) == rows(S.search_heat(log))
+
+
+def test_other_character_sets(spark, tmp_path):
+    (tmp_path / "log").write_bytes("00:00:01,u1,[研究生命],1 2,x\n".encode("gbk"))
+    row = search_log(spark, str(tmp_path / "log"), ",", "2024-01-01", "GBK").first()
+    assert (row.query, row.result_rank, row.click_seq) == ("研究生命", 1, 2)
