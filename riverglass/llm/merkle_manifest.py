@@ -49,8 +49,9 @@ def tampered(doc_id: Column) -> Column:
 class Manifest:
     """The stored tables of one tree.
 
-    `leaves`: (tree, rank, doc_id, source, leaf, offered) with tree the source's place. `records`: (height, digest,
-    children). `tops`: (tree, depth, digest), the sources' subroots. `root` is None for an empty table.
+    `leaves`: (tree, rank, width, doc_id, source, leaf, offered) with tree the source's place and width its leaves.
+    `sources` and `root`: records (digest, children) by height. `tops`: (tree, depth, digest), the sources' subroots.
+    The field `root` is None for an empty table.
     """
     spark: SparkSession
     folder: str
@@ -68,7 +69,7 @@ def _saved(df: DataFrame, path: str) -> DataFrame:
 
 
 def _numbered(docs: DataFrame, folder: str) -> DataFrame:
-    """(tree, rank, doc_id, source, leaf, offered): leaves numbered from 0 within their source.
+    """(tree, rank, width, doc_id, source, leaf, offered): leaves numbered from 0 within their source, of `width`.
 
     Leaves are range-sorted over all tasks, so a large source is split, and rows that are alike too; only
     one row per task and source is added up to turn places in a task into ranks.
@@ -84,7 +85,8 @@ def _numbered(docs: DataFrame, folder: str) -> DataFrame:
     held = slots.groupBy("task", "source").agg(F.min("slot").alias("low"), F.count("*").alias("n"))
     # One row per task that a source reaches into.
     held = held.withColumn("before", F.expr(
-        "coalesce(sum(n) over (partition by source order by task rows between unbounded preceding and 1 preceding), 0)"))
+        "coalesce(sum(n) over (partition by source order by task rows between unbounded preceding and 1 preceding), 0)")
+    ).withColumn("width", F.expr("sum(n) over (partition by source)"))
     # Sources in their order: by the task they begin in, then by their place in it.
     first = held.where("before = 0").select(F.col("source").alias("s"), F.col("task").alias("at"), "low")
     begun = first.groupBy("at").agg(F.count("*").alias("k")).withColumn("earlier", F.expr(
@@ -92,9 +94,9 @@ def _numbered(docs: DataFrame, folder: str) -> DataFrame:
     trees = first.withColumn("place", F.expr("row_number() over (partition by at order by low) - 1")).join(begun, "at").select(
         "s", (F.col("earlier") + F.col("place")).cast("long").alias("tree"))
     bases = held.join(trees, F.col("source").eqNullSafe(F.col("s"))).select(
-        "tree", F.col("task").alias("t"), F.col("source").alias("s"), (F.col("before") - F.col("low")).alias("shift"))
+        "tree", F.col("task").alias("t"), F.col("source").alias("s"), (F.col("before") - F.col("low")).alias("shift"), "width")
     return _saved(slots.join(bases, (F.col("task") == F.col("t")) & F.col("source").eqNullSafe(F.col("s"))).select(
-        "tree", (F.col("slot") + F.col("shift")).alias("rank"), "doc_id", "source", "leaf", "offered"), f"{folder}/leaves")
+        "tree", (F.col("slot") + F.col("shift")).alias("rank"), "width", "doc_id", "source", "leaf", "offered"), f"{folder}/leaves")
 
 
 def _parents(nodes: DataFrame) -> DataFrame:
@@ -130,8 +132,7 @@ def build(docs: DataFrame) -> Manifest:
     """The tree over `docs` (doc_id, source, lang, n_chars, text), written to the shared folder."""
     spark, folder = docs.sparkSession, work_dir(docs.sparkSession, "manifest")
     leaves = _numbered(docs, folder)
-    width = leaves.groupBy("tree").agg(F.count("*").alias("width"))
-    nodes = leaves.join(width, "tree").select("tree", "rank", F.col("leaf").alias("digest"), "width")
+    nodes = leaves.select("tree", "rank", F.col("leaf").alias("digest"), "width")
     tops, depth = _grow(nodes, folder, "sources")
     tops = _saved(tops, f"{folder}/tops")
     size = tops.count()
