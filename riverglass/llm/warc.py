@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from riverglass.llm.common import stored
+
 ROLL_BYTES = 8 << 20  # a file is closed after the record that takes it past this compressed size
-SHARD_BYTES = 32 << 20  # payload of a shard
-BUCKETS = 4096
+SHARD_BYTES = 32 << 20  # payload of a shard, more where that would give over MAX_SHARDS
+MAX_SHARDS = 20_000  # their first keys travel to every task
 MIN_REVISIT = 1000
 NO_ID = -(1 << 63)
 DATE = "1970-01-01T00:00:00Z"  # fixed, so that reruns write the same bytes
@@ -26,28 +31,47 @@ RECORD = ("page_id long, payload_bytes long, payload_digest string, record_type
 
 
 def _marked(pages: DataFrame) -> DataFrame:
-    """(page, url, payload, digest, refers): payloads of revisits are left out of the writer's shuffle."""
-    payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
+    """(page, url, payload, digest, size)"""
+    payload = F.coalesce(F.encode(F.col("html").cast("string"), "UTF-8"), F.lit(b""))
     rows = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(NO_ID)).alias("page"),
                         F.col("url").cast("string").alias("url"), payload.alias("payload"))
     return rows.withColumns({"digest": F.sha1("payload"), "size": F.octet_length("payload").cast("long")})
 
 
-def _groups(rows: DataFrame) -> DataFrame:
-    """(digest, response) of the payloads that several rows share."""
-    return rows.where(F.col("size") >= MIN_REVISIT).groupBy("digest").agg(
+def _decisions(light: DataFrame) -> DataFrame:
+    """(page, digest, response) of the rows whose payload is shared, from `light` rows without payloads."""
+    shared = light.where(F.col("size") >= MIN_REVISIT).groupBy("digest").agg(
         F.max("page").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return light.select("page", "digest").distinct().join(shared, "digest").select("page", "digest", "response")
+
+
+def _shards(light: DataFrame) -> list[tuple[int, str]]:
+    """The first (page, digest) of each shard: about equal bytes, fixed by the data alone.
+
+    Rows are range-sorted and their sizes added up task by task, so neither null ids, which all sort
+    as one, nor outliers crowd a shard: equal ids are cut between digests.
+    """
+    order = ["page", "digest"]
+    rows = stored(light.select("page", "digest", "size").repartitionByRange(*order).sortWithinPartitions(*order)
+                  .withColumn("slot", F.monotonically_increasing_id()), "page-sizes")
+    rows = rows.withColumn("task", F.shiftright("slot", 33))
+    tasks = rows.groupBy("task").agg(F.sum("size").alias("bytes")).withColumn("before", F.expr(
+        "coalesce(sum(bytes) over (order by task rows between unbounded preceding and 1 preceding), 0)"))
+    total = tasks.agg(F.sum("bytes")).first()[0] or 0
+    shard = max(SHARD_BYTES, -(-total // MAX_SHARDS))
+    within = F.expr("sum(size) over (partition by task order by slot) - size")
+    at = rows.withColumn("within", within).join(tasks.select("task", "before"), "task").select(
+        F.floor((F.col("before") + F.col("within")) / shard).alias("shard"), "page", "digest")
+    firsts = at.groupBy("shard").agg(F.min(F.struct("page", "digest")).alias("first")).orderBy("shard").collect()
+    return [(r["first"].page, r["first"].digest) for r in firsts]
+
 
+def _shard_of(firsts: list[tuple[int, str]]) -> Column:
+    @F.pandas_udf("long")
+    def place(page: pd.Series, digest: pd.Series) -> pd.Series:
+        return pd.Series([max(0, bisect_right(firsts, key) - 1) for key in zip(page, digest)], dtype="int64")
 
-def _shards(rows: DataFrame) -> tuple[DataFrame, Column]:
-    """(bucket, shard) and a row's bucket: ranges of page ids with about SHARD_BYTES each, fixed by the data alone."""
-    ends = rows.agg(F.min("page"), F.max("page")).first()
-    low, high = ends[0] or 0, ends[1] or 0
-    width = max(1, -(-(high - low + 1) // BUCKETS))
-    bucket = F.floor((F.col("page").cast("decimal(38,0)") - F.lit(low).cast("decimal(38,0)")) / width).cast("long")
-    sums = rows.groupBy(bucket.alias("bucket")).agg(F.sum("size").alias("size"))
-    before = F.expr("coalesce(sum(size) over (order by bucket rows between unbounded preceding and 1 preceding), 0)")
-    return sums.select("bucket", F.floor(before / SHARD_BYTES).cast("long").alias("shard")), bucket
+    return place("page", "digest")
 
 
 def _record(row: dict) -> bytes:
@@ -114,28 +138,38 @@ class _Roller:
 def write(pages: DataFrame, folder: str, roll: int = ROLL_BYTES) -> DataFrame:
     """Write `pages` (page_id, url, html) as WARC files into `folder`; returns the manifest.
 
-    Records are sorted by page id within shards that are ranges of ids, both fixed by the data,
-    so a rerun or a repeated task writes the same bytes under the same names. A file appears by a
-    rename when it is whole. The manifest is written last; files it does not list do not count.
+    Records are sorted by page id and digest within shards, which are ranges of these that hold about equal
+    bytes; both are fixed by the data, so a rerun or a repeated task writes the same bytes under the same
+    names. A file appears by a rename when it is whole. The manifest is written last, by all tasks, and
+    committed as one; files it does not list do not count.
     Of equal payloads of MIN_REVISIT bytes or more the largest page id is the response, the others
-    revisit it; among rows that repeat both id and payload one is the response.
-    A null html is an empty payload, a null id is written as an empty page id.
+    revisit it; among rows that repeat both id and payload one is the response. Which they are is found on ids,
+    digests and sizes alone and sent along as short rows, so payloads are shuffled once.
+    A null html is an empty payload, a null id is written as an empty page id and sorts first. An empty table gives
+    an empty manifest. Other columns are not read. A long html is one record, in memory as a whole.
     `folder` must be a place that pyarrow's file systems and Spark both reach.
     """
     rows = _marked(pages)
-    bounds, bucket = _shards(rows)
-    placed = rows.withColumn("bucket", bucket).join(F.broadcast(bounds), "bucket").drop("bucket")
-    joined = placed.join(_groups(rows), "digest", "left")
+    light = stored(rows.select("page", "digest", "size"), "page-digests")
+    heavy = rows.select("page", "digest", F.lit(1).alias("kind"), "url", "size", "payload", F.lit(None).cast("long").alias("response"))
+    told = _decisions(light).select("page", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
+                                    F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("payload"), "response")
+    firsts = _shards(light)
+    joined = heavy.unionByName(told).withColumn("shard", _shard_of(firsts))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller, last = _Roller(folder, roll), None
+        roller, last, shared = _Roller(folder, roll), None, (None, None, None)
         found: list[tuple] = []
         for batch in batches:
             for row in batch.to_pylist():
+                key = row["page"], row["digest"]
+                if row["kind"] == 0:  # what was decided for the rows of this key, which follow
+                    shared = *key, row["response"]
+                    continue
+                row["response"] = shared[2] if key == shared[:2] else None
                 # Rows that repeat the response itself come right after it.
-                again = (row["page"], row["digest"]) == last
-                last = row["page"], row["digest"]
-                revisit = row["response"] is not None and (row["response"] != row["page"] or again)
+                revisit = row["response"] is not None and (row["response"] != row["page"] or key == last)
+                last = key
                 found.extend(roller.add(row["shard"], _record(row | {"kind": "revisit" if revisit else "response"})))
         found.extend(roller.close())
         yield pa.RecordBatch.from_arrays(
@@ -143,8 +177,11 @@ def write(pages: DataFrame, folder: str, roll: int = ROLL_BYTES) -> DataFrame:
                 (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()))],
             names=["shard", "file", "records", "bytes", "sha256"])
 
-    done = joined.repartition("shard").sortWithinPartitions("shard", "page", "digest", "url").mapInArrow(emit, MANIFEST)
-    done.coalesce(1).write.mode("overwrite").json(f"{folder}/_manifest")
+    done = joined.repartition(max(1, len(firsts)), "shard").sortWithinPartitions("shard", "page", "digest", "kind", "url").mapInArrow(emit, MANIFEST)
+    done.write.mode("overwrite").json(f"{folder}/_manifest")
+    files, path = _file_system(folder)
+    with contextlib.suppress(FileNotFoundError):  # what attempts that failed have left
+        files.delete_dir(f"{path}/_temporary")
     return pages.sparkSession.read.schema(MANIFEST).json(f"{folder}/_manifest")
 
 

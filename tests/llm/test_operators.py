@@ -194,6 +194,28 @@ def test_warc_odd_rows(spark):
     assert warc.round_trip(pages(spark, []), work_dir(spark, "warc-test")).count() == 0
 
 
+@pytest.mark.parametrize("odd_ids", [[], [None], [10**17], [None, 10**17, -(10**15)]])
+def test_warc_shards_hold_equal_bytes(spark, monkeypatch, odd_ids):
+    """One null id or one far id does not crowd the others into one shard, nor do 200 null ids."""
+    monkeypatch.setattr(warc, "SHARD_BYTES", 20_000)
+    rows = [(i, prose(i, 100)) for i in range(300)] + [(i, "odd") for i in odd_ids] + [(None, prose(900 + i, 100)) for i in range(200 * (None in odd_ids))]
+    folder = work_dir(spark, "warc-test")
+    manifest = warc.write(pages(spark, rows), folder).groupBy("shard").agg(F.sum("records").alias("n")).collect()
+    total = sum(len(h) for _, h in rows)
+    assert abs(len(manifest) - total / 20_000) <= 2 and sum(r.n for r in manifest) == len(rows)
+    assert max(r.n for r in manifest) < 60
+    got = sorted(((r.page_id, r.payload_digest) for r in warc.read(spark, folder).collect()), key=repr)
+    assert got == sorted(((i, hashlib.sha1(h.encode()).hexdigest()) for i, h in rows), key=repr)
+
+
+def test_warc_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SHARD_BYTES", 20_000)
+    folder = work_dir(spark, "warc-test")
+    warc.write(pages(spark, [(i, prose(i, 100)) for i in range(300)]).repartition(4), folder)
+    parts = [p for p in spark.read.format("binaryFile").load(f"{folder}/_manifest").select("path", "length").collect() if p.length]
+    assert len(parts) > 1
+
+
 def items(spark, rows):
     return spark.createDataFrame(rows, "item_id long, text string")
 
