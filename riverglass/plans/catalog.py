@@ -17,9 +17,9 @@ from riverglass.operators import searches as S, stations, windows as W
 from riverglass.operators.models import CurrentModel
 from riverglass.plans import device_report, learning_loop, standins as G, topic_etl
 from riverglass.session import reliable, work_dir
-from riverglass.sinks import KeyedTable, Registry, fan_out, files
+from riverglass.sinks import KeyedTable, MergedTable, Registry, fan_out, files
 from riverglass.sources.streams import MESSAGE
-from riverglass.streaming import toplists as LT
+from riverglass.streaming import late, toplists as LT
 from riverglass.streaming.recommend import RECOMMENDATIONS, with_stored
 from riverglass.streaming.run import drain, files_to
 
@@ -205,11 +205,55 @@ def sliding_top3_live_panes(spark, sf_dir):
     out = work_dir(spark, "panes-live")
     store = KeyedTable(spark, f"{out}/table", LT.live_counts_schema("event_type"),
                        ["window_start", "window_end", "event_type"])
-    drain(LT.live_panes(G.events_stream(spark, sf_dir), "1 day", "event_type", "10 minutes", store),
+    drain(LT.live_panes(G.events_stream(spark, sf_dir), "2 days", "1 day", "event_type", "10 minutes", store),
           f"{out}/checkpoint")
     return wall_edges(LT.live_top_of_panes(store, "2 days", "1 day", 3, "event_type"))
 
 
+@query
+def sliding_counts_chained_stream(spark, sf_dir):
+    """Closed windows of six hours every hour, from panes."""
+    out = work_dir(spark, "chained")
+    counted = LT.closed_counts(G.events_stream(spark, sf_dir), "6 hours", "1 hour", "event_type", "10 minutes")
+    drain(files_to(counted, f"{out}/rows"), f"{out}/checkpoint")
+    return wall_edges(spark.read.schema(counted.schema).parquet(f"{out}/rows"))
+
+
+def kept_apart(spark, sf_dir):
+    """Counts per hour of the rows on time, the late rows and the marks of a stream with late rows."""
+    out = work_dir(spark, "late")
+    counts_ = MergedTable(spark, f"{out}/counts", "window_start timestamp, window_end timestamp, event_type string, n bigint",
+                          ["window_start", "window_end", "event_type"], {"n": "sum"})
+    marks = late.marks_table(spark, f"{out}/marks")
+
+    def count(batch, batch_id):
+        counts_.write(W.edges(W.tumbling_counts(batch, "1 hour", ["event_type"])), batch_id)
+
+    drain(late.apart(G.delayed_stream(spark, sf_dir, f"{out}/in"), G.DELAY, count, f"{out}/late", marks), f"{out}/checkpoint")
+    return counts_, late.late_rows(spark, f"{out}/late", G.EVENTS), marks
+
+
+@query
+def late_rows_stream(spark, sf_dir):
+    """Events that arrive too late, with the batch they came in."""
+    _, rows, _ = kept_apart(spark, sf_dir)
+    return rows.select("event_id", "event_type", F.unix_micros("ts").alias("micros"),
+                       F.unix_micros("watermark").alias("limit_micros"), "batch_id")
+
+
+@query
+def on_time_counts_stream(spark, sf_dir):
+    """What is counted without them."""
+    counts_, _, _ = kept_apart(spark, sf_dir)
+    return wall_edges(counts_.current())
+
+
+@query
+def late_totals_stream(spark, sf_dir):
+    _, _, marks = kept_apart(spark, sf_dir)
+    return marks.current().select(F.unix_micros("newest").alias("newest_micros"), "rows", "late")
+
+
 # --- devices ---------------------------------------------------------------------------------
 
 def device_table(spark, sf_dir):

@@ -88,6 +88,16 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY window_start ORDER BY n DES
 WHERE place <= 3"""
 
 
+# Batches as `standins.arrivals` deals them, and the limit of each: the newest of earlier ones less seven days.
+ARRIVED = """
+WITH timed AS (SELECT *, epoch_us(ts) AS us FROM events),
+arrived AS (SELECT *, CAST((us - (SELECT min(us) FROM timed)) * 6 // (SELECT max(us) - min(us) + 1 FROM timed) AS BIGINT)
+                      + CASE WHEN event_id % 97 = 5 THEN 2 ELSE 0 END AS batch_id FROM timed),
+limits AS (SELECT batch_id, max(max(us)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                            - 7 * 86400000000 AS limit_micros FROM arrived GROUP BY batch_id),
+judged AS (SELECT *, coalesce(us < limit_micros, false) AS late FROM arrived JOIN limits USING (batch_id))
+"""
+
 DEVICES = f"""
 (SELECT event_id, ts, user_id AS device, event_type AS device_type, CAST({K} AS DOUBLE) AS signal FROM events)"""
 STRONG = f"SELECT event_id, device, device_type, signal FROM {DEVICES} WHERE signal > 30"
@@ -167,6 +177,15 @@ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period, count(*) AS searches
     "sliding_top3_stream": window_top(windows("'2 days'", "'1 day'", 2, TAIL.format(size="'2 days'"))),
     "sliding_top3_live": window_top(windows("'2 days'", "'1 day'", 2)),
     "sliding_top3_live_panes": window_top(windows("'2 days'", "'1 day'", 2)),
+    # A pane waits for its last window, so windows close five hours later than their own watermark.
+    "sliding_counts_chained_stream": windows("'6 hours'", "'1 hour'", 6, """
+HAVING window_start + INTERVAL '6 hours' <= (SELECT max(ts) - INTERVAL '10 minutes' - INTERVAL '5 hours' FROM events)"""),
+    "late_rows_stream": f"{ARRIVED} SELECT event_id, event_type, us AS micros, limit_micros, batch_id FROM judged WHERE late",
+    "on_time_counts_stream": f"""{ARRIVED}
+SELECT time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01') AS window_start, window_start + INTERVAL '1 hour' AS window_end,
+       event_type, count(*) AS n
+FROM judged WHERE NOT late GROUP BY ALL""",
+    "late_totals_stream": f"{ARRIVED} SELECT max(us) AS newest_micros, count(*) AS rows, count(*) FILTER (late) AS late FROM judged",
     "signal_over_30": STRONG,
     "signal_over_30_sql": STRONG,
     "devices_by_type": DEVICES_BY_TYPE,

@@ -27,6 +27,28 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_stream(spark, sf_dir, EVENTS, glob="events.parquet")
 
 
+ARRIVALS, LATER, DELAY = 8, 2, "7 days"
+FILES = 2
+
+
+def arrivals(rows: DataFrame) -> DataFrame:
+    """Events with the `batch` they arrive in: equal parts of the time, but every 97th event comes two parts later."""
+    edge = rows.agg(F.unix_micros(F.min("ts")).alias("low"), F.unix_micros(F.max("ts")).alias("high")).first()
+    parts = ARRIVALS - LATER
+    low, width = edge.low or 0, (edge.high or 0) - (edge.low or 0) + 1
+    part = F.floor((F.unix_micros("ts") - low) * parts / F.lit(width)).cast("int")
+    return rows.withColumn("batch", part + F.when(F.col("event_id") % 97 == 5, LATER).otherwise(0))
+
+
+def delayed_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """Events as files in the order of their arrival, one batch for each part."""
+    rows = arrivals(events(spark, sf_dir))
+    for number in range(ARRIVALS):
+        (rows.where(F.col("batch") == number).drop("batch").repartition(FILES)
+         .write.parquet(f"{path}/part={number}"))
+    return file_stream(spark, f"{path}/part=*", EVENTS, files_per_batch=FILES)
+
+
 def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line item rates its supplier by its quantity."""
     return given(spark, sf_dir, "lineitem").select(

@@ -7,9 +7,9 @@ from riverglass.functions import utc_wall
 from riverglass.operators import windows as W
 from riverglass.operators.devices import devices_by_type, devices_of_sketches, device_rows, stats_of_sums
 from riverglass.plans import device_report
-from riverglass.sinks import KeyedTable, append_to_topic, fan_out, files, messages, topic_writer
+from riverglass.sinks import KeyedTable, MergedTable, append_to_topic, fan_out, files, messages, topic_writer
 from riverglass.sources import MESSAGE, file_stream, topic_replay
-from riverglass.streaming import toplists as LT
+from riverglass.streaming import late, toplists as LT
 from riverglass.streaming.run import batches_to, console, drain, files_to, start
 
 SCHEMA = "ts timestamp, key string"
@@ -56,6 +56,95 @@ def test_late_rows(spark, tmp_path, at):
     assert got == [("00:00", "a", 1), ("00:55", "a", 1), ("01:00", "a", 2)]
 
 
+def kept_apart(spark, feed, folder, delay="10 minutes"):
+    """A run of `late.apart` over what the feed holds, with counts of five minutes."""
+    store = MergedTable(spark, f"{folder}/counts", "window_start timestamp, window_end timestamp, key string, n bigint",
+                        ["window_start", "window_end", "key"], {"n": "sum"})
+    marks = late.marks_table(spark, f"{folder}/marks")
+
+    def count(batch, batch_id):
+        store.write(W.edges(W.tumbling_counts(batch, "5 minutes", ["key"])), batch_id)
+
+    writer = late.apart(feed.stream(), delay, count, f"{folder}/late", marks)
+    return store, marks, writer
+
+
+def test_late_rows_are_kept_apart(spark, tmp_path, at):
+    """Judged by the newest time of earlier batches, over restarts, and the same again after a crash."""
+    feed = Feed(spark, tmp_path / "in")
+    batches = [[(at("00:01"), "a")], [(at("01:00"), "a"), (at("00:30"), "a")], [(at("01:01"), "a"), (None, "n")],
+               [(at("00:02"), "a"), (at("00:51"), "a"), (at("00:50"), "b")], [(at("03:00"), "z"), (at("02:00"), "y")]]
+    for batch in batches:
+        feed.add(batch)
+        store, marks, writer = kept_apart(spark, feed, tmp_path)
+        drain(writer, str(tmp_path / "checkpoint"))
+
+    def seen():
+        got = late.late_rows(spark, str(tmp_path / "late"), SCHEMA).collect()
+        row = marks.current().first()
+        return (sorted((r.ts.strftime("%H:%M"), r.key, r.watermark.strftime("%H:%M"), r.batch_id) for r in got),
+                (row.newest.strftime("%H:%M"), row.rows, row.late), sorted(store.current().collect(), key=repr))
+
+    once = seen()
+    # 00:51 is exactly at the limit, 10 minutes before 01:01; what shares a batch with 03:00 is on time.
+    assert once[:2] == ([("00:02", "a", "00:51", 3), ("00:50", "b", "00:51", 3)], ("03:00", 10, 2))
+    assert sum(r.n for r in once[2]) == 7  # the row without a time has no window
+    for file in ("4", ".4.crc"):
+        (tmp_path / "checkpoint/commits" / file).unlink()
+    drain(kept_apart(spark, feed, tmp_path)[2], str(tmp_path / "checkpoint"))
+    assert seen() == once
+
+
+def test_late_rows_of_nothing(spark, tmp_path):
+    feed = Feed(spark, tmp_path / "in")
+    feed.add([])
+    store, marks, writer = kept_apart(spark, feed, tmp_path)
+    drain(writer, str(tmp_path / "checkpoint"))
+    assert late.late_rows(spark, str(tmp_path / "late"), SCHEMA).count() == store.current().count() == 0
+    assert marks.current().count() <= 1
+
+
+LATE = [[("00:10", "a"), ("01:10", "a"), ("01:20", "b")], [("02:30", "a"), ("01:30", "b")], [("01:40", "a"), ("02:10", "c")],
+        [("03:50", "a")], [("02:50", "c"), ("03:10", "b")], [("08:00", "z")], [("09:30", "z")]]
+
+
+def test_chained_windows_equal_live_counts_on_late_rows(spark, tmp_path, at):
+    """Rows behind the newest, but in windows that are open: panes and copied rows count the same."""
+    feed = Feed(spark, tmp_path / "in")
+    keys = ["window_start", "window_end", "key"]
+    copied = KeyedTable(spark, str(tmp_path / "copied"), LT.live_counts_schema("key"), keys)
+    paned = KeyedTable(spark, str(tmp_path / "paned"), LT.live_counts_schema("key"), keys)
+    out = str(tmp_path / "out")
+    for batch in LATE:
+        feed.add([(at(t), k) for t, k in batch])
+        drain(LT.live_counts(feed.stream(), "3 hours", "1 hour", "key", "1 hour", copied), str(tmp_path / "c1"))
+        drain(LT.live_panes(feed.stream(), "3 hours", "1 hour", "key", "1 hour", paned), str(tmp_path / "c2"))
+        drain(files_to(LT.closed_counts(feed.stream(), "3 hours", "1 hour", "key", "1 hour"), out), str(tmp_path / "c3"))
+    want = sorted(copied.current().collect())
+    assert want and sorted(W.edges(W.windows_of_panes(paned.current(), "3 hours", "1 hour", ["key"])).select(*copied.columns).collect()) == want
+    closed = sorted(spark.read.parquet(out).select(*copied.columns).collect())
+    limit = at("06:30")  # 09:30 less an hour of delay and two hours that a pane waits
+    assert closed == [r for r in want if r.window_end.replace(tzinfo=limit.tzinfo) <= limit] and len(closed) > 8
+    everything = spark.createDataFrame([(at(t), k) for b in LATE for t, k in b], SCHEMA)
+    assert want == sorted(W.edges(W.sliding_counts(everything, "3 hours", "1 hour", ["key"])).collect())
+
+
+def test_panes_keep_late_rows_of_open_windows(spark, tmp_path, at):
+    """A row whose pane would be closed by the delay alone still counts in the window that is open."""
+    feed, keys = Feed(spark, tmp_path / "in"), ["window_start", "window_end", "key"]
+    store = KeyedTable(spark, str(tmp_path / "table"), LT.live_counts_schema("key"), keys)
+    live = lambda: LT.live_panes(feed.stream(), "6 hours", "1 hour", "key", "10 minutes", store)
+    drain_each(feed, [[(at("01:00"), "a")], [(at("05:30"), "a")], [(at("05:31"), "a")], [(at("02:30"), "late")], [(at("05:40"), "a")]],
+               live, str(tmp_path / "checkpoint"))
+    counted = W.edges(W.windows_of_panes(store.current(), "6 hours", "1 hour", ["key"]))
+    assert counted.where("key = 'late'").count() == 6
+
+
+def test_panes_must_make_up_the_window():
+    with pytest.raises(ValueError):
+        LT.pane_delay("90 minutes", "1 hour", "10 minutes")
+
+
 BATCHES = [["a", "a", "b"], ["b", "c", "d"], ["d", "d", "a"], ["e"]]
 
 
