@@ -3,43 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
-# A StringIndexer keeps its labels on the driver; it is for categories, not for ids
-# (`operators.ids`).
-MAX_CATEGORIES = 10_000
+from riverglass.operators.ids import frequency_ids
+from riverglass.session import work_dir
 
 
-def check_categories(df: DataFrame, column: str) -> None:
-    """Refuse a column with too many values for a StringIndexer. Runs a job."""
-    found = df.agg(F.approx_count_distinct(column)).first()[0]
-    if found > MAX_CATEGORIES:
-        raise ValueError(f"{column} has about {found} values: number it with dense_ids")
+@dataclass(frozen=True)
+class Cleaning:
+    """What was learned from a table: the filling of missing numbers, and the categories' numbers."""
 
+    filling: PipelineModel
+    indexes: dict[str, DataFrame]  # per column (value, index)
+    sizes: dict[str, int]
 
-def cleaning(numbers: Sequence[str], categories: Sequence[str], rule: str = "true") -> Pipeline:
-    """Keep the rows that meet the SQL `rule`, fill missing numbers with the mean, and index the
-    categories by frequency, unknown ones last."""
-    filled = [f"{c}_filled" for c in numbers]
-    indexed = [f"{c}_index" for c in categories]
-    return Pipeline(stages=[
-        SQLTransformer(statement=f"SELECT * FROM __THIS__ WHERE {rule}"),
-        Imputer(strategy="mean", inputCols=list(numbers), outputCols=filled),
-        StringIndexer(inputCols=list(categories), outputCols=indexed, handleInvalid="keep"),
-    ])
+    def apply(self, df: DataFrame) -> DataFrame:
+        """`df` cleaned: rows that meet the rule, numbers as `*_filled`, categories as `*_index`.
+
+        A missing category and one that was not learned get the number after the last. Each category column
+        is one join by its values, so a table of any size will do.
+        """
+        rows = self.filling.transform(df)
+        for column, index in self.indexes.items():
+            known = index.select(F.col(column).alias("__value"), F.col("index").alias("__index"))
+            rows = rows.join(known, rows[column] == F.col("__value"), "left").withColumn(
+                f"{column}_index", F.coalesce("__index", F.lit(self.sizes[column])).cast("double")).drop("__value", "__index")
+        return rows
+
+
+def fit_cleaning(df: DataFrame, numbers: Sequence[str], categories: Sequence[str], rule: str = "true",
+                 folder: str | None = None) -> Cleaning:
+    """Learn a cleaning from `df`. Runs jobs.
+
+    Rows must meet the SQL `rule`; missing numbers (null or NaN) are filled with the mean, all in one pass, and stay
+    null where no row has one; categories are numbered by frequency, ties by value. The numbering is made on the executors, so a column may have
+    any number of values (a StringIndexer keeps them all on the driver).
+    """
+    folder = folder or work_dir(df.sparkSession, "categories")
+    kept = df.where(rule)
+    known = {c: f"nullif(CAST({c} AS DOUBLE), DOUBLE('NaN'))" for c in numbers}
+    means = kept.agg(F.lit(0), *(F.avg(F.expr(known[c])).alias(c) for c in numbers)).first()
+    mean = lambda c: "CAST(NULL AS DOUBLE)" if means[c] is None else f"DOUBLE('{means[c]!r}')"
+    filled = "".join(f", coalesce({known[c]}, {mean(c)}) AS {c}_filled" for c in numbers)
+    filling = Pipeline(stages=[SQLTransformer(statement=f"SELECT *{filled} FROM __THIS__ WHERE {rule}")]).fit(df)
+    indexes = {c: frequency_ids(kept, c, f"{folder}/{c}", "index") for c in categories}
+    return Cleaning(filling, indexes, {c: index.count() for c, index in indexes.items()})
 
 
 def clean(df: DataFrame, numbers: Sequence[str], categories: Sequence[str],
           rule: str = "true") -> DataFrame:
     """Fit the cleaning on `df` and apply it. Runs jobs."""
-    for column in categories:
-        check_categories(df, column)
-    return cleaning(numbers, categories, rule).fit(df).transform(df)
+    return fit_cleaning(df, numbers, categories, rule).apply(df)
 
 
 def classifier(iterations: int = 50, reg: float = 0.01) -> Pipeline:

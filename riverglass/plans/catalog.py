@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riverglass.functions.text import term_costs
 from riverglass.functions.times import utc_wall
-from riverglass.operators import als, devices as D, features, learning as L, ratings as R
+from riverglass.operators import als, devices as D, features, learning as L, measures as M, ratings as R
 from riverglass.operators import searches as S, stations, windows as W
 from riverglass.operators.models import CurrentModel
 from riverglass.plans import device_report, learning_loop, standins as G, topic_etl
@@ -497,6 +497,57 @@ def als_rmse(spark, sf_dir):
     return als.evaluate(als.fit(train, als.AlsSettings(iterations=5)), train, test)
 
 
+def held_out_ratings(spark, sf_dir):
+    """Planted ratings and which are for testing."""
+    return G.planted_ratings(spark, sf_dir).withColumn("test", M.held_out("user", "item"))
+
+
+def liked():
+    return (F.col("rating") >= 5).alias("relevant")
+
+
+@query
+def baseline_ranking_by_user(spark, sf_dir):
+    """How a ranking by the items' means does on each user's held-out items."""
+    rows = held_out_ratings(spark, sf_dir)
+    means = M.item_means(rows.where("not test"))
+    scored = rows.where("test").join(means, "item", "left").select("user", "item", "score", liked())
+    return M.ranking_by_user(scored, 3)
+
+
+@query
+def baseline_ranking(spark, sf_dir):
+    return M.ranking_summary(baseline_ranking_by_user(spark, sf_dir))
+
+
+@query
+def baseline_errors(spark, sf_dir):
+    """The error of the items' means and of the mean of all, on held-out ratings of items that were seen."""
+    rows = held_out_ratings(spark, sf_dir)
+    train = rows.where("not test")
+    guessed = rows.where("test").join(M.item_means(train).withColumnRenamed("score", "item_mean"), "item").crossJoin(
+        F.broadcast(train.agg(F.avg("rating").alias("mean"))))  # one row
+    return M.errors(guessed, "rating", ("item_mean", "mean"))
+
+
+@query
+def als_ranking(spark, sf_dir):
+    """Whether the factors rank held-out items better than the items' means, and beat their error by half."""
+    rows = reliable(held_out_ratings(spark, sf_dir))
+    train, test = rows.where("not test").drop("test"), rows.where("test").drop("test")
+    trained = als.train(train, als.AlsSettings(rank=4, iterations=10, reg=0.02))
+    keyed = test.join(trained.users.toDF("user", "u"), "user").join(trained.items.toDF("item", "i"), "item")
+    scored = trained.model.transform(keyed.select(F.col("u").alias("user"), F.col("i").alias("item"), "rating")).join(
+        M.item_means(train.join(trained.items.toDF("item", "i"), "item").select(F.col("i").alias("item"), "rating")), "item")
+    judge = lambda score: M.ranking_summary(M.ranking_by_user(
+        scored.select("user", "item", F.col(score).alias("score"), liked()), 3))
+    error = M.errors(scored, "rating", ("prediction", "score"))
+    return judge("prediction").select("users", "ndcg").crossJoin(F.broadcast(judge("score").select(  # one row each
+        F.col("ndcg").alias("baseline")))).crossJoin(F.broadcast(error)).select(
+        F.col("rows").alias("test_rows"), "users", (F.col("ndcg") > F.col("baseline")).alias("ranks_better"),
+        (F.col("rmse_of_prediction") < F.col("rmse_of_score") / 2).alias("half_the_error"))
+
+
 @query
 def difficulty_ratings(spark, sf_dir):
     return L.difficulty_ratings(answer_table(spark, sf_dir))
@@ -553,6 +604,16 @@ def ml_cleaning(spark, sf_dir):
                           F.col("device_type_index").cast("long").alias("type_index"))
 
 
+@query
+def ml_held_out(spark, sf_dir):
+    """Held-out vectors on each side of a plane, and whether the classifier finds most of them on their side."""
+    rows = G.given(spark, sf_dir, "embeddings").withColumns({
+        "test": F.col("vec_id") % 5 == 0, "side": (F.expr("embedding[0] + embedding[1]") > 0).cast("int")})
+    model = features.train_classifier(rows.where("not test"), "embedding", "side")
+    found = M.hits(features.classify(model, rows.where("test"), "embedding"), "side")
+    return found.select("side", "rows", (F.col("share") > 0.8).alias("mostly_right"))
+
+
 @query
 def ml_pipeline(spark, sf_dir):
     rows = G.given(spark, sf_dir, "embeddings")

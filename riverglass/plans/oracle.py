@@ -141,6 +141,21 @@ FROM (SELECT DISTINCT {ids})"""
 
 ORDERED = "FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 
+PLANTED = """
+WITH planted AS (
+  SELECT user, item, CASE WHEN (user + item) % 3 = 0 THEN 5.0 ELSE 1.0 END::DOUBLE + (item % 4) / 8 AS rating,
+         ((user % 1000003) * 31 + item % 1000003) % 5 = 0 AS test
+  FROM (SELECT DISTINCT o_custkey AS user, l_partkey AS item FROM lineitem JOIN orders ON l_orderkey = o_orderkey)),
+means AS (SELECT item, avg(rating) AS score FROM planted WHERE NOT test GROUP BY item)"""
+RANKING = f"""{PLANTED},
+placed AS (SELECT user, rating >= 5 AS liked, row_number() OVER (PARTITION BY user ORDER BY score DESC NULLS LAST, item) AS place
+           FROM planted LEFT JOIN means USING (item) WHERE test),
+judged AS (SELECT user, count(*) FILTER (liked AND place <= 3) AS hits, count(*) FILTER (liked) AS relevant,
+                  coalesce(sum(1 / log2(place + 1)) FILTER (liked AND place <= 3), 0) AS gain FROM placed GROUP BY user)
+SELECT user, hits, relevant, hits / 3 AS precision, hits / relevant AS recall,
+       gain / (CASE least(relevant, 3) WHEN 1 THEN 1 WHEN 2 THEN 1 + 1 / log2(3) ELSE 1 + 1 / log2(3) + 0.5 END) AS ndcg
+FROM judged WHERE relevant > 0"""
+
 SQL: dict[str, str] = {
     "rating_top10": RATING_TOP,
     "rating_top10_sql": RATING_TOP,
@@ -223,6 +238,22 @@ ORDER BY wrong_rate DESC, question_id LIMIT 10""",
       JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING'"""),
     "als_subset_item_recs_shape": shape(f"""l_partkey AS id {ORDERED}
       JOIN part ON p_partkey = l_partkey WHERE p_type = 'ECONOMY'"""),
+    "baseline_ranking_by_user": RANKING,
+    "baseline_ranking": f"""
+SELECT count(*) AS users, avg(precision) AS precision, avg(recall) AS recall, avg(ndcg) AS ndcg FROM ({RANKING})""",
+    "baseline_errors": f"""{PLANTED}
+SELECT count(*) AS rows, sqrt(avg((rating - score) ** 2)) AS rmse_of_item_mean,
+       sqrt(avg((rating - (SELECT avg(rating) FROM planted WHERE NOT test)) ** 2)) AS rmse_of_mean
+FROM planted JOIN means USING (item) WHERE test""",
+    # Held-out pairs of a user and an item that both have other pairs.
+    "als_ranking": f"""{PLANTED},
+tested AS (SELECT * FROM planted WHERE test AND user IN (SELECT user FROM planted WHERE NOT test)
+           AND item IN (SELECT item FROM planted WHERE NOT test))
+SELECT count(*) AS test_rows, count(DISTINCT user) FILTER (rating >= 5) AS users, true AS ranks_better, true AS half_the_error
+FROM tested""",
+    "ml_held_out": """
+SELECT CAST(embedding[1] + embedding[2] > 0 AS INTEGER) AS side, count(*) AS rows, true AS mostly_right
+FROM embeddings WHERE vec_id % 5 = 0 GROUP BY side""",
     "difficulty_ratings": f"""
 SELECT student_id, question_id, CAST(sum(1 - correct) / CAST(count(*) AS DOUBLE) AS FLOAT) AS rating
 FROM {ANSWERS} GROUP BY student_id, question_id""",

@@ -69,6 +69,13 @@ def part_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rating_matrix(joined, "o_custkey", "l_partkey", "l_quantity")
 
 
+def planted_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user, item, rating): of the pairs of customer and part that were ordered, those whose keys agree by threes are liked."""
+    pairs = part_matrix(spark, sf_dir).select("user", "item")
+    liked = (F.col("user") + F.col("item")) % 3 == 0
+    return pairs.withColumn("rating", F.when(liked, 5.0).otherwise(1.0) + (F.col("item") % 4) / 8)
+
+
 def document_searches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(given(spark, sf_dir, "documents").select(F.col("text").alias("query")))
 

@@ -1,4 +1,4 @@
-import pytest
+from pyspark.sql import functions as F
 
 from riverglass.operators import features
 
@@ -11,16 +11,36 @@ def test_cleaning(spark, rows):
 
 
 def test_unknown_categories_come_last(spark, rows):
-    known = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "x double, kind string")
-    fitted = features.cleaning(["x"], ["kind"]).fit(known)
-    other = spark.createDataFrame([(1.0, "z")], "x double, kind string")
-    assert fitted.transform(other).first().kind_index == 2.0
+    known = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (3.0, None)], "x double, kind string")
+    fitted = features.fit_cleaning(known, ["x"], ["kind"])
+    other = spark.createDataFrame([(1.0, "z"), (None, None), (5.0, "b")], "x double, kind string")
+    assert rows(fitted.apply(other).select("kind", "x_filled", "kind_index")) == [("b", 5.0, 1.0), ("z", 1.0, 2.0), (None, 2.0, 2.0)]
 
 
-def test_ids_are_no_categories(spark, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CATEGORIES", 10)
-    with pytest.raises(ValueError):
-        features.check_categories(spark.range(100).selectExpr("cast(id as string) as k"), "k")
+def test_any_number_of_categories(spark):
+    """50,000 values, numbered by frequency and then by value, as a driver-side index would."""
+    df = spark.range(130_000).select(F.concat(F.lit("v"), F.lpad((F.col("id") % 50_000).cast("string"), 5, "0")).alias("k"), F.col("id"))
+    got = features.clean(df, [], ["k"]).select("k", "k_index").distinct()
+    # Values below 30,000 come three times, the others twice; with equal counts the order is that of the values.
+    assert got.count() == 50_000
+    assert got.where(F.col("k_index") != F.substring("k", 2, 5).cast("double")).count() == 0
+
+
+def test_several_categories_of_other_types(spark, rows):
+    df = spark.createDataFrame([(1, 10**12, True), (2, 5, True), (3, 5, False), (4, None, None)], "id int, far long, flag boolean")
+    got = features.clean(df, [], ["far", "flag"]).select("id", "far_index", "flag_index")
+    assert rows(got) == [(1, 1.0, 0.0), (2, 0.0, 0.0), (3, 0.0, 1.0), (4, 2.0, 2.0)]
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "x double, kind string")
+    assert features.clean(df, ["x"], ["kind"]).count() == 0
+
+
+def test_numbers_that_are_missing(spark, rows):
+    df = spark.createDataFrame([(1, 2.0, None), (2, float("nan"), None), (3, 4.0, None)], "id int, x double, none double")
+    got = features.clean(df, ["x", "none"], []).select("id", "x_filled", "none_filled")
+    assert rows(got) == [(1, 2.0, None), (2, 3.0, None), (3, 4.0, None)]
 
 
 def test_classifier_separates(spark):
