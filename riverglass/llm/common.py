@@ -40,6 +40,29 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Once:
+    """`docs` (doc_id, text) with every (id, text hash) once, and how often each came."""
+
+    def __init__(self, docs: DataFrame):
+        # Only keys that repeat are counted out; of other rows no text is moved.
+        light = keyed(docs).select(ID, HASH).groupBy(ID, HASH).agg(F.count("*").alias("__rg_copies"))
+        self.copies = stored(light.where("__rg_copies > 1"), "copies")
+        self.docs = docs
+        if not self.copies.isEmpty():
+            marked = keyed(docs).join(self.copies, [ID, HASH], "left")
+            several = marked.where("__rg_copies is not null")
+            one = several.groupBy(ID, HASH).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+            self.docs = marked.where("__rg_copies is null").select("doc_id", "text").unionByName(one.select("doc_id", "text"))
+
+    def restored(self, report: DataFrame) -> DataFrame:
+        """`report`, one row per (id, text hash), with a row for every copy."""
+        if self.copies.isEmpty():
+            return report
+        times = F.coalesce(F.col("__rg_copies"), F.lit(1)).cast("int")
+        return report.join(self.copies, [ID, HASH], "left").withColumn(
+            "__rg_copy", F.explode(F.sequence(F.lit(1), times))).drop("__rg_copies", "__rg_copy")
+
+
 def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """The words of a text in blocks of about `size` bytes, so that long texts stay small in memory."""
     start = 0

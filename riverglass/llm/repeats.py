@@ -87,7 +87,7 @@ def regions(values: np.ndarray, window: int, gram: int) -> Iterator[tuple[np.nda
 
 
 def _mine(docs: DataFrame, elements: Callable[[bytes], np.ndarray], window: int, gram: int,
-          common: list[int], within: bool, buckets: int) -> DataFrame:
+          common: list[int], within: bool, buckets: int, places: bool) -> DataFrame:
     """(bucket, packed): regions by the bucket of their anchor.
 
     Of equal regions in one batch of rows only the first needs its anchor; the others repeat it,
@@ -122,6 +122,7 @@ def _mine(docs: DataFrame, elements: Callable[[bytes], np.ndarray], window: int,
             route = np.where(again, ident ^ first, np.where(common_one, anchor ^ content, anchor))
             bucket = np.where(once, (mixed(route.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), -1)
             witness = pa.array(ident[lead], mask=~again)
+            more_of = {"w_hash": mark[lead], "w_first": first[lead].astype(np.int32)} if places else {}
             number, packed = [], []
             for which, at in deal(bucket):
                 if which >= 0:
@@ -130,7 +131,8 @@ def _mine(docs: DataFrame, elements: Callable[[bytes], np.ndarray], window: int,
                     packed.append(pack(
                         anchor=anchor[at], content=content[at], id=ident[at], hash=mark[at],
                         first=first[at].astype(np.int32), more=(last - first)[at].astype(np.int32),
-                        heavy=common_one[at], witness=witness.take(pa.array(at))))
+                        heavy=common_one[at], witness=witness.take(pa.array(at)),
+                        **{c: v[at] for c, v in more_of.items()}))
             yield pa.RecordBatch.from_arrays([pa.array(number, pa.int64()), pa.array(packed, pa.binary())],
                                              names=["bucket", "packed"])
 
@@ -158,11 +160,15 @@ def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def _out(shards: int, known: bool, ident, mark, first, more, content, witness) -> Iterator[tuple]:
-    """Rows (known, shard, packed) of spans by the shard of their document."""
+def _out(shards: int, known: bool, ident, mark, first, more, content, witness, **place) -> Iterator[tuple]:
+    """Rows (known, shard, packed) of spans by the shard of their document; `place`: where the witness has the run."""
     for shard, at in deal(shard_of(ident, mark, shards)):
         yield known, shard, pack(id=ident[at], hash=mark[at], first=first[at], more=more[at], content=content[at],
-                                 witness=witness[at])
+                                 witness=witness[at], **{c: v[at] for c, v in place.items()})
+
+
+def _place(mark: np.ndarray, first: np.ndarray, lead: np.ndarray, at: np.ndarray, places: bool) -> dict[str, np.ndarray]:
+    return {"w_hash": mark[lead][at], "w_first": first[lead][at]} if places else {}
 
 
 SPANS = "known boolean, shard long, packed binary"
@@ -174,7 +180,7 @@ def _spans(rows: list[tuple]) -> pa.Table:
                      "packed": pa.array([r[2] for r in rows], pa.binary())})
 
 
-def _compare(mined: DataFrame, within: bool, shards: int) -> DataFrame:
+def _compare(mined: DataFrame, within: bool, shards: int, places: bool) -> DataFrame:
     """Repeated regions (known) and regions whose windows must be compared."""
     def judge(table: pa.Table) -> pa.Table:
         rows = unpack(table.column("packed").to_pylist())
@@ -183,7 +189,8 @@ def _compare(mined: DataFrame, within: bool, shards: int) -> DataFrame:
         witness = rows.column("witness")
         sure = np.asarray(witness.is_valid())
         out = list(_out(shards, True, ident[sure], mark[sure], first[sure], more[sure], content[sure],
-                        witness.drop_null().to_numpy()))
+                        witness.drop_null().to_numpy(),
+                        **({c: _column(rows, c)[sure] for c in ("w_hash", "w_first")} if places else {})))
         at = np.flatnonzero(~sure)
         at = at[np.lexsort((first[at], mark[at], ident[at], content[at], anchor[at]))]
         anchor, content, ident, mark, first, more, heavy = (
@@ -199,7 +206,8 @@ def _compare(mined: DataFrame, within: bool, shards: int) -> DataFrame:
             of = np.cumsum(group) - 1
             several = np.bincount(of, new)[of] > 1
             compare = ~again & ~twice & (heavy | several)
-            out += _out(shards, True, *(x[again] for x in (ident, mark, first, more, content, ident[lead])))
+            out += _out(shards, True, *(x[again] for x in (ident, mark, first, more, content, ident[lead])),
+                        **_place(mark, first, lead, again, places))
             out += _out(shards, False, *(x[compare] for x in (ident, mark, first, more, content, ident)))
         return _spans(out)
 
@@ -207,7 +215,7 @@ def _compare(mined: DataFrame, within: bool, shards: int) -> DataFrame:
 
 
 def _windows(texts: DataFrame, spans: DataFrame, elements, window: int, within: bool, shards: int,
-             buckets: int) -> DataFrame:
+             buckets: int, places: bool) -> DataFrame:
     """Windows of the given regions that occur earlier.
 
     Every shard names each window once, by its first place; a window's other places in the shard
@@ -243,7 +251,8 @@ def _windows(texts: DataFrame, spans: DataFrame, elements, window: int, within:
             lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
             again = ~new if within else ident > ident[lead]
             rows += [(shard, None, packed) for _, shard, packed in _out(
-                shards, True, *(x[again] for x in (ident, mark, place, np.zeros(len(place), np.int32), whole, ident[lead])))]
+                shards, True, *(x[again] for x in (ident, mark, place, np.zeros(len(place), np.int32), whole, ident[lead])),
+                **_place(mark, place, lead, again, places))]
             whole, ident, mark, place = (x[~again] for x in (whole, ident, mark, place))
             for bucket, at in deal((mixed(whole.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)):
                 at = at[np.lexsort((place[at], mark[at], ident[at]))]
@@ -261,7 +270,8 @@ def _windows(texts: DataFrame, spans: DataFrame, elements, window: int, within:
         lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
         again = ~new if within else ident > ident[lead]
         return _spans(list(_out(shards, True, *(x[again] for x in (
-            ident, mark, place, np.zeros(len(place), np.int32), whole, ident[lead])))))
+            ident, mark, place, np.zeros(len(place), np.int32), whole, ident[lead])),
+            **_place(mark, place, lead, again, places))))
 
     named = stored(texts.groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(
         cut, "shard long, bucket long, packed binary"), "windows")
@@ -270,18 +280,19 @@ def _windows(texts: DataFrame, spans: DataFrame, elements, window: int, within:
 
 
 def repeats(docs: DataFrame, elements: Callable[[bytes], np.ndarray], window: int, gram: int,
-            within: bool) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans), both (shard, packed): documents and their runs of windows that occur earlier.
+            within: bool, places: bool = False) -> tuple[DataFrame, DataFrame, int]:
+    """(texts, spans, shards): documents and their runs of windows that occur earlier, both (shard, packed).
 
     Packed spans have the columns id, hash, first, more (the run's windows after the first),
     content (equal for equal runs) and witness, a document with the run. Earlier means in a
     document with a smaller id, or with `within` before in the order of id, text hash and place.
+    With `places` there are also w_hash and w_first: the witness's text hash and where it has the run.
     """
     size = text_bytes(docs)
     shards, buckets = max(1, -(-size // SHARD_BYTES)), max(1, -(-size // BUCKET_BYTES))
     texts = sharded_texts(docs, shards)
     common = common_anchors(docs, elements, window, gram)
-    found = stored(_compare(_mine(docs, elements, window, gram, common, within, buckets), within, shards), "regions")
+    found = stored(_compare(_mine(docs, elements, window, gram, common, within, buckets, places), within, shards, places), "regions")
     open_ = found.where("not known").select("shard", "packed")
-    later = _windows(texts, open_, elements, window, within, shards, buckets)
-    return texts, found.where("known").select("shard", "packed").unionByName(later)
+    later = _windows(texts, open_, elements, window, within, shards, buckets, places)
+    return texts, found.where("known").select("shard", "packed").unionByName(later), shards

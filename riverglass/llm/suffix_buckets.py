@@ -12,9 +12,9 @@ from __future__ import annotations
 import hashlib
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from riverglass.llm.common import ID, covered, real_id, runs, unpack
+from riverglass.llm.common import HASH, ID, Once, covered, real_id, runs, unpack
 from riverglass.llm.repeats import mixed, repeats
 
 LENGTH, GRAM = 100, 32
@@ -33,11 +33,12 @@ def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     doc_id (null is the smallest), or earlier in its own text. Null texts are empty; rows that
     repeat id and text are one document; different texts of one id are ordered by their hash.
     """
-    texts, spans = repeats(docs, byte_hashes, length, gram, within=True)
+    rows = Once(docs.select("doc_id", F.col("text").cast("string").alias("text")))
+    texts, spans, _ = repeats(rows.docs, byte_hashes, length, gram, within=True)
 
     def cut(texts: pa.Table, spans: pa.Table) -> pa.Table:
         found = by_document(spans.column("packed").to_pylist())
-        rows = []
+        out = []
         for value in texts.column("packed"):
             given = unpack([value.as_py()])
             for ident, mark, text in zip(*(given.column(c).to_pylist() for c in ("id", "hash", "text"))):
@@ -49,14 +50,14 @@ def removal_report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                     digest.update(data[at:a])
                     at = b
                 digest.update(data[at:])
-                rows.append((ident, len(data), int((ends - starts).sum()), len(starts), digest.hexdigest()))
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        return pa.Table.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                    names=[ID, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                out.append((ident, mark, len(data), int((ends - starts).sum()), len(starts), digest.hexdigest()))
+        kinds = (*[pa.int64()] * 5, pa.string())
+        return pa.Table.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)],
+                                    names=[ID, HASH, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return texts.groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(
-        cut, f"{ID} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string").select(
-        real_id().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    report = texts.groupBy("shard").cogroup(spans.groupBy("shard")).applyInArrow(
+        cut, f"{ID} long, {HASH} long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return rows.restored(report).select(real_id().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def by_document(packed: list[bytes]) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:

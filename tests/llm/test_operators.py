@@ -106,6 +106,38 @@ def test_substring_and_phrase_removal(spark, odd, monkeypatch, piece):
     assert got == brute.phrase_removal(odd)
 
 
+def test_the_automata_decide(spark, odd, monkeypatch):
+    """Without what they find, no word goes; a passage that a document doesn't have removes nothing."""
+    docs = table(spark, odd)
+    assert sum(r.n_removed for r in phrase_automata.removal_report(docs).collect()) > 500
+    words = [f"w{i}".encode() for i in range(120)]
+    other = [*words[:60], b"else", *words[61:]]
+    wanted = {tuple(words[5:70]): 1, tuple(words[20:90]): 7}
+    gone = phrase_automata.located([(5, words), (9, words), (1, words), (9, other), (9, words[20:90])], wanted)
+    assert [int(g.sum()) for g in gone] == [65, 85, 0, 0, 70]
+    monkeypatch.setattr(phrase_automata, "AUTOMATON_WORDS", 66)
+    assert len(list(phrase_automata.automata(wanted))) == 2
+    again = phrase_automata.located([(5, words), (9, words), (1, words), (9, other), (9, words[20:90])], wanted)
+    assert all((a == b).all() for a, b in zip(gone, again))
+
+
+def test_no_automata_no_removal(spark, odd, monkeypatch):
+    monkeypatch.setattr(phrase_automata, "_passages", lambda texts, requests, window: requests.limit(0))
+    assert sum(r.n_removed for r in phrase_automata.removal_report(table(spark, odd)).collect()) == 0
+
+
+def test_repeated_rows_are_looked_at_once(spark, odd):
+    """A third of the table is one row, and there are rows without id: each copy gets the row's result."""
+    base = odd[12][1]
+    rows = [*odd, *[(23, odd[15][1])] * 20, (None, base), (None, base), (40, base)]
+    docs = table(spark, rows).repartition(3)
+    for report, brute_of in ((phrase_automata.removal_report, brute.phrase_removal), (suffix_buckets.removal_report, brute.substring_removal)):
+        got = sorted((tuple(r) for r in report(docs).collect()), key=repr)
+        want = brute_of([(-1 if i is None else i, t) for i, t in dict.fromkeys(rows)])
+        assert got == sorted(((i, *want[-1 if i is None else i]) for i, _ in rows), key=repr)
+    assert phrase_automata.removal_report(table(spark, [])).count() == suffix_buckets.removal_report(table(spark, [])).count() == 0
+
+
 def test_common_anchor_is_dealt_by_class(spark, monkeypatch):
     monkeypatch.setattr(repeats, "SAMPLE", 1)
     line = prose(50, 12)
