@@ -12,9 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Spark's default for spark.sql.optimizer.windowGroupLimitThreshold.
-GROUP_LIMIT = 1000
-SHARES = 64
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def counts(df: DataFrame, *keys: Column | str, name: str = "n") -> DataFrame:
@@ -33,16 +31,17 @@ def top(df: DataFrame, n: int, by: str, ties: Sequence[str]) -> DataFrame:
 
 
 def top_per_group(df: DataFrame, n: int, group: Sequence[str], by: str, ties: Sequence[str],
-                  rank: str = "place") -> DataFrame:
+                  rank: str = "place", shares: int = 64) -> DataFrame:
     """The first `n` rows of every group, with their places from 1.
 
-    Spark limits each group ahead of the shuffle only up to a certain `n`. Beyond it the rows of a
-    group are dealt to several tasks first, each keeps its first `n`, and those are ranked.
+    Spark limits each group ahead of the shuffle only up to the `n` that the session sets. Beyond it the rows of
+    a group are dealt to `shares` tasks first, each keeps its first `n`, and those are ranked. Both
+    ways give the same rows.
     """
     order = descending(by, ties)
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    if n >= GROUP_LIMIT:
-        share = F.pmod(F.xxhash64(*ties), F.lit(SHARES))
+    if n >= int(df.sparkSession.conf.get(GROUP_LIMIT, "1000")):
+        share = F.pmod(F.xxhash64(*ties), F.lit(shares))
         within = Window.partitionBy(*group, "share").orderBy(*order)
         df = (df.withColumn("share", share)
               .withColumn(rank, F.row_number().over(within))

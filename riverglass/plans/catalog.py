@@ -18,6 +18,7 @@ from riverglass.operators.models import CurrentModel
 from riverglass.plans import device_report, learning_loop, standins as G, topic_etl
 from riverglass.session import reliable, work_dir
 from riverglass.sinks import KeyedTable, MergedTable, Registry, fan_out, files
+from riverglass.sources.batch import search_log
 from riverglass.sources.streams import MESSAGE
 from riverglass.streaming import late, toplists as LT
 from riverglass.streaming.recommend import RECOMMENDATIONS, with_stored
@@ -135,6 +136,22 @@ def search_heat_by_day(spark, sf_dir):
     return S.search_heat(G.given(spark, sf_dir, "events"), unit="day")
 
 
+@query
+def search_log_scan(spark, sf_dir):
+    """A raw click log read back as typed rows."""
+    out = work_dir(spark, "search-log")
+    G.search_log_files(spark, sf_dir, f"{out}/log")
+    return search_log(spark, f"{out}/log").withColumn("ts", utc_wall(F.col("ts")))
+
+
+@query
+def search_log_report(spark, sf_dir):
+    """Hot terms of a raw click log's users."""
+    out = work_dir(spark, "search-log")
+    G.search_log_files(spark, sf_dir, f"{out}/log")
+    return S.user_top_terms(search_log(spark, f"{out}/log"), 2)
+
+
 # --- windows ---------------------------------------------------------------------------------
 
 @query

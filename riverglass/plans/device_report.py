@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from riverglass.operators.devices import (device_rows, device_rows_sql, device_sketches, device_sums,
                                           device_sums_sql, messages_by_device, strong_signals)
+from riverglass.sinks.batches import BatchSink, fan_out
 from riverglass.sinks.keyed import MergedTable
 from riverglass.streaming.run import batches_to, files_to
 
@@ -39,6 +40,27 @@ def live_stats(messages: DataFrame, store: MergedTable, above: float | None = 30
     return batches_to(rows(messages), lambda batch, batch_id: store.write(sums(batch, above), batch_id))
 
 
+def live_report(messages: DataFrame, strong: MergedTable, everything: MergedTable, rows: BatchSink,
+                above: float = 30.0, seen: MergedTable | None = None, sketches: MergedTable | None = None,
+                more: BatchSink | None = None) -> DataStreamWriter:
+    """The whole report in one query, which reads and parses the topic once.
+
+    Statistics of the strong devices and of all, the strong devices' `rows`, and distinct devices: exact (`seen`)
+    or from `sketches`. `more` gets the strong devices' sums, for printing or a database.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        sums = device_sums(batch, above)
+        fan_out(strong.write, more)(sums, batch_id) if more else strong.write(sums, batch_id)
+        everything.write(device_sums(batch, None), batch_id)
+        rows(strong_signals(batch, above), batch_id)
+        if seen is not None:
+            seen.write(messages_by_device(batch), batch_id)
+        if sketches is not None:
+            sketches.write(device_sketches(batch), batch_id)
+
+    return batches_to(device_rows(messages), fan_out(step))
+
+
 def live_devices(messages: DataFrame, store: MergedTable) -> DataStreamWriter:
     """The devices seen so far, for exact distinct counts."""
     return batches_to(device_rows(messages),

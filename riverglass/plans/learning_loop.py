@@ -12,6 +12,7 @@ from riverglass.operators.learning import (answer_sums, difficulty_ratings, lear
                                            progress)
 from riverglass.operators.models import CurrentModel, retrain
 from riverglass.sinks.keyed import KeyedTable, MergedTable
+from riverglass.sinks.batches import BatchSink, fan_out
 from riverglass.sinks.registry import Registry
 from riverglass.streaming.recommend import live_recommendations
 from riverglass.streaming.run import batches_to
@@ -42,6 +43,16 @@ def live_progress(answers: DataFrame, store: MergedTable) -> DataStreamWriter:
     return batches_to(answers, lambda batch, batch_id: store.write(progress(batch), batch_id))
 
 
+def live_answers(answers: DataFrame, stats: MergedTable, progress_: MergedTable, *more: BatchSink) -> DataStreamWriter:
+    """`live_stats` and `live_progress` in one query, which reads the topic once; `more` sinks get the statistics' sums."""
+    def step(batch: DataFrame, batch_id: int) -> None:
+        sums = answer_sums(batch, stats.keys)
+        fan_out(stats.write, *more)(sums, batch_id) if more else stats.write(sums, batch_id)
+        progress_.write(progress(batch), batch_id)
+
+    return batches_to(answers, fan_out(step))
+
+
 def offline_report(store: MergedTable) -> DataFrame:
     return learning_report(store.current())
 

@@ -183,6 +183,15 @@ GROUP BY term ORDER BY searches DESC, term LIMIT 10""",
 SELECT CAST(hour(ts) AS INTEGER) AS period, count(*) AS searches FROM events GROUP BY 1""",
     "search_heat_by_day": """
 SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS period, count(*) AS searches FROM events GROUP BY 1""",
+    "search_log_scan": f"""
+SELECT date_trunc('second', ts) AS ts, CAST(user_id AS VARCHAR) AS user_id, event_type AS query, {K} AS result_rank,
+       CAST(event_id % 10 AS INTEGER) AS click_seq, 'example/' || event_id AS url FROM events""",
+    "search_log_report": """
+SELECT user_id, term, searches, place
+FROM (SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS term, count(*) AS searches,
+             CAST(row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type) AS INTEGER) AS place
+      FROM events GROUP BY user_id, event_type)
+WHERE place <= 2""",
     "tumbling_counts": windows("'1 hour'", "'1 hour'", 1),
     "sliding_counts": windows("'1 hour'", "'20 minutes'", 3),
     "sliding_counts_by_panes": windows("'1 day'", "'1 hour'", 24),

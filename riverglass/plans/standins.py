@@ -91,6 +91,16 @@ def number() -> Column:
     return parse_json(F.col("props"), "k int")["k"]
 
 
+def search_log_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Events as a raw click log: time, user, query in brackets, rank and click in one field, address."""
+    rows = events(spark, sf_dir)
+    line = F.concat_ws("\t", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.col("user_id").cast("string"),
+                       F.concat(F.lit("["), "event_type", F.lit("]")),
+                       F.concat_ws(" ", number().cast("string"), (F.col("event_id") % 10).cast("string")),
+                       F.concat(F.lit("example/"), F.col("event_id").cast("string")))
+    rows.select(line.alias("value")).write.text(path)
+
+
 def devices(rows: DataFrame) -> DataFrame:
     """Events as devices: the user is the device, the event type its type."""
     return rows.select("event_id", F.col("user_id").alias("device"),

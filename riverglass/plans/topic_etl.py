@@ -16,8 +16,10 @@ def cleaned_messages(stream: DataFrame, rule: Column | None = None) -> DataFrame
 
 
 def kafka_to_kafka(spark: SparkSession, servers: str, rule: Column | None = None,
-                   source: str = "stationTopic", target: str = "etlTopic") -> DataStreamWriter:
-    return kafka_writer(cleaned_messages(kafka_stream(spark, servers, source), rule), servers, target)
+                   source: str = "stationTopic", target: str = "etlTopic", start: str = "latest",
+                   per_batch: int | None = None) -> DataStreamWriter:
+    stream = kafka_stream(spark, servers, source, start, per_batch)
+    return kafka_writer(cleaned_messages(stream, rule), servers, target)
 
 
 def files_to_files(spark: SparkSession, source: str, target: str, rule: Column | None = None,
