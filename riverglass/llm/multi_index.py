@@ -42,6 +42,11 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
 
+def scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that their squares neither overflow nor vanish; cosines stay what they are."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1, keepdims=True))[1])
+
+
 def distances(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     return np.maximum((rows * rows).sum(1)[:, None] - 2 * rows @ centers.T + (centers * centers).sum(1), 0)
 
@@ -199,11 +204,11 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 5, visit: int = VI
                     data.append(rows[a:b])
                     continue
                 if own is None and data:
-                    own_ids, own = np.concatenate(ids), np.concatenate(data)
+                    own_ids, own = np.concatenate(ids), scaled(np.concatenate(data))
                     norms = np.sqrt((own * own).sum(1))
                 if own is None:
                     continue
-                for query, row, floor in zip(names[a:b], rows[a:b], floors[a:b]):
+                for query, row, floor in zip(names[a:b], scaled(rows[a:b]), floors[a:b]):
                     # Summed the same way for every row, so equal vectors get equal scores.
                     cosine = (own * row).sum(1) / (norms * np.sqrt((row * row).sum()))
                     cosine[own_ids == query] = -np.inf
