@@ -153,9 +153,10 @@ def mixing(docs, weights=(3, 1, 2), share=1.5, most=2.0):
         whole = int(goal[s] // total[s]) if total[s] else 0
         left = goal[s] - whole * total[s]
         at = defaultdict(list)
-        for i, _, own in docs:
+        for i, text, own in docs:
             if own == s:
-                at[int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:15], 16)].append(i)
+                key = f"{'' if i is None else i}:{'' if text is None else hashlib.md5(text.encode()).hexdigest()}"
+                at[int(hashlib.md5(key.encode()).hexdigest()[:15], 16)].append(i)
         held, more = 0, set()
         for h in sorted(at):
             here = sum(size[i] for i in at[h])

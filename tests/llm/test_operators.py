@@ -286,6 +286,35 @@ def test_block_max_wand_finds_what_scoring_all_finds(monkeypatch):
         assert not want or not index.needed.isdisjoint(words)
 
 
+@pytest.mark.parametrize("rows, share", [
+    ([(None, prose(i, 10), "s") for i in range(100)], 0.75),  # no ids, different texts
+    ([(7 if i < 100 else 1000 + i, prose(i, 10), "s") for i in range(300)], 0.67),  # a third of one id
+    ([(7, prose(1, 10), "s")] * 100 + [(1000 + i, prose(i, 10), "s") for i in range(200)], 1.5),  # a third is one row
+    ([(None, prose(1, 10), "s")] * 100, 0.755)])  # nothing but one row
+def test_mixing_comes_near_the_target_whatever_repeats(spark, rows, share):
+    """Each document has ten words, so the nearest is within five."""
+    docs = table(spark, rows).repartition(5)
+    plan = mixing.mixing_plan(docs, share=share).collect()
+    assert len(plan) == len(rows)
+    assert abs(sum(r.taken for r in plan) - share * 10 * len(rows)) <= 5
+    again = mixing.mixing_plan(docs.repartition(3), share=share)
+    assert sorted(map(tuple, again.collect()), key=repr) == sorted(map(tuple, plan), key=repr)
+
+
+def test_neighbours_of_far_and_tiny_vectors(spark):
+    """Finite components whose squares are not."""
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.standard_normal(8) * (1e200, 1e-200, 1.0)[i % 3]).tolist()) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in multi_index.neighbours(df, F.col("vec_id") % 50 == 0, k=5).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    want = brute.nearest([(i, (np.array(v) / np.abs(v).max()).tolist()) for i, v in rows])
+    assert got.keys() == want.keys() == {0, 50}
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]] and np.allclose([s for _, s in got[q]], [s for _, s in want[q]], atol=1e-12)
+
+
 def test_mixing_as_brute(spark):
     random.seed(4)
     rows = [(i, prose(i, random.randrange(1, 60)), random.choice(["a", "b", "b", "b", "c", "é", None])) for i in range(400)]
