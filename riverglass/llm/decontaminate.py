@@ -1,4 +1,8 @@
-"""Finding benchmark items in training text: BM25 over an index of the items, by block-max WAND."""
+"""Finding benchmark items in training text: BM25 over an index of the items, with bounds by blocks.
+
+As in block-max WAND, an item is scored only if the bounds of its postings' blocks allow the threshold; terms are
+tried in the order of their bounds, without cursors and pivots.
+"""
 
 from __future__ import annotations
 

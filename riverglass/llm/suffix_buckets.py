@@ -1,10 +1,9 @@
 """Substring dedup: bytes covered by a long string that also starts earlier in the corpus.
 
-Suffixes are sorted by bucket-pointer refinement. A suffix's first bucket is its q-gram. A bucket
-is refined by the identifiers of the buckets at later offsets, and the refined identifiers are used
-again for the next refinement, doubling the depth until it reaches the wanted length. Suffixes are
-sampled (see `repeats`): only anchors are put into buckets on the cluster, buckets with one suffix
-are done at once, and only where a bucket splits are the suffixes between anchors refined.
+Strings are told apart by bucket identifiers that are refined by those of later offsets, doubling the length
+each time (`repeats.grams`), as in sorting suffixes by bucket pointers. Not all suffixes are put into buckets on the cluster,
+and none are sorted there: only anchors are (see `repeats`), buckets with one of them are done at once, and where a bucket
+splits the strings between its anchors are compared by their identifiers.
 """
 
 from __future__ import annotations
