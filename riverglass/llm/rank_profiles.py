@@ -149,15 +149,17 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Profiles:
     """
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where(
         F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    share = known.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
+    # One row per language, checked, so that no text is moved to meet its share.
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_PROFILE_ROWS // PROFILE + 1).collect()
+    if len(counts) > MAX_PROFILE_ROWS // PROFILE:
+        raise ValueError("too many languages for one table of profiles")
+    share = F.broadcast(docs.sparkSession.createDataFrame(
+        [(r.lang, per_language / r.n) for r in counts], "lang string, share double"))
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     some = known.join(share, "lang").where(draw < F.col("share")).select("lang", "text")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = gram_table(some).withColumn("place", place).where(F.col("place") <= PROFILE)
-    rows = top.select("lang", "gram", F.col("place") - 1).limit(MAX_PROFILE_ROWS + 1).collect()
-    if len(rows) > MAX_PROFILE_ROWS:
-        raise ValueError("too many languages for one table of profiles")
-    return Profiles.of([tuple(r) for r in rows])
+    return Profiles.of([tuple(r) for r in top.select("lang", "gram", F.col("place") - 1).collect()])
 
 
 def languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
