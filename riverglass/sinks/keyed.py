@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from riverglass.sinks.registry import Registry
+from riverglass.sinks.registry import Registry, stored_table
 from riverglass.sources.stored import newest
 
 SPAN = 100  # batches whose folders stand together
@@ -121,13 +120,8 @@ class BatchTable:
 
     def _span(self, generation: int, span: int) -> DataFrame | None:
         folder = self._folder(generation)
-        try:
-            found = self.spark.read.schema(self.schema).option("basePath", folder).parquet(f"{folder}/span={span}")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return found.select(*self.columns, "batch_id")
+        found = stored_table(self.spark, f"{folder}/span={span}", self.schema, folder)
+        return None if found is None else found.select(*self.columns, "batch_id")
 
 
 class KeyedTable(BatchTable):
