@@ -8,6 +8,7 @@ their own ids. `fit` is for ids that are small integers already.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -75,8 +76,9 @@ class Trained:
 def numbered(matrix: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """`matrix` with integer ids, and the two numberings, stored under `folder`. Runs jobs."""
     matrix = reliable(matrix)
-    users = dense_ids(matrix.select(F.col("user").alias("key")), "key", f"{folder}/users", "user")
-    items = dense_ids(matrix.select(F.col("item").alias("key")), "key", f"{folder}/items", "item")
+    with ThreadPoolExecutor(2) as both:  # neither numbering needs the other
+        users, items = both.map(lambda side: dense_ids(
+            matrix.select(F.col(side).alias("key")), "key", f"{folder}/{side}s", side), ("user", "item"))
     left, right = users.withColumnRenamed("user", "u"), items.withColumnRenamed("item", "i")
     rows = matrix.join(left, matrix["user"] == left["key"]).drop("key").join(right, matrix["item"] == right["key"]).select(
         F.col("u").alias("user"), F.col("i").alias("item"), "rating")
