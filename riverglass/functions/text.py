@@ -25,12 +25,15 @@ def words(text: Column) -> Column:
 
 
 def term_costs(counts: DataFrame, term: str = "term", count: str = "searches") -> DataFrame:
-    """(term, cost) from how often each term was seen: rarer terms cost more, in whole thousandths."""
+    """(term, cost) from how often each term was seen: rarer terms cost more, in whole thousandths.
+
+    Runs a job for the number of all.
+    """
     known = counts.where(F.col(term).isNotNull() & (F.length(term) > 0) & (F.col(count) > 0))
     lower = known.groupBy(F.lower(term).alias("term")).agg(F.sum(count).alias("n"))
-    total = lower.agg(F.sum("n").alias("total"))  # one row
-    cost = F.round(-1000 * F.log(F.col("n") / F.col("total"))).cast("long")
-    return lower.join(F.broadcast(total)).select("term", F.greatest(cost, F.lit(1)).cast("long").alias("cost"))
+    total = lower.agg(F.sum("n")).first()[0] or 1
+    cost = F.round(-1000 * F.log(F.col("n") / F.lit(total))).cast("long")
+    return lower.select("term", F.greatest(cost, F.lit(1)).cast("long").alias("cost"))
 
 
 def as_costs(dictionary: Mapping[str, int] | Iterable[str]) -> dict[str, int]:

@@ -542,8 +542,9 @@ def baseline_errors(spark, sf_dir):
     """The error of the items' means and of the mean of all, on held-out ratings of items that were seen."""
     rows = held_out_ratings(spark, sf_dir)
     train = rows.where("not test")
-    guessed = rows.where("test").join(M.item_means(train).withColumnRenamed("score", "item_mean"), "item").crossJoin(
-        F.broadcast(train.agg(F.avg("rating").alias("mean"))))  # one row
+    mean = train.agg(F.avg("rating")).first()[0]
+    guessed = rows.where("test").join(M.item_means(train).withColumnRenamed("score", "item_mean"), "item").withColumn(
+        "mean", F.lit(mean))
     return M.errors(guessed, "rating", ("item_mean", "mean"))
 
 
@@ -558,11 +559,10 @@ def als_ranking(spark, sf_dir):
         M.item_means(train.join(trained.items.toDF("item", "i"), "item").select(F.col("i").alias("item"), "rating")), "item")
     judge = lambda score: M.ranking_summary(M.ranking_by_user(
         scored.select("user", "item", F.col(score).alias("score"), liked()), 3))
-    error = M.errors(scored, "rating", ("prediction", "score"))
-    return judge("prediction").select("users", "ndcg").crossJoin(F.broadcast(judge("score").select(  # one row each
-        F.col("ndcg").alias("baseline")))).crossJoin(F.broadcast(error)).select(
-        F.col("rows").alias("test_rows"), "users", (F.col("ndcg") > F.col("baseline")).alias("ranks_better"),
-        (F.col("rmse_of_prediction") < F.col("rmse_of_score") / 2).alias("half_the_error"))
+    error = M.errors(scored, "rating", ("prediction", "score")).first()
+    return judge("prediction").select(
+        F.lit(error.rows).alias("test_rows"), "users", (F.col("ndcg") > judge("score").first().ndcg).alias("ranks_better"),
+        F.lit(error.rmse_of_prediction < error.rmse_of_score / 2).alias("half_the_error"))
 
 
 @query
