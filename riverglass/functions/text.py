@@ -148,7 +148,8 @@ def parts(word: Column, dictionary: Mapping[str, int] | Iterable[str], alone: st
     def cut(found: pd.Series) -> pd.Series:
         return found.map(cutter(costs, alone), na_action="ignore")
 
-    return cut(word)
+    # Else the optimizer would copy the cutting into a filter ahead of `explode`, and do it again there.
+    return cut.asNondeterministic()(word)
 
 
 def segment_words(counted: DataFrame, dictionary: DataFrame, word: str = "term", alone: str = ALONE) -> DataFrame:
@@ -179,4 +180,4 @@ def segment_words(counted: DataFrame, dictionary: DataFrame, word: str = "term",
 
         return pd.Series([None if w is None else one(w, e) for w, e in zip(given, found)], dtype=object)
 
-    return counted.join(edges, word, "left").withColumn("parts", cut(F.col(word), F.col("edges"))).drop("edges")
+    return counted.join(edges, word, "left").withColumn("parts", cut.asNondeterministic()(F.col(word), F.col("edges"))).drop("edges")

@@ -19,8 +19,16 @@ Cut = Callable[[DataFrame], DataFrame]  # rows with different `term`s -> the sam
 
 
 def by_dictionary(dictionary: Mapping[str, int] | Iterable[str], alone: str = ALONE) -> Cut:
-    """Cut with a dictionary that travels with the tasks."""
-    return lambda counted: counted.withColumn("parts", parts(F.col("term"), dictionary, alone))
+    """Cut with a dictionary that travels with the tasks.
+
+    Different words are few bytes and much work, so they are dealt to as many tasks as a shuffle has: adaptive execution
+    would merge them by size.
+    """
+    def cut(counted: DataFrame) -> DataFrame:
+        tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return counted.repartition(tasks, "term").withColumn("parts", parts(F.col("term"), dictionary, alone))
+
+    return cut
 
 
 def by_table(dictionary: DataFrame, alone: str = ALONE) -> Cut:
