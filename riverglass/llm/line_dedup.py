@@ -8,43 +8,50 @@ of no segment recur cannot share a variant and emit none.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from riverglass.llm.common import HASH, ID, WORD, keyed, real_id, stored
 
 MIN_CHARS = 20  # shorter lines ("1.", "2.") differ in one character by nature: only exact repeats of them go
-SEGMENTS = 16
+SEGMENTS = 16  # at least; lines of more than 4096 characters have more
+
+
+def _segments(length: Column) -> Column:
+    """The segments of a line: so many that neither hashing around each nor a segment's variants cost the square of its length."""
+    return F.greatest(F.lit(SEGMENTS), F.ceil(F.sqrt(length) / 4).cast("int"))
 
 
-def _around(parts: int, text: Column, n: Column) -> Column:
-    """The segments of a line as (own, left, rest, outside); `outside` hashes what is around one.
+def _around(parts: Callable[[Column], Column], text: Column, n: Column) -> Column:
+    """The segments of a line as (own, left, middle, outside); `outside` hashes what is around one.
 
     A segment begins at a place counted from the left and ends at one counted from the right.
     A line gives the segments of its own length and, as the longer of a pair, those of a line one
     character shorter.
     """
     def of(length: Column, own: bool) -> Column:
-        width = F.greatest(F.ceil(length / parts).cast("int"), F.lit(1))
-        return F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda part: F.struct(
+        width = F.greatest(F.ceil(length / parts(length)).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), parts(length) - 1), lambda part: F.struct(
             F.lit(own).alias("own"), part.alias("part"), length.alias("length"),
             F.least(part * width, length).alias("left"),
             F.greatest(length - (part + 1) * width, F.lit(0)).alias("rest")))
 
     return F.transform(F.concat(of(n, True), of(n - 1, False)), lambda s: F.struct(
-        s["own"].alias("own"), s["left"].alias("left"), s["rest"].alias("rest"),
+        s["own"].alias("own"), s["left"].alias("left"), F.substr(text, s["left"] + 1, n - s["left"] - s["rest"]).alias("middle"),
         F.xxhash64(s["part"], s["length"], F.substr(text, F.lit(1), s["left"]),
                    F.substr(text, n - s["rest"] + 1, s["rest"])).alias("outside")))
 
 
-def _occurrences(docs: DataFrame) -> DataFrame:
+def _occurrences(docs: DataFrame, edits_from: int) -> DataFrame:
     """(id, hash, place, h1, h2, halves) of the lines that count; h1 and h2 identify a line.
 
-    Blank lines under MIN_CHARS do not count; `halves` is empty for other lines that short.
+    Blank lines under `edits_from` characters do not count; `halves` is empty for other lines that short.
     """
     split = keyed(docs).select(ID, HASH, F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
-    long = F.col("n") >= MIN_CHARS
+    long = F.col("n") >= edits_from
     lines = split.withColumn("n", F.char_length("line")).where(long | F.col("line").rlike(WORD))
-    halves = F.transform(_around(2, F.col("line"), F.col("n")), lambda s: s["outside"])
+    halves = F.transform(_around(lambda _: F.lit(2), F.col("line"), F.col("n")), lambda s: s["outside"])
     return lines.select(ID, HASH, "place", F.xxhash64("line").alias("h1"),
                        F.xxhash64(F.lit("line"), "line").alias("h2"),
                        F.when(long, F.array_distinct(halves)).otherwise(F.array().cast("array<bigint>")).alias("halves"))
@@ -66,31 +73,30 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(h1, h2, first, full, key): the keys of each line's variants.
+    """(h1, h2, first, full, key, at): the keys of each line's variants, and the place (from 1) that is left out.
 
     `full` null: lines with the key are equal but for the character at one place. Else one line,
     `full` true, is the variant itself, and the others become it by one deletion.
     """
     n = F.char_length("line")
-    segments = lines.select("h1", "h2", "first", "line", n.alias("n"),
-                            F.inline(_around(SEGMENTS, F.col("line"), n)))
+    segments = lines.select("h1", "h2", "first", F.inline(_around(_segments, F.col("line"), n)))
     alike = segments.join(_repeated(segments), "outside", "left_semi")
-    middle = alike.withColumn("middle", F.substr("line", F.col("left") + 1, F.col("n") - F.col("left") - F.col("rest")))
     long = F.char_length("middle")
 
-    def variant(full: bool | None, *parts: Column) -> Column:
-        return F.struct(F.lit(full).cast("boolean").alias("full"), F.xxhash64(F.lit(full is None), *parts).alias("key"))
+    def variant(full: bool | None, i: Column, *parts: Column) -> Column:
+        return F.struct(F.lit(full).cast("boolean").alias("full"), F.xxhash64(F.lit(full is None), *parts).alias("key"),
+                        (F.col("left") + i).cast("int").alias("at"))
 
     def deletion(i: Column) -> Column:
         return F.concat(F.substr("middle", F.lit(1), i - 1), F.substr("middle", i + 1, long))
 
-    none = F.array().cast("array<struct<full:boolean,key:bigint>>")
+    none = F.array().cast("array<struct<full:boolean,key:bigint,at:int>>")
     places = F.sequence(F.lit(1), long)
-    replaced = F.transform(places, lambda i: variant(None, F.col("outside"), i, deletion(i)))
-    shorter = F.transform(places, lambda i: variant(False, F.col("outside"), deletion(i)))
-    whole = F.array(variant(True, F.col("outside"), F.col("middle")))
+    replaced = F.transform(places, lambda i: variant(None, i, F.col("outside"), i, deletion(i)))
+    shorter = F.transform(places, lambda i: variant(False, i, F.col("outside"), deletion(i)))
+    whole = F.array(variant(True, F.lit(0), F.col("outside"), F.col("middle")))
     own = F.concat(F.when(long > 0, replaced).otherwise(none), whole)
-    return middle.select("h1", "h2", "first", F.inline(F.when(F.col("own"), own).when(long > 0, shorter).otherwise(none)))
+    return alike.select("h1", "h2", "first", F.inline(F.when(F.col("own"), own).when(long > 0, shorter).otherwise(none)))
 
 
 def near_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
@@ -100,7 +106,7 @@ def near_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
     wanted = first.join(some, ["h1", "h2"], "left_semi").select("h1", "h2", "first")
     lines = stored(_texts(docs, wanted), "candidate-lines")
     # Lines of one key differ in one character, so their number is bounded by the alphabet.
-    me = F.struct("first", "h1", "h2")
+    me = F.struct("first", "h1", "h2", "at")
     one = W.partitionBy("key")
     met = _variants(lines).select(
         "h1", "h2", "full", me.alias("me"), F.min(me).over(one).alias("least"),
@@ -109,17 +115,27 @@ def near_lines(docs: DataFrame, first: DataFrame) -> DataFrame:
     # A key's earliest line is one replacement away from its others; the full line is one
     # insertion away from each of the longer ones.
     lead = F.when(F.col("full").isNull(), F.col("least")).when(F.col("full"), F.col("longer")).otherwise(F.col("whole"))
-    found = met.withColumn("lead", lead).where("lead < me").select("h1", "h2", "lead").distinct()
+    places = F.collect_set(F.when(F.col("full"), F.col("lead.at")).otherwise(F.col("me.at")))
+    found = met.withColumn("lead", lead).where("lead.first < me.first").groupBy(
+        "h1", "h2", F.col("lead.h1").alias("g1"), F.col("lead.h2").alias("g2"), "full").agg(places.alias("places"))
     texts = lines.select("h1", "h2", "line")
     earlier = texts.select(F.col("h1").alias("g1"), F.col("h2").alias("g2"), F.col("line").alias("earlier"))
-    both = found.select("h1", "h2", F.col("lead.h1").alias("g1"), F.col("lead.h2").alias("g2")).join(
-        texts, ["h1", "h2"]).join(earlier, ["g1", "g2"])
-    return both.where(F.levenshtein("line", "earlier", 1) == 1).select("h1", "h2").distinct()
+    both = found.join(texts, ["h1", "h2"]).join(earlier, ["g1", "g2"])
+    return both.where(F.exists("places", _one_edit)).select("h1", "h2").distinct()
+
+
+def _one_edit(at: Column) -> Column:
+    """Whether `line` and `earlier` are equal without the character at a place: of both, or of the longer (`full`: `earlier`)."""
+    def without(name: str) -> Column:
+        return F.concat(F.substr(name, F.lit(1), at - 1), F.substr(name, at + 1, F.char_length(name)))
+
+    return F.when(F.col("full").isNull(), without("line") == without("earlier")).when(
+        F.col("full"), F.col("line") == without("earlier")).otherwise(without("line") == F.col("earlier"))
 
 
-def removals(docs: DataFrame) -> DataFrame:
+def removals(docs: DataFrame, edits_from: int = MIN_CHARS) -> DataFrame:
     """(id, hash, removed): the places of each document's removed lines, where there are any."""
-    occurrences = stored(_occurrences(docs), "lines")
+    occurrences = stored(_occurrences(docs, edits_from), "lines")
     place = F.struct(ID, HASH, "place")
     first = stored(occurrences.groupBy("h1", "h2").agg(
         F.min(place).alias("first"), F.max(place).alias("last"), F.any_value("halves").alias("halves")), "first-lines")
@@ -130,9 +146,9 @@ def removals(docs: DataFrame) -> DataFrame:
     return gone.groupBy(ID, HASH).agg(F.collect_set("place").alias("removed"))
 
 
-def _kept(docs: DataFrame) -> DataFrame:
+def _kept(docs: DataFrame, edits_from: int) -> DataFrame:
     """`docs` with their keys, `__rg_lines`, `__rg_removed` and `__rg_text` (what is left of the text)."""
-    marked = keyed(docs).join(removals(docs).withColumnRenamed("removed", "__rg_removed"), [ID, HASH], "left")
+    marked = keyed(docs).join(removals(docs, edits_from).withColumnRenamed("removed", "__rg_removed"), [ID, HASH], "left")
     lines = marked.withColumn("__rg_lines", F.split("text", "\n", -1))
     left = F.array_except(F.sequence(F.lit(0), F.size("__rg_lines") - 1), F.col("__rg_removed"))
     text = F.when(F.col("__rg_removed").isNull(), F.col("text")).otherwise(
@@ -140,22 +156,23 @@ def _kept(docs: DataFrame) -> DataFrame:
     return lines.withColumn("__rg_text", text)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits_from: int = MIN_CHARS) -> DataFrame:
     """`docs` without lines that repeat an earlier line; documents of which nothing is left go.
 
     Lines are parts between line feeds, order is by doc_id (null first), then place. A line
-    that is not blank goes if an earlier line is equal, and one of at least MIN_CHARS characters also
+    that is not blank goes if an earlier line is equal, and one of at least `edits_from` characters also
     if an earlier line as long is within one edit, even if that line goes itself. Blank lines of fewer
     characters stay. Null and empty texts stay as they are; rows that repeat id and
-    text are one document and get the same text. Other columns pass through.
+    text are one document and get the same text; no documents give none. Lines of any length are
+    compared whole. Other columns pass through.
     """
-    rows = _kept(docs).where("__rg_removed is null or size(__rg_removed) < size(__rg_lines)")
+    rows = _kept(docs, edits_from).where("__rg_removed is null or size(__rg_removed) < size(__rg_lines)")
     return rows.select(*[F.col("__rg_text").alias("text") if c == "text" else c for c in docs.columns])
 
 
-def line_report(docs: DataFrame) -> DataFrame:
+def line_report(docs: DataFrame, edits_from: int = MIN_CHARS) -> DataFrame:
     """Per row of `docs`: doc_id, n_lines, n_removed, kept_sha256 (of the remaining text; null counts as empty)."""
-    return _kept(docs.select("doc_id", "text")).select(
+    return _kept(docs.select("doc_id", "text"), edits_from).select(
         real_id().alias("doc_id"), F.coalesce(F.size("__rg_lines"), F.lit(0)).cast("long").alias("n_lines"),
         F.when(F.col("__rg_removed").isNull(), 0).otherwise(F.size("__rg_removed")).cast("long").alias("n_removed"),
         F.sha2(F.coalesce("__rg_text", F.lit("")), 256).alias("kept_sha256"))

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -185,6 +187,28 @@ def test_short_lines_go_if_equal(spark):
         (1, "Les.\n\n}\nLet."), (2, " \n\nA line of twenty chars"), (4, " ")]
 
 
+@pytest.mark.parametrize("edits_from", [0, 5, 60])
+def test_line_removal_from_other_lengths(spark, odd, edits_from):
+    rows = [r for r in odd if r[0] != 35] + [(60, "abc\nabd\nabcd\n12\n13\n\n \n2"), (61, "12\nabc \nb")]
+    got = by_id(line_dedup.line_report(table(spark, rows), edits_from), "n_lines", "n_removed")
+    assert got == {k: v[:2] for k, v in brute.line_removal(rows, edits_from).items()}
+
+
+def test_very_long_lines(spark):
+    # lines of 150,000 characters: one replaced, one inserted, one deleted, two apart, and one of 40,000
+    line = prose(3, 30000)[:150000]
+    other = [line[:100000] + "#" + line[100001:], line[:77] + "#" + line[77:], line[:-1], "#" + line[1:-1] + "#", line[:40000]]
+    rows = [(1, line)] + [(k, x) for k, x in enumerate(other, 2)] + [(9, other[4][:20000] + other[4][20001:])]
+    start = time.monotonic()
+    got = by_id(line_dedup.line_report(table(spark, rows)), "n_removed")
+    assert got == {1: (0,), 2: (1,), 3: (1,), 4: (1,), 5: (0,), 6: (0,), 9: (1,)}
+    assert time.monotonic() - start < 60
+
+
+def test_no_documents_no_lines(spark):
+    assert line_dedup.line_report(table(spark, [])).count() == line_dedup.dedup_lines(table(spark, [])).count() == 0
+
+
 def test_deduped_documents(spark):
     rows = [(1, "A line of twenty chars\nend"), (2, "A line of twenty chars"), (3, ""), (4, None),
             (None, "A line of twenty char\nof no id"), (1, "A line of twenty chars\nend")]
@@ -412,6 +436,58 @@ def test_quality_on_held_out_rows(spark):
     assert line_crf.quality(table(spark, []), labels).count() == 0
 
 
+def test_quality_of_repeated_ids_and_rows(spark):
+    docs = [(i, prose(i, 60) if i % 4 else "GO!! " * 40) for i in range(200)]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(200)], "doc_id long, quality int")
+    field = line_crf.learn(table(spark, docs), labels)
+    # a labelled id with a third of all rows, equal and different, counts as one text
+    again = line_crf.learn(table(spark, docs + [docs[3]] * 100), labels)
+    assert (again.weights == field.weights).all()
+    different = [(3, prose(1000 + i, 30)) for i in range(100)]
+    hot = line_crf.learn(table(spark, docs + different), labels)
+    assert np.abs(hot.weights - field.weights).max() < 0.5
+    got = line_crf.quality(table(spark, docs + [docs[3]] * 5), labels).where("doc_id = 3").select("score").collect()
+    assert len(got) == 6 and len(set(got)) == 1
+
+
+def test_fit_is_bounded_by_chains(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(line_crf, "fit_field", lambda chains: given.append(chains) or line_crf.Field.empty())
+    docs = table(spark, [(i, "\n".join(["a line"] * 5000)) for i in range(1, 20)])
+    labels = spark.createDataFrame([(i, 1) for i in range(1, 20)], "doc_id long, quality int")
+    line_crf.learn(docs, labels)
+    line_crf.learn(docs, labels, chains=10)
+    used = sum(not held for held in (r[0] for r in docs.select(line_crf.held_out(F.col("doc_id"))).collect()))
+    assert [len(x) for x in given] == [used * line_crf.PER_TEXT, 10]
+    assert all(len(bins) <= line_crf.CHAIN for x in given for bins, _ in x)
+
+
+@pytest.mark.parametrize("block", [1 << 18, 40])
+def test_features_in_blocks_are_those_of_the_whole(monkeypatch, block):
+    texts = ["", "\n", "a\n", "a a b\n\n" + "long " * 40 + "long\tLONG\n", prose(2, 90).replace("a1", "\n")]
+    whole = [line_crf.line_features(t) for t in texts]
+    field = line_crf.Field.empty()
+    field.weights = np.random.default_rng(1).normal(size=field.weights.shape)
+    field.turn = np.array([[1.0, 0.2], [0.1, 1.3]])
+    odds = [field.marginals(bins) for bins, _ in whole]
+    monkeypatch.setattr(line_crf, "BLOCK", block)
+    for text, (bins, weight), p in zip(texts, whole, odds):
+        assert len(bins) == text.count("\n") + 1
+        again, sizes = line_crf.line_features(text)
+        assert (again == bins).all() and (sizes == weight).all()
+        assert field.marginals(bins) == pytest.approx(p)
+
+
+@pytest.mark.parametrize("text", ["x yz\n" * 500_000, "word " * 600_000])
+def test_long_texts_take_bounded_memory(text):
+    tracemalloc.start()
+    bins, _ = line_crf.line_features(text)
+    line_crf.Field.empty().marginals(bins)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 * len(text)
+
+
 def test_severity(spark):
     docs = [(i, prose(i, 60) + (" vile" + str(i % 5) + "ness nasty" * (1 + i % 3) if i % 4 == 0 else "")) for i in range(400)]
     docs += [(500, ""), (501, None), (502, "some vile9ness nasty text")]
