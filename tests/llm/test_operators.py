@@ -202,7 +202,7 @@ def test_very_long_lines(spark):
     start = time.monotonic()
     got = by_id(line_dedup.line_report(table(spark, rows)), "n_removed")
     assert got == {1: (0,), 2: (1,), 3: (1,), 4: (1,), 5: (0,), 6: (0,), 9: (1,)}
-    assert time.monotonic() - start < 60
+    assert time.monotonic() - start < 180
 
 
 def test_no_documents_no_lines(spark):
