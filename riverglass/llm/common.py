@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riverglass.session import work_dir
+from riverglass.session import stored  # noqa: F401
 
 # A word is a run of bytes other than these: blank, and tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,13 +33,6 @@ def real_id(column: str = ID) -> Column:
     return F.when(F.col(column) != NO_ID, F.col(column))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """`df` written to the shared folder and read back: for tables that a checkpoint would hold less tightly."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 class Once:
     """`docs` (doc_id, text) with every (id, text hash) once, and how often each came."""
 

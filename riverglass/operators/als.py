@@ -16,6 +16,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
 from riverglass.operators.ids import dense_ids
+from riverglass.operators.products import best_products
 from riverglass.session import reliable, work_dir
 
 LEAST_BLOCKS = 10
@@ -103,40 +104,41 @@ def load(path: str) -> ALSModel:
 def settled(model: ALSModel, path: str | None = None) -> ALSModel:
     """The model saved and read back. Runs jobs.
 
-    The factors no longer hang on the training jobs, and they are split by size: Spark scores
-    every pair of user and item partitions in a task of its own, and the training blocks would
-    give a million tasks on a large cluster.
+    The factors no longer hang on the training jobs, and they are split by size.
     """
     path = path or work_dir(model.userFactors.sparkSession, "factors")
     save(model, path)
     return load(path)
 
 
-def ranked(recommendations: DataFrame, who: str, what: str) -> DataFrame:
-    """Recommendation lists as rows with their places from 1."""
-    spread = recommendations.select(who, F.posexplode("recommendations").alias("at", "r"))
-    return spread.select(who, (F.col("at") + 1).alias("place"), F.col(f"r.{what}").alias(what),
-                         F.col("r.rating").alias("score"))
+def _best(queries: DataFrame, rows: DataFrame, n: int, who: str, what: str) -> DataFrame:
+    return best_products(queries, rows, n).withColumnsRenamed({"query": who, "row": what})
 
 
 def for_all_users(model: ALSModel, n: int) -> DataFrame:
-    """Items for every user. Spark scores block by block and keeps `n` per user and block."""
-    return ranked(model.recommendForAllUsers(n), "user", "item")
+    """(user, place, item, score): the `n` items with the largest products of factors for every user, exactly. Runs jobs.
+
+    Spark's `recommendForAllUsers` multiplies every user with every item; `best_products` gives the same lists by
+    multiplying the pairs that bounds leave.
+    """
+    return _best(model.userFactors, model.itemFactors, n, "user", "item")
 
 
 def for_all_items(model: ALSModel, n: int) -> DataFrame:
-    """Users for every item."""
-    return ranked(model.recommendForAllItems(n), "item", "user")
+    """Users for every item. Runs jobs."""
+    return _best(model.itemFactors, model.userFactors, n, "item", "user")
 
 
 def for_users(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
-    """Items for the given users; a user the model has not seen gets none."""
-    return ranked(model.recommendForUserSubset(users.select("user"), n), "user", "item")
+    """Items for the given users; a user the model has not seen gets none. Runs jobs."""
+    chosen = model.userFactors.join(users.select(F.col("user").alias("id")), "id", "left_semi")
+    return _best(chosen, model.itemFactors, n, "user", "item")
 
 
 def for_items(model: ALSModel, items: DataFrame, n: int) -> DataFrame:
-    """Users for the given items."""
-    return ranked(model.recommendForItemSubset(items.select("item"), n), "item", "user")
+    """Users for the given items. Runs jobs."""
+    chosen = model.itemFactors.join(items.select(F.col("item").alias("id")), "id", "left_semi")
+    return _best(chosen, model.userFactors, n, "item", "user")
 
 
 def _named(rows: DataFrame, trained: Trained, who: str, what: str) -> DataFrame:

@@ -68,3 +68,10 @@ def reliable(df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def stored(df, purpose: str):
+    """`df` written to the shared folder and read back: for tables that a checkpoint would hold less tightly."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
