@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Callable, Iterable, Mapping
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from riverglass.session import stored
+
 # A word is a run of letters, marks and digits of any script.
 WORD = r"[\p{L}\p{M}\p{N}]+"
 # Scripts that put no blanks between words. Where the dictionary has no term, one such character (with its
@@ -17,6 +22,8 @@ ALONE = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
 # is about that of a term seen once in e^20 = 485 million.
 LOOSE_COST = 20_000
 CACHED_WORDS = 200_000  # words whose segmentation a task keeps
+GROUP_CHARACTERS = 300_000  # of the words that share a part of a dictionary table
+HASH_BASE, HASH_SPREAD = 0x100000001B3, 0x9E3779B97F4A7C15
 
 
 def words(text: Column) -> Column:
@@ -152,32 +159,86 @@ def parts(word: Column, dictionary: Mapping[str, int] | Iterable[str], alone: st
     return cut.asNondeterministic()(word)
 
 
-def segment_words(counted: DataFrame, dictionary: DataFrame, word: str = "term", alone: str = ALONE) -> DataFrame:
-    """`counted` (one row per `word`) with `parts`, from a dictionary of any size as a table (term, cost).
+def piece_hash(piece: str) -> int:
+    """The hash of a piece, as `passing` computes it for all places of many words."""
+    mixed = 0
+    for c in piece:
+        mixed = (mixed * HASH_BASE + ord(c)) % 2**64
+    return mixed
+
+
+def passing(some: Iterable[str], most: int, sieve: np.ndarray) -> set[str]:
+    """The pieces of up to `most` characters of `some` words whose bit is set in the sieve."""
+    text = "".join(some)
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, some), np.int64)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))  # characters up to the word's end
+    at, mixed, found = np.arange(len(points)), np.zeros(len(points), np.uint64), set()
+    for size in range(1, most + 1):
+        longer = left[at] >= size
+        at, mixed = at[longer], mixed[longer]
+        if not len(at):
+            break
+        mixed = mixed * np.uint64(HASH_BASE) + points[at + size - 1]
+        bit = (mixed * np.uint64(HASH_SPREAD)) >> np.uint64(64 - sieve_bits(sieve))
+        set_ = (sieve[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1
+        found.update(text[k:k + size] for k in at[set_ == 1].tolist())
+    return found
+
+
+def sieve_bits(sieve: np.ndarray) -> int:
+    """Binary digits of the places of a sieve."""
+    return (8 * len(sieve)).bit_length() - 1
 
-    The word graph is made by a join: every piece of a word up to the longest term's length meets the
-    dictionary, and what is found comes back as the word's edges. Only different words are looked
-    at, and no side has to fit anywhere. Runs a job for the length of the longest term.
+
+def sieve_of(known: DataFrame, pieces: int) -> np.ndarray:
+    """One bit for each hash of a `piece`: 16 places or more for each, up to 8 MB in all. Runs a job.
+
+    It says which pieces cannot be in the dictionary. Of a dictionary too large for it more pieces pass, and the join
+    drops them.
     """
-    known = dictionary.where("length(term) > 0").groupBy(F.lower("term").alias("piece")).agg(F.min("cost").alias("cost"))
-    most = known.agg(F.max(F.length("piece"))).first()[0] or 0
-    n, at = F.length(word), F.col("at")
-    places = counted.where((n > 0) & F.lit(most > 0)).select(word, F.explode(F.sequence(F.lit(1), n)).alias("at"))
-    pieces = places.select(word, "at", F.explode(F.sequence(F.lit(1), F.least(F.lit(max(most, 1)), n - at + 1))).alias(
-        "size")).withColumn("piece", F.substring(F.col(word), at, F.col("size")))
-    edges = pieces.join(known, "piece").groupBy(word).agg(
-        F.collect_list(F.struct((at - 1).alias("at"), "size", "cost")).alias("edges"))
+    digits = min(26, max(15, (16 * pieces).bit_length()))
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut(given: pd.Series, found: pd.Series) -> pd.Series:
-        tests = character_tests(alone)
+    def places(batches):
+        for batch in batches:
+            yield pd.DataFrame({"place": [((piece_hash(p) * HASH_SPREAD) % 2**64) >> (64 - digits) for p in batch["piece"]]})
 
-        def one(word, edges):
-            by_place: dict[int, list] = {}
-            for e in edges if edges is not None else ():
-                by_place.setdefault(e["at"], []).append((e["size"], e["cost"]))
-            return best_path(word, lambda _, at: by_place.get(at, ()), loose_ends(word, *tests))
+    sieve = np.zeros((1 << digits) // 8, np.uint8)
+    place = known.select("piece").mapInPandas(places, "place long")
+    for row in place.groupBy(F.shiftright("place", 15).alias("run")).agg(
+            F.bitmap_construct_agg(F.col("place").bitwiseAND(F.lit((1 << 15) - 1))).alias("bits")).toLocalIterator():
+        sieve[row.run * 4096:(row.run + 1) * 4096] = np.frombuffer(row.bits, np.uint8)
+    return sieve
 
-        return pd.Series([None if w is None else one(w, e) for w, e in zip(given, found)], dtype=object)
 
-    return counted.join(edges, word, "left").withColumn("parts", cut.asNondeterministic()(F.col(word), F.col("edges"))).drop("edges")
+def segment_words(counted: DataFrame, dictionary: DataFrame, word: str = "term", alone: str = ALONE) -> DataFrame:
+    """`counted` (one row per `word`) with `parts`, from a dictionary of any size as a table (term, cost).
+
+    Words are dealt to groups. The different pieces of a group's words that pass a sieve meet the dictionary in a
+    join, and what is found goes back to the group as its own small dictionary: a piece is moved once for each group and not
+    with each word and place. Only different words are looked at, and no side has to fit anywhere. Runs jobs for
+    the length of the longest term, the sieve and the size of the words, which are stored.
+    """
+    known = stored(dictionary.where("length(term) > 0").groupBy(F.lower("term").alias("piece")).agg(F.min("cost").alias("cost")), "dictionary")
+    size = known.agg(F.max(F.length("piece")).alias("most"), F.count(F.lit(1)).alias("pieces")).first()
+    most, sieve = size.most or 0, sieve_of(known, size.pieces)
+    counted = stored(counted.select(word, *(c for c in counted.columns if c != word)), "words")
+    groups = math.ceil((counted.agg(F.sum(F.length(word))).first()[0] or 0) / GROUP_CHARACTERS) or 1
+    sent = counted.sparkSession.sparkContext.broadcast(sieve)
+    # Words are few bytes and much work: adaptive execution would merge tasks by size.
+    tasks = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    grouped = counted.withColumn("__group", F.pmod(F.xxhash64(word), F.lit(groups)).cast("int")).repartition(tasks, "__group")
+
+    def look(key: tuple, held: pa.Table) -> pa.Table:
+        found = sorted(passing([w for w in held.column(word).to_pylist() if w], most, sent.value))
+        return pa.table({"__group": pa.array([key[0].as_py()] * len(found), pa.int32()), "piece": pa.array(found, pa.string())})
+
+    def cut(held: pa.Table, found: pa.Table) -> pa.Table:
+        one = cutter(dict(zip(found.column("piece").to_pylist(), found.column("cost").to_pylist())), alone)
+        parts_ = [None if w is None else one(w) for w in held.column(word).to_pylist()]
+        return held.drop_columns("__group").append_column("parts", pa.array(parts_, pa.list_(pa.string())))
+
+    pieces = grouped.where(F.length(word) > 0).select("__group", word).groupBy("__group").applyInArrow(look, "__group int, piece string")
+    found = pieces.join(known, "piece").select("__group", "piece", "cost")
+    schema = T.StructType([*counted.schema.fields, T.StructField("parts", T.ArrayType(T.StringType()))])
+    return grouped.groupBy("__group").cogroup(found.groupBy("__group")).applyInArrow(cut, schema)
