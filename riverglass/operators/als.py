@@ -17,10 +17,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from riverglass.operators.ids import dense_ids
 from riverglass.operators.products import best_products
-from riverglass.session import reliable, work_dir
+from riverglass.session import stored, work_dir
 
 LEAST_BLOCKS = 10
 CELL_RATINGS = 100_000  # ratings that one pair of a user and an item block holds
+BLOCK_RATINGS = 20_000_000  # ratings that one block holds in memory, at some tens of bytes each
 
 
 @dataclass(frozen=True)
@@ -49,15 +50,24 @@ def blocks_for(ratings: int) -> int:
     return max(LEAST_BLOCKS, math.ceil(math.sqrt(ratings / CELL_RATINGS)))
 
 
+def fewest_blocks(ratings: int) -> int:
+    """As few blocks as hold the ratings, within `blocks_for`.
+
+    In each round a user's factors go to every block with one of the user's items, and an item's likewise, so a round
+    shuffles more for each row the more blocks there are.
+    """
+    return min(blocks_for(ratings), max(LEAST_BLOCKS, math.ceil(ratings / BLOCK_RATINGS)))
+
+
 def fit(matrix: DataFrame, settings: AlsSettings = AlsSettings()) -> ALSModel:
     """Train on integer ids. Runs jobs.
 
-    The matrix is checkpointed first: ALS reads it in several stages and needs the same rows in
+    The matrix is stored first: ALS reads it in several stages and needs the same rows in
     each, also after an executor is lost. The number of blocks, on which the first factors hang, comes
     from the ratings alone, so equal data give equal lists on any cluster.
     """
-    matrix = reliable(matrix)
-    blocks = settings.blocks or blocks_for(matrix.count())
+    matrix = stored(matrix, "ratings")
+    blocks = settings.blocks or fewest_blocks(matrix.count())
     als = ALS(userCol="user", itemCol="item", ratingCol="rating", rank=settings.rank,
               maxIter=settings.iterations, regParam=settings.reg, seed=settings.seed,
               numUserBlocks=blocks, numItemBlocks=blocks, coldStartStrategy="drop",
@@ -76,7 +86,7 @@ class Trained:
 
 def numbered(matrix: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """`matrix` with integer ids, and the two numberings, stored under `folder`. Runs jobs."""
-    matrix = reliable(matrix)
+    matrix = stored(matrix, "matrix")
     with ThreadPoolExecutor(2) as both:  # neither numbering needs the other
         users, items = both.map(lambda side: dense_ids(
             matrix.select(F.col(side).alias("key")), "key", f"{folder}/{side}s", side), ("user", "item"))

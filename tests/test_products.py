@@ -79,3 +79,17 @@ def test_no_all_pairs_join(spark):
             lists.explain()
         assert "CartesianProduct" not in plan.getvalue() and "NestedLoop" not in plan.getvalue()
         assert lists.count() in (120, 90)
+
+
+def test_blocks_shuffle_no_faster_than_the_ratings():
+    """More blocks send each user's factors more often: as few as hold the ratings."""
+    assert [als.fewest_blocks(n) for n in (0, 100, 36_000_000, 216_000_000, 10**11)] == [10, 10, 10, 11, 1000]
+
+
+def test_ratings_are_stored_tightly(spark, monkeypatch):
+    """Matrices go to Parquet: checkpoints hold a row in several times the bytes."""
+    seen = []
+    monkeypatch.setattr(als, "stored", lambda df, purpose, put=als.stored: (seen.append(purpose), put(df, purpose))[1])
+    ratings = spark.createDataFrame([(u, i, float(u * i % 5)) for u in range(8) for i in range(6)], "user int, item int, rating float")
+    als.train(ratings, als.AlsSettings(rank=2, iterations=1))
+    assert seen == ["matrix", "ratings"]
