@@ -1,9 +1,10 @@
 """The largest inner products between two tables of vectors, exactly.
 
 Every query vector meets every row, as the task is, but most pairs are settled by bounds and never multiplied. Rows are
-dealt to blocks by their length, the longest first, and each block is cut into cells of near rows. No product of a
-query with a row of a cell is above its product with the cell's centre plus its length times the cell's radius; a cell
-is opened only for queries for which this reaches the worst of the `n` products that they have already.
+dealt to blocks by their length, the longest first; each block is cut into shells of about equal length, and these into
+cells of near rows. No product is above the two lengths multiplied, so a query is sent only to blocks whose longest row
+reaches the worst of the `n` products that it has already. No product of a query with a row of a cell is above its product
+with the cell's centre plus its length times the cell's radius; a cell is opened only for queries for which this reaches it.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from riverglass.operators.toplists import top_per_group
 from riverglass.session import stored
 
 CELL = 32  # rows of a cell, at most
+SHELL = 8000  # rows of a shell, at most: cells stay as long as they are wide when blocks grow
+SPREAD = 4  # shares of queries in the first block, for each share in the others
 PARTS, LEAST, MOST = 24, 40_000, 400_000  # parts of a side, and the rows of one: more parts only beyond PARTS * MOST rows
 AT_ONCE, CELLS_AT_ONCE = 8192, 512  # queries and cells whose bounds are in memory
 ROUNDING = 1e-5  # of single precision, over the products of a vector, as a share of the vectors' lengths
@@ -54,6 +57,14 @@ def cells(vectors: np.ndarray) -> np.ndarray:
     return order
 
 
+def shells(vectors: np.ndarray) -> np.ndarray:
+    """The `cells` of each run of at most `SHELL` rows, the longest rows first."""
+    order = np.argsort(-lengths(vectors), kind="stable")
+    cut = [(some, cells(vectors[some])) for some in np.array_split(order, max(1, math.ceil(len(order) / SHELL)))]
+    width = max(c.shape[1] for _, c in cut)
+    return np.vstack([np.pad(np.where(c < 0, -1, some[c]), ((0, 0), (0, width - c.shape[1])), constant_values=-1) for some, c in cut])
+
+
 class Best:
     """The best `n` products of each query so far, all of which beat or equal the query's `floor`."""
 
@@ -119,33 +130,61 @@ def best_in_block(queries: np.ndarray, floor: np.ndarray, rows: np.ndarray, ids:
     return best
 
 
-def packed(vectors: DataFrame, cut: bool) -> DataFrame:
-    """(part, size, ids, vectors, floors): each task's rows of (id, features, floor) as one, in cells if they are `cut`."""
+def read(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, pa.Table] | None:
+    """The ids and vectors of a task's rows, and its rows; None if it has none."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return None
+    table = pa.Table.from_batches(held)
+    ids = table.column("id").to_numpy().astype(np.int32)
+    return ids, table.column("features").combine_chunks().flatten().to_numpy().astype(np.float32).reshape(len(ids), -1), table
+
+
+def packed(rows: DataFrame) -> DataFrame:
+    """(block, size, longest, ids, vectors): each task's rows of (id, features) as one, in cells."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if not held:
+        if (held := read(batches)) is None:
             return
-        table = pa.Table.from_batches(held)
-        ids = table.column("id").to_numpy().astype(np.int32)
-        matrix = table.column("features").combine_chunks().flatten().to_numpy().astype(np.float32).reshape(len(ids), -1)
-        floors, size = table.column("floor").to_numpy().astype(np.float32), 1
-        if cut:
-            order = cells(matrix)
-            size, order = order.shape[1], order.ravel()
-            ids, matrix, floors = np.where(order < 0, -1, ids[order]).astype(np.int32), matrix[order], floors[order]
+        ids, matrix, _ = held
+        order = shells(matrix)
+        near = np.where(order < 0, order.max(axis=1, keepdims=True), order)  # what fills up repeats a row of its cell
         yield pa.RecordBatch.from_pylist([{
-            "part": TaskContext.get().partitionId(), "size": size, "ids": ids.tobytes(), "vectors": matrix.tobytes(),
-            "floors": floors.tobytes()}], schema=pa.schema([
-                ("part", pa.int32()), ("size", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary()), ("floors", pa.binary())]))
+            "block": TaskContext.get().partitionId(), "size": order.shape[1], "longest": float(lengths(matrix).max()),
+            "ids": np.where(order < 0, -1, ids[order]).astype(np.int32).tobytes(), "vectors": matrix[near].tobytes()}],
+            schema=pa.schema([("block", pa.int32()), ("size", pa.int32()), ("longest", pa.float32()), ("ids", pa.binary()),
+                              ("vectors", pa.binary())]))
 
-    return vectors.mapInArrow(pack, "part int, size int, ids binary, vectors binary, floors binary")
+    return rows.mapInArrow(pack, "block int, size int, longest float, ids binary, vectors binary")
 
 
-def met(queries: DataFrame, blocks: DataFrame, n: int, shares: int) -> DataFrame:
-    """(query, row, score): what each share of the packed queries finds in each of the packed blocks."""
-    numbers = [r.part for r in blocks.select("part").collect()]
-    left = queries.withColumn("share", F.col("part")).withColumn("block", F.explode(F.array(*map(F.lit, numbers)))).drop("part")
-    right = blocks.withColumnRenamed("part", "block").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+def asking(queries: DataFrame, longest: dict[int, float]) -> DataFrame:
+    """(share, block, ids, vectors, floors): each task's rows of (id, features, floor) as one for each block that they can need.
+
+    `longest` has the length of each block's longest row. Queries that this does not bring to their floor stay out.
+    """
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (held := read(batches)) is None:
+            return
+        ids, matrix, table = held
+        floors, long = table.column("floor").to_numpy().astype(np.float32), lengths(matrix)
+        for block, most in longest.items():
+            some = np.flatnonzero(~(long * (np.float32(most) * (1 + ROUNDING)) < floors))
+            if len(some):
+                yield pa.RecordBatch.from_pylist([{
+                    "share": TaskContext.get().partitionId(), "block": block, "ids": ids[some].tobytes(),
+                    "vectors": matrix[some].tobytes(), "floors": floors[some].tobytes()}], schema=pa.schema([
+                        ("share", pa.int32()), ("block", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary()),
+                        ("floors", pa.binary())]))
+
+    return queries.mapInArrow(pack, "share int, block int, ids binary, vectors binary, floors binary")
+
+
+def met(asks: DataFrame, blocks: DataFrame, n: int) -> DataFrame:
+    """(query, row, score): what the packed queries find in the packed blocks that they ask. Runs jobs."""
+    asks = stored(asks, "asks")
+    # A block goes only to the shares that ask it; one row for each of them.
+    right = blocks.join(asks.groupBy("block").agg(F.collect_list("share").alias("shares")), "block").withColumn(
+        "share", F.explode("shares")).drop("shares")
 
     def search(asking: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -161,9 +200,9 @@ def met(queries: DataFrame, blocks: DataFrame, n: int, shares: int) -> DataFrame
                                              "score": best.score}))
         return pd.concat(out) if out else pd.DataFrame(columns=["query", "row", "score"])
 
-    tasks = 2 * len(numbers) * shares  # so that few pairs meet in a task
+    tasks = max(1, 2 * asks.count())  # so that few pairs meet in a task
     key = ["share", "block"]
-    return left.repartition(tasks, *key).groupBy(*key).cogroup(right.repartition(tasks, *key).groupBy(*key)).applyInPandas(search, HITS)
+    return asks.repartition(tasks, *key).groupBy(*key).cogroup(right.repartition(tasks, *key).groupBy(*key)).applyInPandas(search, HITS)
 
 
 def best_products(queries: DataFrame, rows: DataFrame, n: int) -> DataFrame:
@@ -175,15 +214,16 @@ def best_products(queries: DataFrame, rows: DataFrame, n: int) -> DataFrame:
     queries = queries.select("id", "features", F.lit(-math.inf).cast("float").alias("floor"))
     shares = parts_for(queries.count())
     long = F.aggregate("features", F.lit(0.0), lambda total, x: total + x * x)
-    blocks = stored(packed(rows.select("id", "features", F.lit(0.0).cast("float").alias("floor")).repartitionByRange(
-        parts_for(rows.count()), F.desc(long), "id"), cut=True), "blocks")
-    first = stored(met(packed(queries.repartition(shares, "id"), cut=False), blocks.where("part = 0"), n, shares), "first")
-    others = blocks.where("part > 0")
-    if not others.isEmpty():
+    blocks = stored(packed(rows.select("id", "features").repartitionByRange(parts_for(rows.count()), F.desc(long), "id")), "blocks")
+    longest = {r.block: r.longest for r in blocks.select("block", "longest").collect()}
+    head = {b: longest.pop(b) for b in sorted(longest)[:1]}
+    spread = queries.repartition(SPREAD * shares if shares > 1 else 1, "id")
+    first = stored(met(asking(spread, head), blocks, n), "first")
+    if longest:
         # A floor is the worst of n that were found already: nothing below it is among the best n.
         floors = first.groupBy(F.col("query").alias("id")).agg(
             F.when(F.count("*") >= n, F.min("score")).otherwise(-math.inf).cast("float").alias("floor"))
-        asking = queries.drop("floor").join(floors, "id", "left").select(
+        asks = queries.drop("floor").join(floors, "id", "left").select(
             "id", "features", F.coalesce("floor", F.lit(-math.inf).cast("float")).alias("floor"))
-        first = first.unionByName(met(packed(asking.repartition(shares, "id"), cut=False), others, n, shares))
+        first = first.unionByName(met(asking(asks.repartition(shares, "id"), longest), blocks, n))
     return top_per_group(first, n, ["query"], "score", ["row"]).select("query", "place", "row", "score")

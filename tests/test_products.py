@@ -93,3 +93,29 @@ def test_ratings_are_stored_tightly(spark, monkeypatch):
     ratings = spark.createDataFrame([(u, i, float(u * i % 5)) for u in range(8) for i in range(6)], "user int, item int, rating float")
     als.train(ratings, als.AlsSettings(rank=2, iterations=1))
     assert seen == ["matrix", "ratings"]
+
+
+def test_cells_of_a_block_stay_in_shells(monkeypatch):
+    """However large a block is, a cell has no long rows beside short ones."""
+    monkeypatch.setattr(P, "SHELL", 200)
+    rows = vectors(np.random.default_rng(12), "uneven", 2010).astype(np.float32)
+    order = P.shells(rows)
+    assert sorted(order[order >= 0].tolist()) == list(range(2010)) and order.shape[1] <= P.CELL + 1
+    rank = np.argsort(np.argsort(-P.lengths(rows)))
+    assert all(np.ptp(rank[cell[cell >= 0]]) < 200 for cell in order if (cell >= 0).any())
+
+
+def test_queries_are_sent_only_where_they_can_find(spark, monkeypatch):
+    """A query with its list full meets no block of shorter rows, and such a block is sent nowhere."""
+    monkeypatch.setattr(P, "LEAST", 50)
+    sent = []
+    monkeypatch.setattr(P, "stored", lambda df, purpose, put=P.stored: (lambda kept: (purpose == "asks" and sent.append(kept), kept)[1])(put(df, purpose)))
+    rng = np.random.default_rng(13)
+    queries, rows = vectors(rng, "even", 200), vectors(rng, "even", 1000)
+    rows[120:] *= 0.01
+    got = {(r.query, r.place): r.row for r in P.best_products(table(spark, queries), table(spark, rows), 3).collect()}
+    assert got == {k: r for k, (r, _) in brute(queries, rows, 3).items()}
+    begun, others = (df.selectExpr("share", "block", "length(ids) div 4 as n").collect() for df in sent)
+    assert sum(r.n for r in begun) == 200 and len({r.block for r in begun}) == 1
+    # Rows 0 to 119 fill at most four of twenty blocks; before, every query met all twenty.
+    assert len({r.block for r in others}) <= 4 and sum(r.n for r in others) <= 800
